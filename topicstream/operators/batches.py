@@ -47,7 +47,7 @@ def assign_batches(
     )
     in_range = F.row_number().over(Window.partitionBy(*part).orderBy(order_by))
     numbered = located.withColumn("_rn", in_range).join(before, part)
-    batch_no = F.floor((F.col("_before") + F.col("_rn") - 1) / F.lit(size)).cast("bigint")
+    batch_no = F.expr(f"(_before + _rn - 1) div {size}")
     return numbered.select(*(F.col(c) for c in df.columns), batch_no.alias("batch_no"))
 
 
@@ -67,9 +67,11 @@ def _cuts(df: DataFrame, order_by: str, ranges: int) -> list[float]:
 
 
 def _with_range(df: DataFrame, order_by: str, cuts: list[float]) -> DataFrame:
-    if not cuts:
-        return df.withColumn("_range", F.lit(0.0))
     # The cast to double may join neighbours but never swaps them, so ranges stay in order.
-    splits = [float("-inf"), *cuts, float("inf")]
-    bucketizer = Bucketizer(splits=splits, inputCol="_at", outputCol="_range", handleInvalid="error")
-    return bucketizer.transform(df.withColumn("_at", F.col(order_by).cast("double"))).drop("_at")
+    missing = F.raise_error(F.lit(f"{order_by} is null")).cast("double")
+    at = F.when(F.col(order_by).isNull(), missing).otherwise(F.col(order_by).cast("double"))
+    bucketizer = Bucketizer(
+        splits=[float("-inf"), *cuts, float("inf")], inputCol="_at", outputCol="_bucket", handleInvalid="error"
+    )
+    located = bucketizer.transform(df.withColumn("_at", at))
+    return located.withColumn("_range", F.col("_bucket").cast("int")).drop("_at", "_bucket")

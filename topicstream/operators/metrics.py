@@ -46,7 +46,10 @@ def sink_metrics(progress: Mapping, name: str = SINK) -> dict[str, int]:
 
 
 def totals(progress_reports: Iterable[Mapping], source: str = SOURCE, sink: str = SINK) -> dict[str, int]:
-    """Records in and out, summed over progress reports such as ``query.recentProgress``."""
+    """Records in and out, summed over progress reports such as ``query.recentProgress``.
+
+    A query keeps its last ``spark.sql.streaming.numRecentProgressUpdates`` reports (100); for more, sum as they come.
+    """
     reports = list(progress_reports)
     return {
         "records_in": sum(source_metrics(p, source)["records_in"] for p in reports),

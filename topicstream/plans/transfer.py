@@ -67,8 +67,12 @@ def start_transfer(
     *,
     interval_seconds: float = COMMIT_INTERVAL_SECONDS,
     available_now: bool = False,
+    **writing,
 ) -> StreamingQuery:
-    """Start the job as a stream under the source's subscription, with metrics, and return the running query."""
+    """Start the job as a stream under the source's subscription, with metrics, and return the running query.
+
+    ``writing`` is passed on to :func:`topicstream.write_topic`.
+    """
     source, sink = source_options(props), sink_options(props)
     source_topic = open_topic(spark, source.root, source.project, source.topic)
     sink_topic = open_topic(spark, sink.root, sink.project, sink.topic)
@@ -82,6 +86,7 @@ def start_transfer(
         batch_enable=sink.batch_enable,
         interval_seconds=interval_seconds,
         available_now=available_now,
+        **writing,
     )
 
 

@@ -21,6 +21,8 @@ def write_topic(
     batch_enable: bool = True,
     interval_seconds: float = COMMIT_INTERVAL_SECONDS,
     available_now: bool = False,
+    write_tasks: int | None = None,
+    expire: bool = False,
     compression: str = DEFAULT_COMPRESSION,
     query_name: str | None = None,
 ) -> StreamingQuery:
@@ -29,7 +31,14 @@ def write_topic(
     Everything read in a trigger is committed at once, together with the read position: a failed trigger leaves
     nothing visible and is replayed in full by the next run from the same checkpoint. With ``batch_enable`` a
     commit comes every ``interval_seconds``, without it as soon as the last one is done. ``available_now`` drains
-    what is there and stops. There is no shuffle between source and sink.
+    what is there and stops.
+
+    There is no shuffle between source and sink, and each task makes a file for each shard it holds. Where many
+    tasks meet many shards, ``write_tasks`` spends one round-robin shuffle to have that many tasks write a
+    trigger; it spreads rows evenly however skewed the shards are.
+
+    ``expire`` takes files older than the topic's lifecycle out of the commit log, which keeps the log of a
+    long-lived topic short; readers no longer see them, also those that have yet to read them.
     """
     if not records.isStreaming:
         raise ValueError("write_topic takes a stream; use append_topic for a bounded DataFrame")
@@ -40,6 +49,8 @@ def write_topic(
     owned = storage.exists(spark, storage.join(path, "_spark_metadata"))
     if not owned and not storage.is_empty(spark, path):
         raise ValueError(f"producer {producer!r} of topic {topic.name} holds bounded writes; use another one")
+    if write_tasks is not None:
+        records = records.repartition(write_tasks)
     writer = (
         records.writeStream.format("parquet")
         .outputMode("append")
@@ -49,6 +60,8 @@ def write_topic(
         .option("maxRecordsPerFile", topic.max_records_per_file)
         .option("compression", compression)
     )
+    if expire:
+        writer = writer.option("retention", f"{topic.lifecycle_days} days")
     if query_name:
         writer = writer.queryName(query_name)
     if available_now:
