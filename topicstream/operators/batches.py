@@ -70,6 +70,8 @@ def _with_range(df: DataFrame, order_by: str, cuts: list[float]) -> DataFrame:
     # The cast to double may join neighbours but never swaps them, so ranges stay in order.
     missing = F.raise_error(F.lit(f"{order_by} is null")).cast("double")
     at = F.when(F.col(order_by).isNull(), missing).otherwise(F.col(order_by).cast("double"))
+    if not cuts:
+        return df.withColumn("_range", (at * 0).cast("int"))
     bucketizer = Bucketizer(
         splits=[float("-inf"), *cuts, float("inf")], inputCol="_at", outputCol="_bucket", handleInvalid="error"
     )

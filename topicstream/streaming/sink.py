@@ -61,7 +61,7 @@ def write_topic(
         .option("compression", compression)
     )
     if expire:
-        writer = writer.option("retention", f"{topic.lifecycle_days} days")
+        writer = writer.option("retention", f"{topic.lifecycle_days}d")
     if query_name:
         writer = writer.queryName(query_name)
     if available_now:
