@@ -57,6 +57,19 @@ def test_decode_is_strict(spark, bad):
         decode_record(records, MESSAGE).collect()
 
 
+@pytest.mark.parametrize("bad", [("n", 3000000000, "1"), ("n", 1, "12x")])
+def test_decode_is_strict_without_ansi_mode_too(spark, bad):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        schema = "name string, age bigint, create_time string"
+        with pytest.raises(QUERY_FAILS):
+            decode_record(spark.createDataFrame([bad], schema), MESSAGE).collect()
+        good = decode_record(spark.createDataFrame([("n", 1, "12"), ("n", None, None)], schema), MESSAGE).collect()
+        assert [tuple(r) for r in good] == [("n", 1, None, 12), ("n", None, None, None)]
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
 def test_all_null_row_decodes(spark):
     records = spark.createDataFrame([(None, None, None, None)], MESSAGE.to_struct())
     assert decode_record(records, MESSAGE).first() == (None, None, None, None)

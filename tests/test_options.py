@@ -66,5 +66,12 @@ def test_booleans(text, value):
     assert get_bool({"k": text}, "k", not value) is value
 
 
+def test_sink_rate_is_off_unless_set():
+    assert sink_options(SINK).rate is None
+    assert sink_options({**SINK, "sink.rate": "2000"}).rate == 2000
+    with pytest.raises(ValueError, match="sink.rate"):
+        sink_options({**SINK, "sink.rate": "-1"})
+
+
 def test_prefix():
     assert with_prefix("source.", {"source.topic": "t", "sink.topic": "u"}) == {"topic": "t"}

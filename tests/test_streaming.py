@@ -100,6 +100,31 @@ def test_a_failed_run_is_replayed_without_loss(spark, root):
     assert seqs(spark, sink) == list(range(600))
 
 
+def fail_first_attempt(df):
+    """Fail every task's first attempt half-way through its rows."""
+
+    def step(batches):
+        from pyspark import TaskContext
+
+        for batch in batches:
+            yield batch.head(len(batch) // 2)
+            if TaskContext.get().attemptNumber() == 0:
+                raise RuntimeError("executor lost")
+            yield batch.tail(len(batch) - len(batch) // 2)
+
+    return df.mapInPandas(step, df.schema)
+
+
+def test_lost_tasks_neither_lose_nor_double_records(spark, root):
+    source = create_topic(spark, root, "p", MESSAGE)
+    rows = spark.range(0, 5000, 1, 4).selectExpr("id as seq", "concat('k', id) as name")
+    append_topic(prepare_records(fail_first_attempt(rows), source, BY_NAME), source)
+    assert seqs(spark, source) == list(range(5000))
+    sink = create_topic(spark, root, "p", COPY)
+    drain(copy_stream(spark, source, sink, fail_first_attempt), sink, f"{root}/c")
+    assert seqs(spark, sink) == list(range(5000))
+
+
 def test_rate_limit(spark, root):
     source, sink = create_topic(spark, root, "p", MESSAGE, producers=("a", "b"), max_records_per_file=20), create_topic(spark, root, "p", COPY)
     append(spark, source, 0, 900, "a")

@@ -74,6 +74,12 @@ def test_own_decoding(spark, job):
     assert read_topic_batch(spark, sink).count() == expected.count()
 
 
+def test_the_lower_rate_counts(spark, job):
+    # 10 records per second and slot are less than the source topic's files hold.
+    with pytest.raises(ValueError, match="less than one file"):
+        start_transfer(spark, {**job[2], "sink.rate": "10"}, staging.checked_transfer())
+
+
 def test_missing_topic(spark, job):
     with pytest.raises(ValueError, match="does not exist"):
         start_transfer(spark, {**job[2], "sink.topic": "none"}, staging.checked_transfer())

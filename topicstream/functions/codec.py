@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,7 +25,7 @@ def decode_record(df: DataFrame, definition: TopicDef, keep: Iterable[str] = ())
     """
     present = set(df.columns)
     typed = [
-        (F.col(quoted(f.alias)) if f.alias in present else F.lit(None)).cast(f.value_type).alias(f.name)
+        strict_cast(F.col(quoted(f.alias)) if f.alias in present else F.lit(None), f.value_type).alias(f.name)
         for f in definition.fields
     ]
     return df.select(*typed, *(F.col(quoted(c)) for c in keep))
@@ -42,7 +42,7 @@ def decode_json(payload: Column, schema: T.DataType | str) -> Column:
 def decode_map(values: Column, schema: T.StructType) -> Column:
     """Typed struct from a map of text values, by key; missing keys are null, bad values fail the query."""
     return F.struct(
-        *(F.try_element_at(values, F.lit(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields)
+        *(strict_cast(F.try_element_at(values, F.lit(f.name)), f.dataType).alias(f.name) for f in schema.fields)
     )
 
 
@@ -86,7 +86,7 @@ def encode_payload(
     if unknown:
         raise ValueError(f"not columns of the topic: {unknown}, it has {schema.fieldNames()}")
     return [
-        values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name, metadata=f.metadata)
+        strict_cast(values.get(f.name, F.lit(None)), f.dataType).alias(f.name, metadata=f.metadata)
         for f in schema.fields
     ]
 
@@ -134,5 +134,15 @@ def encode_json_bytes(value: Column) -> Column:
     return F.encode(encode_json(value), "UTF-8")
 
 
+def strict_cast(value: Column, target: T.DataType) -> Column:
+    """Cast that fails the query on a value that does not fit, also in a session without ANSI mode."""
+    session = SparkSession.active()
+    if session.conf.get("spark.sql.ansi.enabled") == "true":
+        return value.cast(target)
+    tried = value.try_cast(target)
+    misfit = F.raise_error(F.concat(F.lit(f"not a {target.simpleString()}: "), value.cast("string")))
+    return F.when(value.isNotNull() & tried.isNull(), misfit.cast(target)).otherwise(tried)
+
+
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"

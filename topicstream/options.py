@@ -20,6 +20,7 @@ SINK_PROJECT = "sink.project"
 SINK_TOPIC = "sink.topic"
 SINK_PRODUCER = "sink.producer"
 SINK_BATCH_ENABLE = "sink.batchEnable"
+SINK_RATE = "sink.rate"
 
 # Defaults of the options.
 DEFAULT_SOURCE_RATE = 50000
@@ -48,19 +49,17 @@ class SinkOptions:
     topic: str
     producer: str
     batch_enable: bool
+    rate: int | None
 
 
 def source_options(props: Mapping[str, str]) -> SourceOptions:
     """Resolve and check the read side. Raises ``ValueError`` for a missing option."""
-    rate = get_int(props, SOURCE_RATE, DEFAULT_SOURCE_RATE)
-    if rate < 1:
-        raise ValueError(f"option {SOURCE_RATE} must be positive, got {rate}")
     return SourceOptions(
         root=required(props, ROOT),
         project=_project(props, SOURCE_PROJECT),
         topic=required(props, SOURCE_TOPIC),
         subscription=required(props, SOURCE_SUBSCRIPTION),
-        rate=rate,
+        rate=_rate(props, SOURCE_RATE, DEFAULT_SOURCE_RATE),
     )
 
 
@@ -72,6 +71,8 @@ def sink_options(props: Mapping[str, str]) -> SinkOptions:
         topic=required(props, SINK_TOPIC),
         producer=_value(props, SINK_PRODUCER) or DEFAULT_PRODUCER,
         batch_enable=get_bool(props, SINK_BATCH_ENABLE, DEFAULT_BATCH_ENABLE),
+        # No limit of its own unless one is asked for.
+        rate=_rate(props, SINK_RATE, 1) if _value(props, SINK_RATE) else None,
     )
 
 
@@ -110,6 +111,13 @@ def _project(props: Mapping[str, str], key: str) -> str:
     return value
 
 
+def _rate(props: Mapping[str, str], key: str, default: int) -> int:
+    rate = get_int(props, key, default)
+    if rate < 1:
+        raise ValueError(f"option {key} must be positive, got {rate}")
+    return rate
+
+
 def _integer(props: Mapping[str, str], key: str, default: int, bits: int) -> int:
     value = _value(props, key)
     if value is None:

@@ -46,11 +46,12 @@ ORACLES: dict[str, str] = {}
 AS_OF = dt.datetime(2024, 1, 31, tzinfo=dt.timezone.utc)
 
 
-def query(oracle: str | None = None) -> Callable[[Query], Query]:
+def query(oracle: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
-        QUERIES[fn.__name__] = fn
+        key = name or fn.__name__
+        QUERIES[key] = fn
         if oracle is not None:
-            ORACLES[fn.__name__] = oracle
+            ORACLES[key] = oracle
         return fn
 
     return register
@@ -211,7 +212,7 @@ def decode_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k, CAST(NULL AS VARCHAR) AS absent, "
-       "CAST(json_extract(props, '$.k') AS BIGINT) AS k_of_map FROM events")
+       "CAST(json_extract(props, '$.k') AS BIGINT) AS k_of_map FROM events", name="decode_json")
 def decode_json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON text to a struct, and to a map as the generic form."""
     props = F.col("props")
@@ -225,7 +226,7 @@ def decode_json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"WITH {_EVENTS} SELECT seq, name, age, money, CAST(NULL AS VARCHAR) AS absent FROM e")
+@query(f"WITH {_EVENTS} SELECT seq, name, age, money, CAST(NULL AS VARCHAR) AS absent FROM e", name="decode_map")
 def decode_map_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Maps of text values to typed columns."""
     named = [F.lit(n) for n in ("seq", "name", "age", "money", "other")]
@@ -246,7 +247,7 @@ def read_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"WITH {_EVENTS} SELECT seq, name, age, money, create_ms AS create_time, k FROM e "
-       "WHERE event_type <> 'error'")
+       "WHERE event_type <> 'error'", name="map_rows")
 def map_rows_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sample row map, with expressions."""
     mapped = map_rows(event_rows(spark, sf_dir).drop("event_type"), staging.checked_rows)
@@ -284,15 +285,15 @@ def _report(records: DataFrame) -> DataFrame:
 @query(_REPORT_SQL)
 def transfer_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sample job in bounded form, source rows to sink records, reported per shard."""
-    source = Topic("", staging.PROJECT, EVENT_IN.name, EVENT_IN.shard_num, 3, "", EVENT_IN.to_struct(True), ("main",), 1)
-    sink = Topic("", staging.PROJECT, "events_out", staging.SHARDS, 3, "", staging.EVENT_OUT.to_struct(True), ("main",), 1)
+    source = Topic.of("", staging.PROJECT, EVENT_IN)
+    sink = Topic.of("", staging.PROJECT, staging.EVENT_OUT)
     return _report(checked_transfer().records(staging.input_records(event_rows(spark, sf_dir), source), sink))
 
 
 @query(_REPORT_SQL)
 def transfer_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sample job as a stream from topic to topic, reported from the topic it wrote."""
-    sink, _ = staging.transferred_events(spark, sf_dir)
+    sink, _ = staging.transfer_events(spark, sf_dir)
     return _report(read_topic_batch(spark, sink))
 
 
@@ -300,7 +301,7 @@ def transfer_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("SELECT o_orderkey AS order_id, o_orderstatus AS status, o_totalprice AS total_price, "
-       "o_orderpriority AS priority FROM orders")
+       "o_orderpriority AS priority FROM orders", name="encode_alias")
 def encode_alias_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed rows under the column names of their topic."""
     declared = TopicDef(
@@ -317,7 +318,7 @@ def encode_alias_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"WITH {_EVENTS} SELECT seq, name, age, money, CAST(NULL AS VARCHAR) AS create_time, payload, "
-       "create_ms * 1000 AS event_us, name AS biz_key FROM e")
+       "create_ms * 1000 AS event_us, name AS biz_key FROM e", name="encode_record")
 def encode_record_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows to topic records: topic order and types, a value that is not there, event time, attributes."""
     rows = event_rows(spark, sf_dir)
@@ -354,7 +355,7 @@ def event_time_micros(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT doc_id, json_object('doc_id', doc_id, 'text', text, 'lang', lang, 'absent', NULL)::VARCHAR AS json,
     CAST(octet_length(encode(json_object('doc_id', doc_id, 'text', text, 'lang', lang, 'absent', NULL)::VARCHAR))
          AS INTEGER) AS n_bytes
-    FROM documents""")
+    FROM documents""", name="encode_json")
 def encode_json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents as JSON text and bytes, null fields written."""
     value = F.struct("doc_id", "text", "lang", F.lit(None).cast("string").alias("absent"))
@@ -403,7 +404,7 @@ def custom_selector(spark: SparkSession, sf_dir: str) -> DataFrame:
 _LINE_KEY = "'Order#' || l_orderkey"
 
 
-@query(f"SELECT CAST(abs({_sql_hash(_LINE_KEY)} % 64) AS INTEGER) AS shard, count(*) AS n FROM lineitem GROUP BY 1")
+@query(f"SELECT CAST(abs({_sql_hash(_LINE_KEY)} % 64) AS INTEGER) AS shard, count(*) AS n FROM lineitem GROUP BY 1", name="shard_counts")
 def shard_counts_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per shard when order lines are placed by order."""
     key = F.concat(F.lit("Order#"), F.col("l_orderkey").cast("string"))
@@ -524,7 +525,7 @@ def records_out_by_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {_EVENTS} SELECT shard, epoch_ms(TIMESTAMP '2024-01-31 00:00:00') - max_by(system_us // 1000, seq) AS delay
-    FROM e GROUP BY shard""")
+    FROM e GROUP BY shard""", name="delay_by_shard")
 def delay_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lag of each shard's last record at a given time."""
     records = read_topic_batch(spark, staged_events(spark, sf_dir))

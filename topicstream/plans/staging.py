@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from typing import Annotated
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,7 @@ from topicstream.operators.routing import key_hash_selector
 from topicstream.options import (
     DEFAULT_PROJECT,
     ROOT,
+    SINK_PROJECT,
     SINK_TOPIC,
     SOURCE_SUBSCRIPTION,
     SOURCE_TOPIC,
@@ -135,23 +137,33 @@ def checked_transfer() -> Transfer:
     )
 
 
+def transfer_events(spark: SparkSession, sf_dir: str) -> tuple[Topic, list[dict]]:
+    """Run the sample job as a stream over the staged topic, under a new subscription into a new topic.
+
+    Returns that topic and the run's progress reports.
+    """
+    source = staged_events(spark, sf_dir)
+    run = uuid.uuid4().hex
+    sink = create_topic(spark, source.root, f"{PROJECT}-{run}", EVENT_OUT)
+    props = {
+        ROOT: source.root,
+        DEFAULT_PROJECT: PROJECT,
+        SOURCE_TOPIC: source.name,
+        SOURCE_SUBSCRIPTION: f"checker-{run}",
+        SINK_PROJECT: sink.project,
+        SINK_TOPIC: sink.name,
+    }
+    query = start_transfer(spark, props, checked_transfer(), available_now=True)
+    query.awaitTermination()
+    return sink, list(query.recentProgress)
+
+
 _transferred: dict[tuple[str, str], tuple[Topic, list[dict]]] = {}
 
 
 def transferred_events(spark: SparkSession, sf_dir: str) -> tuple[Topic, list[dict]]:
-    """The sample job run as a stream over the staged topic: its output topic and progress reports."""
+    """A run of :func:`transfer_events`, made once per application."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _transferred:
-        source = staged_events(spark, sf_dir)
-        sink = create_topic(spark, source.root, PROJECT, EVENT_OUT)
-        props = {
-            ROOT: source.root,
-            DEFAULT_PROJECT: PROJECT,
-            SOURCE_TOPIC: source.name,
-            SOURCE_SUBSCRIPTION: "checker",
-            SINK_TOPIC: sink.name,
-        }
-        query = start_transfer(spark, props, checked_transfer(), available_now=True)
-        query.awaitTermination()
-        _transferred[key] = (sink, list(query.recentProgress))
+        _transferred[key] = transfer_events(spark, sf_dir)
     return _transferred[key]

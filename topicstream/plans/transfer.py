@@ -76,7 +76,9 @@ def start_transfer(
     source, sink = source_options(props), sink_options(props)
     source_topic = open_topic(spark, source.root, source.project, source.topic)
     sink_topic = open_topic(spark, sink.root, sink.project, sink.topic)
-    stream = read_topic(spark, source_topic, rate=source.rate, interval_seconds=interval_seconds)
+    # A row map gives at most one record for each it reads, so the sink's rate is kept by admitting no more.
+    rate = min(source.rate, sink.rate or source.rate)
+    stream = read_topic(spark, source_topic, rate=rate, interval_seconds=interval_seconds)
     records = transfer.records(with_source_metrics(stream), sink_topic)
     return write_topic(
         with_sink_metrics(records),

@@ -59,6 +59,46 @@ class Topic:
     producers: tuple[str, ...]
     max_records_per_file: int
 
+    @classmethod
+    def of(
+        cls,
+        root: str,
+        project: str,
+        definition: TopicDef,
+        need_event_time: bool = True,
+        *,
+        lifecycle_days: int = DEFAULT_LIFECYCLE_DAYS,
+        producers: Sequence[str] = (DEFAULT_PRODUCER,),
+        max_records_per_file: int = DEFAULT_MAX_RECORDS_PER_FILE,
+    ) -> Topic:
+        """The topic a declaration describes, without creating it.
+
+        ``max_records_per_file`` bounds every file any producer writes. Reading is admitted by whole files, so it
+        is also the step in which :func:`topicstream.read_topic` can limit its rate.
+        """
+        if not producers or len(set(producers)) != len(producers):
+            raise ValueError(f"producers must be one or more different names, got {list(producers)}")
+        bad = [p for p in producers if not p.strip() or p[0] in "_." or "/" in p or "=" in p]
+        if bad:
+            raise ValueError(f"not usable as producer names: {bad}")
+        if max_records_per_file < 1 or lifecycle_days < 1:
+            raise ValueError("max_records_per_file and lifecycle_days must be positive")
+        schema = definition.to_struct(need_event_time)
+        clash = sorted(_RESERVED & set(schema.fieldNames()))
+        if clash:
+            raise ValueError(f"topic {definition.name} declares reserved columns {clash}")
+        return cls(
+            root=root,
+            project=project,
+            name=definition.name,
+            shard_num=definition.shard_num,
+            lifecycle_days=lifecycle_days,
+            comment=definition.comment,
+            schema=schema,
+            producers=tuple(producers),
+            max_records_per_file=max_records_per_file,
+        )
+
     @property
     def record_schema(self) -> T.StructType:
         """Columns of a stored record: the topic's fields, then attributes, arrival time and shard."""
@@ -85,43 +125,13 @@ def topic_path(root: str, project: str, name: str) -> str:
 
 
 def create_topic(
-    spark: SparkSession,
-    root: str,
-    project: str,
-    definition: TopicDef,
-    need_event_time: bool = True,
-    *,
-    lifecycle_days: int = DEFAULT_LIFECYCLE_DAYS,
-    producers: Sequence[str] = (DEFAULT_PRODUCER,),
-    max_records_per_file: int = DEFAULT_MAX_RECORDS_PER_FILE,
+    spark: SparkSession, root: str, project: str, definition: TopicDef, need_event_time: bool = True, **settings
 ) -> Topic:
     """Create a topic from its declaration. An existing topic is left alone and raises ``ValueError``.
 
-    ``max_records_per_file`` bounds every file any producer writes. Reading is admitted by whole files, so it is
-    also the step in which :func:`topicstream.read_topic` can limit its rate.
+    ``settings`` are those of :meth:`Topic.of`.
     """
-    if not producers or len(set(producers)) != len(producers):
-        raise ValueError(f"producers must be one or more different names, got {list(producers)}")
-    bad = [p for p in producers if not p.strip() or p[0] in "_." or "/" in p or "=" in p]
-    if bad:
-        raise ValueError(f"not usable as producer names: {bad}")
-    if max_records_per_file < 1:
-        raise ValueError(f"max_records_per_file must be positive, got {max_records_per_file}")
-    schema = definition.to_struct(need_event_time)
-    clash = sorted(_RESERVED & set(schema.fieldNames()))
-    if clash:
-        raise ValueError(f"topic {definition.name} declares reserved columns {clash}")
-    created = Topic(
-        root=root,
-        project=project,
-        name=definition.name,
-        shard_num=definition.shard_num,
-        lifecycle_days=lifecycle_days,
-        comment=definition.comment,
-        schema=schema,
-        producers=tuple(producers),
-        max_records_per_file=max_records_per_file,
-    )
+    created = Topic.of(root, project, definition, need_event_time, **settings)
     descriptor = storage.join(created.path, "descriptor")
     if storage.exists(spark, descriptor):
         raise ValueError(f"topic {project}/{definition.name} exists already")
