@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from topicstream.schema import ATTRIBUTES, EVENT_TIME, TopicDef
+from topicstream.schema import ATTRIBUTES, EVENT_TIME, FieldDef, TopicDef
 
 # Fixed value: attribute that carries the business key.
 BIZ_KEY = "biz_key"
@@ -23,12 +23,16 @@ def decode_record(df: DataFrame, definition: TopicDef, keep: Iterable[str] = ())
     Columns that are not declared are dropped, declared ones the records lack come out null, and a value that
     does not fit its type fails the query. ``keep`` names record columns to carry along, such as ``system_time``.
     """
-    present = set(df.columns)
-    typed = [
-        strict_cast(F.col(quoted(f.alias)) if f.alias in present else F.lit(None), f.value_type).alias(f.name)
-        for f in definition.fields
-    ]
-    return df.select(*typed, *(F.col(quoted(c)) for c in keep))
+    present = {f.name: f.dataType for f in df.schema.fields}
+    cast = strict_cast()
+
+    def typed(field: FieldDef) -> Column:
+        if field.alias not in present:
+            return F.lit(None).cast(field.value_type)
+        column = F.col(quoted(field.alias))
+        return column if present[field.alias] == field.value_type else cast(column, field.value_type)
+
+    return df.select(*(typed(f).alias(f.name) for f in definition.fields), *(F.col(quoted(c)) for c in keep))
 
 
 def decode_json(payload: Column, schema: T.DataType | str) -> Column:
@@ -41,8 +45,9 @@ def decode_json(payload: Column, schema: T.DataType | str) -> Column:
 
 def decode_map(values: Column, schema: T.StructType) -> Column:
     """Typed struct from a map of text values, by key; missing keys are null, bad values fail the query."""
+    cast = strict_cast()
     return F.struct(
-        *(strict_cast(F.try_element_at(values, F.lit(f.name)), f.dataType).alias(f.name) for f in schema.fields)
+        *(cast(F.try_element_at(values, F.lit(f.name)), f.dataType).alias(f.name) for f in schema.fields)
     )
 
 
@@ -85,9 +90,9 @@ def encode_payload(
     unknown = [name for name in values if name not in schema.fieldNames()]
     if unknown:
         raise ValueError(f"not columns of the topic: {unknown}, it has {schema.fieldNames()}")
+    cast = strict_cast()
     return [
-        strict_cast(values.get(f.name, F.lit(None)), f.dataType).alias(f.name, metadata=f.metadata)
-        for f in schema.fields
+        cast(values.get(f.name, F.lit(None)), f.dataType).alias(f.name, metadata=f.metadata) for f in schema.fields
     ]
 
 
@@ -134,14 +139,17 @@ def encode_json_bytes(value: Column) -> Column:
     return F.encode(encode_json(value), "UTF-8")
 
 
-def strict_cast(value: Column, target: T.DataType) -> Column:
-    """Cast that fails the query on a value that does not fit, also in a session without ANSI mode."""
-    session = SparkSession.active()
-    if session.conf.get("spark.sql.ansi.enabled") == "true":
-        return value.cast(target)
-    tried = value.try_cast(target)
-    misfit = F.raise_error(F.concat(F.lit(f"not a {target.simpleString()}: "), value.cast("string")))
-    return F.when(value.isNotNull() & tried.isNull(), misfit.cast(target)).otherwise(tried)
+def strict_cast() -> Callable[[Column, T.DataType], Column]:
+    """A cast that fails the query on a value that does not fit, also in a session without ANSI mode."""
+    if SparkSession.active().conf.get("spark.sql.ansi.enabled") == "true":
+        return Column.cast
+
+    def checked(value: Column, target: T.DataType) -> Column:
+        tried = value.try_cast(target)
+        misfit = F.raise_error(F.concat(F.lit(f"not a {target.simpleString()}: "), value.cast("string")))
+        return F.when(value.isNotNull() & tried.isNull(), misfit.cast(target)).otherwise(tried)
+
+    return checked
 
 
 def quoted(name: str) -> str:
