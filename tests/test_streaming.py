@@ -156,13 +156,25 @@ def test_metrics(spark, root):
     assert sink_metrics(reports[0])["records_out"] == 150
 
 
-def test_write_tasks_bound_the_files(spark, root):
+def test_tasks_per_shard_bounds_the_files(spark, root):
     source = create_topic(spark, root, "p", MESSAGE, max_records_per_file=10)
     append(spark, source, 0, 1000)
     sink = create_topic(spark, root, "p", COPY)
-    drain(copy_stream(spark, source, sink), sink, f"{root}/c", write_tasks=2)
+    drain(copy_stream(spark, source, sink), sink, f"{root}/c", tasks_per_shard=2)
     assert seqs(spark, sink) == list(range(1000))
     assert len(list(Path(sink.producer_path("main")).rglob("part-*.parquet"))) <= 2 * 4
+    with pytest.raises(ValueError, match="tasks_per_shard"):
+        drain(copy_stream(spark, source, sink), sink, f"{root}/c", tasks_per_shard=0)
+
+
+def test_copies_of_one_row_share_the_work(spark, root):
+    source = create_topic(spark, root, "p", MESSAGE, max_records_per_file=50)
+    same = spark.range(0, 2000, 1, 4).selectExpr("1L as seq", "'hot' as name")
+    append_topic(prepare_records(same, source, BY_NAME), source)
+    sink = create_topic(spark, root, "p", COPY)
+    drain(copy_stream(spark, source, sink), sink, f"{root}/c", tasks_per_shard=4)
+    files = read_topic_batch(spark, sink).groupBy(F.input_file_name()).count().collect()
+    assert sum(r["count"] for r in files) == 2000 and 2 <= len(files) <= 4
 
 
 def test_immediate_mode_runs_until_stopped(spark, root):

@@ -90,6 +90,28 @@ def test_compacting_keeps_all_rows_of_a_hot_shard(spark, root):
     assert sorted(r.age for r in read.collect()) == list(range(6000))
 
 
+def test_many_shards_are_compacted_unless_told_otherwise(spark, root):
+    many = TopicDef("many", 64, "", MESSAGE.fields)
+    spread = rows(spark, 4000).repartition(8)
+
+    def files(project, **settings):
+        created = create_topic(spark, root, project, many)
+        append_topic(prepare_records(spread, created, key_hash_selector("name")), created, **settings)
+        read = read_topic_batch(spark, created)
+        assert read.count() == 4000
+        return read.select(F.input_file_name()).distinct().count()
+
+    assert files("default") == files("on", compact=True) <= 64
+    assert files("off", compact=False) > 6 * 64
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert files("plain") > 6 * 64
+        with pytest.raises(ValueError, match="adaptive"):
+            files("refused", compact=True)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_append_does_not_change_the_session(spark, root):
     key = "spark.sql.parquet.outputTimestampType"
     before = spark.conf.get(key)

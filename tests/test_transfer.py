@@ -58,6 +58,9 @@ def test_rows_without_a_clock_fail_the_job(spark, job):
     with pytest.raises(StreamingQueryException, match="event time is null"):
         start_transfer(spark, props, broken, available_now=True).awaitTermination()
     assert read_topic_batch(spark, sink).count() == 0
+    start_transfer(spark, props, transfer, available_now=True).awaitTermination()
+    expected = transfer.records(read_topic_batch(spark, job[0]), sink)
+    assert read_topic_batch(spark, sink).count() == expected.count() > 0
 
 
 def test_own_decoding(spark, job):

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 def java_string_hash(key: Column) -> Column:
     """32-bit string hash ``s[0]*31^(n-1) + ... + s[n-1]`` over UTF-16 code units, as the JVM defines it.
 
-    It asks the executor's own JVM, so any string gives the very number another JVM program computes. That takes
-    tens of nanoseconds a row; the same sum written with ``aggregate`` over the characters takes some fifty times
-    as long. Spark treats ``reflect`` as non-deterministic: name the column (``withColumn``) before aggregating
-    it, and put filters before it, as they are not moved below it. A null key gives 0.
+    It asks the executor's own JVM, so any string gives the very number another JVM program computes, in about a
+    tenth of the time that the same sum written with ``aggregate`` over the characters takes. A null key gives 0.
+
+    Spark treats ``reflect`` as non-deterministic: name the column (``withColumn``) before aggregating it, and put
+    filters before it, as they are not moved below it.
     """
     return F.reflect(F.lit("java.util.Objects"), F.lit("hashCode"), key.cast("string")).cast("int")

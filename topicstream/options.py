@@ -10,6 +10,7 @@ import re
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+# Option keys.
 ROOT = "root"
 DEFAULT_PROJECT = "default.project"
 SOURCE_PROJECT = "source.project"
@@ -25,7 +26,7 @@ SINK_RATE = "sink.rate"
 # Defaults of the options.
 DEFAULT_SOURCE_RATE = 50000
 DEFAULT_BATCH_ENABLE = True
-# Time between two commits of a batching sink, in seconds.
+# Fixed value: time between two commits of a batching sink, in seconds.
 COMMIT_INTERVAL_SECONDS = 180
 
 DEFAULT_PRODUCER = "main"

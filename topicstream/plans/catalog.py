@@ -232,7 +232,7 @@ def decode_map_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = [F.lit(n) for n in ("seq", "name", "age", "money", "other")]
     columns = [F.col(c).cast("string") for c in ("seq", "name", "age", "money", "event_type")]
     values = F.create_map(*(x for pair in zip(named, columns) for x in pair))
-    schema = T._parse_datatype_string("seq bigint, name string, age bigint, money double, absent string")
+    schema = T.StructType.fromDDL("seq bigint, name string, age bigint, money double, absent string")
     return event_rows(spark, sf_dir).select(decode_map(values, schema).alias("row")).select("row.*")
 
 

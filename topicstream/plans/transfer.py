@@ -93,9 +93,12 @@ def start_transfer(
 
 
 def run_transfer(
-    spark: SparkSession, props: Mapping[str, str], transfer: Transfer, *, compact: bool = False
+    spark: SparkSession, props: Mapping[str, str], transfer: Transfer, *, compact: bool | None = None
 ) -> None:
-    """Run the job once over all the source topic holds, for backfills. It takes no subscription position."""
+    """Run the job once over all the source topic holds, for backfills. It moves no subscription.
+
+    ``compact`` is that of :func:`topicstream.append_topic`.
+    """
     source = source_options(props)
     sink = sink_options(props)
     source_topic = open_topic(spark, source.root, source.project, source.topic)

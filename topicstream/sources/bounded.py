@@ -15,6 +15,8 @@ from topicstream.sources.topics import Topic, list_shards
 
 DEFAULT_COMPRESSION = "zstd"
 
+_FEW_SHARDS = 8
+
 
 def read_topic_batch(spark: SparkSession, topic: Topic, shards: Iterable[str] | None = None) -> DataFrame:
     """The records a topic holds now, of all shards or of the given ones.
@@ -34,21 +36,26 @@ def append_topic(
     topic: Topic,
     *,
     producer: str = DEFAULT_PRODUCER,
-    compact: bool = False,
+    compact: bool | None = None,
     compression: str = DEFAULT_COMPRESSION,
 ) -> None:
     """Append prepared records (see :func:`topicstream.prepare_records`) in one bounded write.
 
-    Rows are written where they are, without a shuffle; each task makes one file per shard it holds, split at the
-    topic's ``max_records_per_file``. ``compact`` spends one shuffle on fewer, evenly sized files: adaptive
-    execution splits the hot shards and joins the small ones.
+    Without ``compact`` rows are written where they are, without a shuffle, and each task makes a file for each shard
+    it holds. That suits a few shards. With many, it ends in tasks x shards small files; ``compact`` spends one
+    shuffle on evenly sized ones, where adaptive execution splits the hot shards and joins the small ones. By default
+    it is on for more than eight shards, and off where adaptive execution is, as nothing would split a hot shard.
+    Either way files are split at the topic's ``max_records_per_file``.
 
     The producer's folder must not belong to a streaming writer, whose readers would not see these files.
     """
     path = topic.producer_path(producer)
     if storage.exists(records.sparkSession, storage.join(path, "_spark_metadata")):
         raise ValueError(f"producer {producer!r} of topic {topic.name} is written by a stream; use another one")
-    if compact:
+    adaptive = records.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+    if compact and not adaptive:
+        raise ValueError("compacting needs spark.sql.adaptive.enabled")
+    if compact or (compact is None and adaptive and topic.shard_num > _FEW_SHARDS):
         records = records.hint("rebalance", SHARD_ID)
     with storage.microsecond_timestamps(records.sparkSession):
         (

@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from topicstream import storage
@@ -138,16 +139,16 @@ def create_topic(
     for producer in created.producers:
         storage.make_dir(spark, created.producer_path(producer))
     # The descriptor comes last: a topic exists once it can be opened.
-    row = (
-        created.name,
-        created.shard_num,
-        created.lifecycle_days,
-        created.comment,
-        created.schema.json(),
-        list(created.producers),
-        created.max_records_per_file,
+    row = spark.range(0, 1, 1, 1).select(
+        F.lit(created.name).alias("name"),
+        F.lit(created.shard_num).alias("shard_num"),
+        F.lit(created.lifecycle_days).alias("lifecycle_days"),
+        F.lit(created.comment).alias("comment"),
+        F.lit(created.schema.json()).alias("schema"),
+        F.array(*map(F.lit, created.producers)).alias("producers"),
+        F.lit(created.max_records_per_file).cast("bigint").alias("max_records_per_file"),
     )
-    spark.createDataFrame([row], _DESCRIPTOR).coalesce(1).write.mode("error").json(descriptor)
+    row.write.mode("error").json(descriptor)
     return created
 
 
