@@ -156,25 +156,33 @@ def test_metrics(spark, root):
     assert sink_metrics(reports[0])["records_out"] == 150
 
 
-def test_tasks_per_shard_bounds_the_files(spark, root):
+def test_compacted_stream_has_few_files(spark, root):
     source = create_topic(spark, root, "p", MESSAGE, max_records_per_file=10)
     append(spark, source, 0, 1000)
-    sink = create_topic(spark, root, "p", COPY)
-    drain(copy_stream(spark, source, sink), sink, f"{root}/c", tasks_per_shard=2)
-    assert seqs(spark, sink) == list(range(1000))
-    assert len(list(Path(sink.producer_path("main")).rglob("part-*.parquet"))) <= 2 * 4
-    with pytest.raises(ValueError, match="tasks_per_shard"):
-        drain(copy_stream(spark, source, sink), sink, f"{root}/c", tasks_per_shard=0)
+    many = TopicDef("many", 32, "", MESSAGE.fields)
+
+    def files(project, **settings):
+        sink = create_topic(spark, root, project, many)
+        drain(copy_stream(spark, source, sink), sink, f"{root}/{project}-checkpoint", **settings)
+        assert seqs(spark, sink) == list(range(1000))
+        return len(list(Path(sink.producer_path("main")).rglob("part-*.parquet")))
 
+    assert files("default") <= 32
+    assert files("off", compact=False) > 64
 
-def test_copies_of_one_row_share_the_work(spark, root):
-    source = create_topic(spark, root, "p", MESSAGE, max_records_per_file=50)
-    same = spark.range(0, 2000, 1, 4).selectExpr("1L as seq", "'hot' as name")
-    append_topic(prepare_records(same, source, BY_NAME), source)
+
+def test_a_hot_shard_is_compacted_by_several_tasks(spark, root):
+    source = create_topic(spark, root, "p", MESSAGE, max_records_per_file=5000)
+    copies = spark.range(0, 60000, 1, 8).selectExpr("id as seq", "if(id % 3 = 0, concat('k', id), 'hot') as name")
+    append_topic(prepare_records(copies, source, BY_NAME), source, compact=False)
     sink = create_topic(spark, root, "p", COPY)
-    drain(copy_stream(spark, source, sink), sink, f"{root}/c", tasks_per_shard=4)
-    files = read_topic_batch(spark, sink).groupBy(F.input_file_name()).count().collect()
-    assert sum(r["count"] for r in files) == 2000 and 2 <= len(files) <= 4
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        query = drain(copy_stream(spark, source, sink), sink, f"{root}/c", compact=True)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert "skewed" in query._jsq.explainInternal(False)
+    assert seqs(spark, sink) == list(range(60000))
 
 
 def test_immediate_mode_runs_until_stopped(spark, root):

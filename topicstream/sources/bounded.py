@@ -52,11 +52,7 @@ def append_topic(
     path = topic.producer_path(producer)
     if storage.exists(records.sparkSession, storage.join(path, "_spark_metadata")):
         raise ValueError(f"producer {producer!r} of topic {topic.name} is written by a stream; use another one")
-    adaptive = records.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
-    if compact and not adaptive:
-        raise ValueError("compacting needs spark.sql.adaptive.enabled")
-    if compact or (compact is None and adaptive and topic.shard_num > _FEW_SHARDS):
-        records = records.hint("rebalance", SHARD_ID)
+    records = even_out(records, topic, compact)
     with storage.microsecond_timestamps(records.sparkSession):
         (
             records.write.mode("append")
@@ -67,6 +63,16 @@ def append_topic(
         )
 
 
+def even_out(records: DataFrame, topic: Topic, compact: bool | None) -> DataFrame:
+    """Bring the rows of a shard together for writing, where that is wanted."""
+    adaptive = records.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+    if compact and not adaptive:
+        raise ValueError("compacting needs spark.sql.adaptive.enabled")
+    if compact or (compact is None and adaptive and topic.shard_num > _FEW_SHARDS):
+        return records.hint("rebalance", SHARD_ID)
+    return records
+
+
 def of_shards(df: DataFrame, topic: Topic, shards: Iterable[str] | None) -> DataFrame:
     if shards is None:
         return df

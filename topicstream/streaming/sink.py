@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from topicstream import storage
 from topicstream.options import COMMIT_INTERVAL_SECONDS, DEFAULT_PRODUCER
 from topicstream.schema import SHARD_ID
-from topicstream.sources.bounded import DEFAULT_COMPRESSION
+from topicstream.sources.bounded import DEFAULT_COMPRESSION, even_out
 from topicstream.sources.topics import Topic
 
 
@@ -22,7 +21,7 @@ def write_topic(
     batch_enable: bool = True,
     interval_seconds: float = COMMIT_INTERVAL_SECONDS,
     available_now: bool = False,
-    tasks_per_shard: int | None = None,
+    compact: bool | None = None,
     expire: bool = False,
     compression: str = DEFAULT_COMPRESSION,
     query_name: str | None = None,
@@ -34,9 +33,8 @@ def write_topic(
     commit comes every ``interval_seconds``, without it as soon as the last one is done. ``available_now`` drains
     what is there and stops.
 
-    There is no shuffle between source and sink, and each task makes a file for each shard it holds. Where many
-    tasks meet many shards, ``tasks_per_shard`` spends one shuffle to bound the files of a trigger at that number
-    for each shard. It is also the most tasks that share a hot shard, so choose it for the hottest one.
+    Files and ``compact`` are as in :func:`topicstream.append_topic`: few shards are written without a shuffle, for
+    many one shuffle keeps a commit from ending in tasks x shards small files.
 
     ``expire`` takes files older than the topic's lifecycle out of the commit log, which keeps the log of a
     long-lived topic short; readers no longer see them, also those that have yet to read them.
@@ -50,8 +48,7 @@ def write_topic(
     owned = storage.exists(spark, storage.join(path, "_spark_metadata"))
     if not owned and not storage.is_empty(spark, path):
         raise ValueError(f"producer {producer!r} of topic {topic.name} holds bounded writes; use another one")
-    if tasks_per_shard is not None:
-        records = _spread(records, topic, tasks_per_shard)
+    records = even_out(records, topic, compact)
     writer = (
         records.writeStream.format("parquet")
         .outputMode("append")
@@ -72,15 +69,3 @@ def write_topic(
     # A query keeps the settings its session had when it started.
     with storage.microsecond_timestamps(spark):
         return writer.start()
-
-
-def _spread(records: DataFrame, topic: Topic, tasks_per_shard: int) -> DataFrame:
-    """Partition by shard and a part of the shard, told by the row and the file it was read from.
-
-    Unlike a random part, a task that is run again gives each row the same one. The file sets apart copies of a row.
-    """
-    if tasks_per_shard < 1:
-        raise ValueError(f"tasks_per_shard must be positive, got {tasks_per_shard}")
-    row = [F.col(f"`{name}`") for name in topic.schema.fieldNames()]
-    part = F.pmod(F.xxhash64(*row, F.input_file_name()), F.lit(tasks_per_shard))
-    return records.withColumn("_part", part).repartition(SHARD_ID, "_part").drop("_part")
