@@ -1,4 +1,6 @@
+import datetime as dt
 import json
+from typing import Annotated
 
 import pytest
 from py4j.protocol import Py4JJavaError
@@ -8,6 +10,7 @@ from pyspark.sql import types as T
 
 from topicstream import (
     BIZ_KEY,
+    Field,
     FieldDef,
     TopicDef,
     attribute,
@@ -21,6 +24,8 @@ from topicstream import (
     encode_record,
     event_time_from_millis,
     map_rows,
+    topic,
+    topic_def,
 )
 
 QUERY_FAILS = (PySparkException, Py4JJavaError)
@@ -126,6 +131,27 @@ def test_encode_record(spark):
         encode_record(df, schema)
 
 
+@pytest.mark.parametrize("python_type", [int, dt.datetime])
+def test_declared_event_time_in_micros_or_as_timestamp(spark, python_type):
+    @topic(name="t", shard_num=1, comment="")
+    class Clocked:
+        at: int
+
+    Clocked.__annotations__["at"] = Annotated[python_type, Field("event_time", "TIMESTAMP")]
+    declared = topic_def(Clocked)
+    value = {int: 1704067207179575, dt.datetime: dt.datetime(2024, 1, 1, 0, 0, 7, 179575)}[python_type]
+    typed = spark.createDataFrame([(value,), (None,)], declared.value_struct())
+    records = encode_record(encode_alias(typed, declared), declared.to_struct())
+    assert [r.us for r in records.select(F.unix_micros("event_time").alias("us")).collect()] == [1704067207179575, None]
+    assert decode_record(records, declared).collect() == typed.collect()
+
+
+def test_event_time_hook_in_micros(spark):
+    df = spark.createDataFrame([("n", 1704067207179)], "name string, create_time bigint")
+    records = encode_record(df, MESSAGE.to_struct(True), event_time=F.col("create_time") * 1000)
+    assert records.select(F.unix_micros("event_time")).first()[0] == 1704067207179000
+
+
 def test_record_without_hooks_has_no_attributes_and_no_event_time(spark):
     row = encode_record(spark.createDataFrame([("n",)], "name string"), MESSAGE.to_struct(True)).first()
     assert row.attributes is None and row.event_time is None

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from topicstream.schema import ATTRIBUTES, EVENT_TIME, FieldDef, TopicDef
+from topicstream.schema import ATTRIBUTES, EVENT_TIME, TIMESTAMP, FieldDef, TopicDef
 
 # Fixed value: attribute that carries the business key.
 BIZ_KEY = "biz_key"
@@ -30,6 +30,8 @@ def decode_record(df: DataFrame, definition: TopicDef, keep: Iterable[str] = ())
         if field.alias not in present:
             return F.lit(None).cast(field.value_type)
         column = F.col(quoted(field.alias))
+        if field.type == TIMESTAMP and field.value_type == T.LongType():
+            return F.unix_micros(column)
         return column if present[field.alias] == field.value_type else cast(column, field.value_type)
 
     return df.select(*(typed(f).alias(f.name) for f in definition.fields), *(F.col(quoted(c)) for c in keep))
@@ -77,12 +79,13 @@ def field_aliases(columns: Iterable[str], definition: TopicDef) -> dict[str, str
 
 
 def encode_payload(
-    columns: Mapping[str, Column], schema: T.StructType, event_time: Column | None = None
+    df: DataFrame, columns: Mapping[str, Column], schema: T.StructType, event_time: Column | None = None
 ) -> list[Column]:
-    """The payload columns of a topic record, in topic order and of topic type.
+    """The payload columns of a topic record over ``df``, in topic order and of topic type.
 
     ``columns`` holds the values by topic column. A name the topic does not have raises; a topic column without a
-    value is null. ``event_time`` sets the producer's clock, after the other values.
+    value is null. ``event_time`` sets the producer's clock, after the other values; as a whole number it is epoch
+    microseconds.
     """
     values = dict(columns)
     if event_time is not None:
@@ -90,6 +93,8 @@ def encode_payload(
     unknown = [name for name in values if name not in schema.fieldNames()]
     if unknown:
         raise ValueError(f"not columns of the topic: {unknown}, it has {schema.fieldNames()}")
+    if EVENT_TIME in values and isinstance(df.select(values[EVENT_TIME]).schema[0].dataType, T.IntegralType):
+        values[EVENT_TIME] = F.timestamp_micros(values[EVENT_TIME].cast("bigint"))
     cast = strict_cast()
     return [
         cast(values.get(f.name, F.lit(None)), f.dataType).alias(f.name, metadata=f.metadata) for f in schema.fields
@@ -109,7 +114,7 @@ def encode_record(
     ``event_time`` and ``attributes`` are expressions over ``df``; columns in ``carry`` are there for them only.
     """
     names = [c for c in df.columns if c not in set(carry)]
-    payload = encode_payload({c: F.col(quoted(c)) for c in names}, schema, event_time)
+    payload = encode_payload(df, {c: F.col(quoted(c)) for c in names}, schema, event_time)
     return df.select(*payload, attributes_or_none(attributes))
 
 

@@ -20,8 +20,8 @@ def assign_batches(
     """Add ``batch_no``: the first ``size`` rows of a shard in arrival order are batch 0, the next batch 1, ...
 
     ``order_by`` is a numeric column that orders the rows of a shard, an arrival sequence. A single window
-    per shard would sort a whole shard in one task, so the order is cut into ``ranges`` (default: the shuffle
-    partitions) of about equal size. A task sorts one range of one shard, and the exact row counts of the ranges
+    per shard would sort a whole shard in one task, so the order is cut into ``ranges`` of about equal size (default:
+    four for each shuffle partition, which evens out where they land). A task sorts one range of one shard, and the exact row counts of the ranges
     before it give its first number. Only where to cut comes from a sample; the numbering itself is exact and
     does not depend on the cuts. For a hot shard the work is split like for any other.
 
@@ -31,7 +31,7 @@ def assign_batches(
         raise ValueError("assign_batches needs a bounded DataFrame; a streaming sink caps its files instead")
     if size < 1:
         raise ValueError(f"batch size must be positive, got {size}")
-    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = ranges or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     located = _with_range(df, order_by, _cuts(df, order_by, ranges))
 
     part = [SHARD_ID, "_range"]

@@ -447,6 +447,32 @@ def topic_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_topic_batch(spark, copy).select(_shard(), "seq", "name", "age")
 
 
+@query(f"SELECT CAST(abs({_sql_hash(_NAME)} % 32) AS INTEGER) AS shard, event_id AS seq, {_NAME} AS name FROM events")
+def topic_many_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream placed anew over more shards than are written without a shuffle."""
+    declared = TopicDef("wide", 32, "more shards", (FieldDef("seq", BIGINT), FieldDef("name", STRING)))
+    sink = create_topic(spark, storage.scratch_dir(spark, "topics"), staging.PROJECT, declared)
+    rows = read_topic(spark, staged_events(spark, sf_dir)).select("seq", "name")
+    checkpoint = storage.join(sink.root, "_checkpoint")
+    write_topic(prepare_records(rows, sink, BY_NAME), sink, checkpoint=checkpoint, available_now=True).awaitTermination()
+    return read_topic_batch(spark, sink).select(_shard(), "seq", "name")
+
+
+@query(f"""SELECT CAST(abs({_sql_hash("source")} % 4) AS INTEGER) AS shard, doc_id, lang,
+    length(text) AS n_chars, md5(text) AS digest FROM documents""")
+def topic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents through a topic, placed by their source."""
+    declared = TopicDef(
+        "documents", 4, "documents",
+        (FieldDef("doc_id", BIGINT), FieldDef("source", STRING), FieldDef("lang", STRING), FieldDef("text", STRING)),
+    )
+    created = create_topic(spark, storage.scratch_dir(spark, "topics"), staging.PROJECT, declared)
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    append_topic(prepare_records(documents, created, key_hash_selector("source")), created)
+    n_chars = F.length("text").cast("bigint").alias("n_chars")
+    return read_topic_batch(spark, created).select(_shard(), "doc_id", "lang", n_chars, F.md5("text").alias("digest"))
+
+
 @query(f"""WITH {_EVENTS}, b AS (
         SELECT shard, seq, (row_number() OVER (PARTITION BY shard ORDER BY seq) - 1) // 128 AS batch_no FROM e)
     SELECT shard, batch_no, count(*) AS n, min(seq) AS first_seq, max(seq) AS last_seq FROM b GROUP BY shard, batch_no""")
@@ -479,12 +505,9 @@ def topic_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return describe_topic(spark, source).join(values, "field").select("position", "field", "type", "comment", "n_values")
 
 
-_DOC_KEY = "source"
-
-
 @query(f"""SELECT CAST(s.shard AS INTEGER) AS shard, coalesce(d.n, 0) AS n
     FROM (SELECT unnest(generate_series(0, 31)) AS shard) s
-    LEFT JOIN (SELECT abs({_sql_hash(_DOC_KEY)} % 32) AS shard, count(*) AS n FROM documents GROUP BY 1) d
+    LEFT JOIN (SELECT abs({_sql_hash('source')} % 32) AS shard, count(*) AS n FROM documents GROUP BY 1) d
     ON s.shard = d.shard""")
 def topic_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every shard of a topic of documents placed by source, with its records; unused shards too."""

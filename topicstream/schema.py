@@ -51,7 +51,8 @@ _VALUE_TYPES: dict[object, tuple[str, T.DataType]] = {
     Int32: (BIGINT, T.IntegerType()),
     float: (DOUBLE, T.DoubleType()),
 }
-_EVENT_TIME_VALUES = (int, dt.datetime)
+# The same for the event time; a whole number is epoch microseconds.
+_EVENT_TIME_VALUES: dict[object, T.DataType] = {int: T.LongType(), dt.datetime: T.TimestampType()}
 
 C = TypeVar("C", bound=type)
 
@@ -161,7 +162,7 @@ def _field_def(prop: str, hint: object) -> FieldDef:
         raise ValueError(f"field {prop} has no declaration")
     field, python_type = declared[0], get_args(hint)[0]
     if field.alias == EVENT_TIME and python_type in _EVENT_TIME_VALUES:
-        return FieldDef(field.alias, field.type, field.comment, prop)
+        return FieldDef(field.alias, field.type, field.comment, prop, _EVENT_TIME_VALUES[python_type])
     if python_type not in _VALUE_TYPES:
         raise TypeError(f"Unsupported type: {python_type} (field {prop})")
     expected, value_type = _VALUE_TYPES[python_type]

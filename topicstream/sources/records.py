@@ -39,7 +39,7 @@ def prepare_records(
     columns = {alias[c]: F.col(quoted(c)) for c in names}
     arrival = F.current_timestamp() if system_time is None else system_time
     return df.select(
-        *encode_payload(columns, topic.schema, event_time),
+        *encode_payload(df, columns, topic.schema, event_time),
         attributes_or_none(attributes),
         arrival.cast("timestamp").alias(SYSTEM_TIME),
         selector(list_shards(topic)).cast("string").alias(SHARD_ID),
