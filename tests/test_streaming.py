@@ -228,6 +228,24 @@ def test_sink_checks(spark, root):
     assert seqs(spark, sink) == sorted([*range(10), *range(10)])
 
 
+def test_producer_and_checkpoint_belong_together(spark, root):
+    """Spark takes a batch number the sink's log holds already for done and would drop its rows without a word."""
+    source = create_topic(spark, root, "p", MESSAGE)
+    sink = create_topic(spark, root, "p", COPY, producers=("main", "second"))
+    append(spark, source, 0, 100)
+    drain(copy_stream(spark, source, sink), sink, f"{root}/c1")
+    with pytest.raises(ValueError, match="belongs to the stream"):
+        drain(copy_stream(spark, source, sink), sink, f"{root}/c2")
+    with pytest.raises(ValueError, match="belongs to another sink"):
+        drain(copy_stream(spark, source, sink), sink, f"{root}/c1", producer="second")
+    drain(copy_stream(spark, source, sink), sink, f"{root}/c1/")
+    drain(copy_stream(spark, source, sink), sink, f"{root}/c2", producer="second")
+    assert seqs(spark, sink) == sorted([*range(100), *range(100)])
+    Path(root, "c1").rename(Path(root, "moved"))
+    with pytest.raises(ValueError, match="is gone"):
+        drain(copy_stream(spark, source, sink), sink, f"{root}/c1")
+
+
 def test_watermark_is_the_callers_choice(spark, root):
     source = create_topic(spark, root, "p", MESSAGE)
     assert "EventTimeWatermark" not in read_topic(spark, source)._jdf.queryExecution().analyzed().toString()

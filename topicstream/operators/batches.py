@@ -6,6 +6,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from topicstream.functions.codec import quoted
 from topicstream.schema import SHARD_ID
 
 # Fixed value: records per shard in one send.
@@ -19,11 +20,11 @@ def assign_batches(
 ) -> DataFrame:
     """Add ``batch_no``: the first ``size`` rows of a shard in arrival order are batch 0, the next batch 1, ...
 
-    ``order_by`` is a numeric column that orders the rows of a shard, an arrival sequence. A single window
-    per shard would sort a whole shard in one task, so the order is cut into ``ranges`` of about equal size (default:
-    four for each shuffle partition, which evens out where they land). A task sorts one range of one shard, and the exact row counts of the ranges
-    before it give its first number. Only where to cut comes from a sample; the numbering itself is exact and
-    does not depend on the cuts. For a hot shard the work is split like for any other.
+    ``order_by`` is a numeric column that orders the rows of a shard, an arrival sequence. A single window per shard
+    would sort a whole shard in one task, so the order is cut into ``ranges`` of about equal size (default: four for
+    each shuffle partition, which evens out where they land). A task sorts one range of one shard, and the exact row
+    counts of the ranges before it give its first number. Only where to cut comes from a sample; the numbering itself
+    is exact and does not depend on the cuts. For a hot shard the work is split like for any other.
 
     Batch queries only. It runs two small jobs when called, to place the cuts.
     """
@@ -48,7 +49,7 @@ def assign_batches(
     in_range = F.row_number().over(Window.partitionBy(*part).orderBy(order_by))
     numbered = located.withColumn("_rn", in_range).join(before, part)
     batch_no = F.expr(f"(_before + _rn - 1) div {size}")
-    return numbered.select(*(F.col(c) for c in df.columns), batch_no.alias("batch_no"))
+    return numbered.select(*(F.col(quoted(c)) for c in df.columns), batch_no.alias("batch_no"))
 
 
 def _cuts(df: DataFrame, order_by: str, ranges: int) -> list[float]:

@@ -50,7 +50,7 @@ def append_topic(
     The producer's folder must not belong to a streaming writer, whose readers would not see these files.
     """
     path = topic.producer_path(producer)
-    if storage.exists(records.sparkSession, storage.join(path, "_spark_metadata")):
+    if storage.exists(records.sparkSession, topic.claim_path(producer)):
         raise ValueError(f"producer {producer!r} of topic {topic.name} is written by a stream; use another one")
     records = even_out(records, topic, compact)
     with storage.microsecond_timestamps(records.sparkSession):

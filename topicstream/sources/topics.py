@@ -4,6 +4,7 @@ Layout under the root, on any file system Spark can reach::
 
     <root>/<project>/<topic>/descriptor/                          one JSON row
     <root>/<project>/<topic>/data/<producer>/shard_id=<k>/*.parquet
+    <root>/<project>/<topic>/streams/<producer>                   checkpoint of the stream that writes it, if one does
     <root>/_subscriptions/<project>/<topic>/<subscription>/       streaming checkpoint
 
 Each producer is one writing job with a folder of its own, because a streaming file sink keeps its commit log
@@ -114,6 +115,11 @@ class Topic:
             raise ValueError(f"topic {self.name} has no producer {producer!r}, only {list(self.producers)}")
         return storage.join(self.path, "data", producer)
 
+    def claim_path(self, producer: str) -> str:
+        """File that names the checkpoint of the stream a producer belongs to, once it belongs to one."""
+        self.producer_path(producer)
+        return storage.join(self.path, "streams", producer)
+
     def subscription_path(self, subscription: str) -> str:
         """Where the read position of a named subscription is kept: the reading query's checkpoint."""
         if not subscription.strip():

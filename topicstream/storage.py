@@ -32,6 +32,24 @@ def is_empty(spark: SparkSession, path: str) -> bool:
     return all(entry.getPath().getName() == "_SUCCESS" for entry in fs.listStatus(target))
 
 
+def create_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small new file. Fails where the file exists, so of two writers only one gets it."""
+    fs, target = _resolve(spark, path)
+    out = fs.create(target, False)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """Content of a small file, or None where there is none."""
+    if not exists(spark, path):
+        return None
+    row = spark.read.text(path, wholetext=True).first()
+    return row.value if row else ""
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder path under the shared folder named by ``spark.checkpoint.dir``.
 

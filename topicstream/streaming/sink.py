@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from topicstream import storage
@@ -36,6 +36,9 @@ def write_topic(
     Files and ``compact`` are as in :func:`topicstream.append_topic`: few shards are written without a shuffle, for
     many one shuffle keeps a commit from ending in tasks x shards small files.
 
+    A producer and a checkpoint belong together from their first run on: the producer's commit log counts the
+    checkpoint's triggers, and Spark would skip those of another one as done already. A mix-up raises.
+
     ``expire`` takes files older than the topic's lifecycle out of the commit log, which keeps the log of a
     long-lived topic short; readers no longer see them, also those that have yet to read them.
     """
@@ -44,16 +47,14 @@ def write_topic(
     if not checkpoint or not checkpoint.strip():
         raise ValueError("a streaming write needs a checkpoint location")
     spark = records.sparkSession
-    path = topic.producer_path(producer)
-    owned = storage.exists(spark, storage.join(path, "_spark_metadata"))
-    if not owned and not storage.is_empty(spark, path):
-        raise ValueError(f"producer {producer!r} of topic {topic.name} holds bounded writes; use another one")
+    checkpoint = checkpoint.strip().rstrip("/")
+    _claim(spark, topic, producer, checkpoint)
     records = even_out(records, topic, compact)
     writer = (
         records.writeStream.format("parquet")
         .outputMode("append")
         .partitionBy(SHARD_ID)
-        .option("path", path)
+        .option("path", topic.producer_path(producer))
         .option("checkpointLocation", checkpoint)
         .option("maxRecordsPerFile", topic.max_records_per_file)
         .option("compression", compression)
@@ -69,3 +70,21 @@ def write_topic(
     # A query keeps the settings its session had when it started.
     with storage.microsecond_timestamps(spark):
         return writer.start()
+
+
+def _claim(spark: SparkSession, topic: Topic, producer: str, checkpoint: str) -> None:
+    """Tie a producer to a checkpoint, or see that it is tied to this one."""
+    who = f"producer {producer!r} of topic {topic.name}"
+    path = topic.producer_path(producer)
+    started = not storage.is_empty(spark, storage.join(checkpoint, "offsets"))
+    holder = storage.read_text(spark, topic.claim_path(producer))
+    if holder is None:
+        if not storage.is_empty(spark, path):
+            raise ValueError(f"{who} holds bounded writes; use another one")
+        if started:
+            raise ValueError(f"checkpoint {checkpoint} belongs to another sink; start {who} from a new one")
+        storage.create_text(spark, topic.claim_path(producer), checkpoint)
+    elif holder != checkpoint:
+        raise ValueError(f"{who} belongs to the stream with checkpoint {holder}")
+    elif not started and not storage.is_empty(spark, storage.join(path, "_spark_metadata")):
+        raise ValueError(f"checkpoint {checkpoint} of {who} is gone; go on with another producer")
