@@ -12,7 +12,8 @@ import __spark_entry__ as entry_points
 from conftest import TESTDATA
 
 TABLES = (
-    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels"
+    " conversations"
 ).split()
 DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE"}
 

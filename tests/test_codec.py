@@ -44,7 +44,8 @@ MESSAGE = TopicDef(
 
 
 def test_decode_drops_unknown_and_fills_missing(spark):
-    records = spark.createDataFrame([("n", 7, 1704067207179, "x")], "name string, age bigint, create_time bigint, zz string")
+    schema = "name string, age bigint, create_time bigint, zz string"
+    records = spark.createDataFrame([("n", 7, 1704067207179, "x")], schema)
     typed = decode_record(records, MESSAGE)
     assert typed.dtypes == [("name", "string"), ("age", "int"), ("money", "double"), ("createTime", "bigint")]
     assert typed.first() == ("n", 7, None, 1704067207179)

@@ -61,7 +61,9 @@ def test_integers():
         source_options({**SOURCE, "source.rate": "0"})
 
 
-@pytest.mark.parametrize(("text", "value"), [("true", True), ("TRUE", True), ("yes", False), ("1", False), ("false", False)])
+@pytest.mark.parametrize(
+    ("text", "value"), [("true", True), ("TRUE", True), ("yes", False), ("1", False), ("false", False)]
+)
 def test_booleans(text, value):
     assert get_bool({"k": text}, "k", not value) is value
 

@@ -42,17 +42,20 @@ def test_hash_and_shard(spark, key, hashed, shard):
 @given(st.lists(st.text(alphabet=st.characters(exclude_categories=["Cs"]), max_size=40), min_size=1, max_size=30))
 def test_hash_of_any_text(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
-    assert [r.h for r in df.select(java_string_hash(F.col("t")).alias("h")).collect()] == list(map(expected_hash, texts))
+    hashes = df.select(java_string_hash(F.col("t")).alias("h")).collect()
+    assert [r.h for r in hashes] == list(map(expected_hash, texts))
 
 
 def test_hash_of_long_text(spark):
     text = "línea 数据 😀\n" * 20000
-    assert spark.createDataFrame([(text,)], "t string").select(java_string_hash(F.col("t"))).first()[0] == expected_hash(text)
+    df = spark.createDataFrame([(text,)], "t string")
+    assert df.select(java_string_hash(F.col("t"))).first()[0] == expected_hash(text)
 
 
 def test_index_is_never_negative(spark):
     names = [f"key-{i}" for i in range(2000)]
-    df = route(spark.createDataFrame([(n,) for n in names], "name string"), [f"s{i}" for i in range(7)], key_hash_selector("name"))
+    keys = spark.createDataFrame([(n,) for n in names], "name string")
+    df = route(keys, [f"s{i}" for i in range(7)], key_hash_selector("name"))
     for row in df.collect():
         h = expected_hash(row.name)
         assert row.shard_id == f"s{abs(h) % 7 if h != -(1 << 31) else (1 << 31) % 7}"
@@ -69,10 +72,23 @@ def test_no_shards():
         spread_selector("name")([])
 
 
+def test_own_selector(spark):
+    df = spark.range(6).select((F.col("id") % 3).cast("string").alias("s"))
+    named = route(df, ["0", "1", "2"], lambda shards: F.col("s"))
+    assert sorted(r.shard_id for r in named.collect()) == ["0", "0", "1", "1", "2", "2"]
+    by_number = route(df, ["0", "1", "2"], lambda shards: F.col("s").cast("int"))
+    assert sorted(r.shard_id for r in by_number.collect()) == ["0", "0", "1", "1", "2", "2"]
+
+
+@pytest.mark.parametrize("given", [lambda shards: F.col("s"), lambda shards: F.lit(None)])
+def test_own_selector_must_give_a_listed_shard(spark, given):
+    df = spark.createDataFrame([("0",), ("9",)], "s string")
+    with pytest.raises(QUERY_FAILS, match="no shard of the topic"):
+        route(df, FOUR, given).collect()
+
+
 def test_counts_of_a_hot_key(spark):
-    df = spark.range(9000).select(
-        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id").cast("string"))).alias("name"), "id"
-    )
+    df = spark.range(9000).selectExpr("if(id % 3 = 0, 'hot', concat('k', id)) as name", "id")
     by_key = {r.shard_id: r.n for r in shard_counts(route(df, FOUR, key_hash_selector("name"))).collect()}
     assert sum(by_key.values()) == 9000
     assert by_key[str(abs(expected_hash("hot")) % 4)] > 4000

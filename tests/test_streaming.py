@@ -28,7 +28,7 @@ BY_NAME = key_hash_selector("name")
 
 
 def append(spark, topic, start, end, producer="main"):
-    rows = spark.range(start, end).select(F.col("id").alias("seq"), F.concat(F.lit("k"), F.col("id").cast("string")).alias("name"))
+    rows = spark.range(start, end).selectExpr("id as seq", "concat('k', id) as name")
     append_topic(prepare_records(rows, topic, BY_NAME), topic, producer=producer)
 
 
@@ -87,7 +87,8 @@ def test_uncommitted_files_are_not_read(spark, root):
 
 
 def test_a_failed_run_is_replayed_without_loss(spark, root):
-    source, sink = create_topic(spark, root, "p", MESSAGE, max_records_per_file=50), create_topic(spark, root, "p", COPY)
+    source = create_topic(spark, root, "p", MESSAGE, max_records_per_file=50)
+    sink = create_topic(spark, root, "p", COPY)
     append(spark, source, 0, 600)
     poison = F.when(F.col("seq") == 333, F.raise_error(F.lit("send failed")).cast("string")).otherwise(F.col("name"))
     rate = {"rate": 200, "interval_seconds": 200 / (200 * spark.sparkContext.defaultParallelism)}
@@ -126,7 +127,8 @@ def test_lost_tasks_neither_lose_nor_double_records(spark, root):
 
 
 def test_rate_limit(spark, root):
-    source, sink = create_topic(spark, root, "p", MESSAGE, producers=("a", "b"), max_records_per_file=20), create_topic(spark, root, "p", COPY)
+    source = create_topic(spark, root, "p", MESSAGE, producers=("a", "b"), max_records_per_file=20)
+    sink = create_topic(spark, root, "p", COPY)
     append(spark, source, 0, 900, "a")
     append(spark, source, 900, 1000, "b")
     limit = records_per_trigger(spark, 25, 1)

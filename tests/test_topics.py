@@ -22,8 +22,7 @@ MESSAGE = TopicDef(
 
 
 def rows(spark, n, start=0):
-    ids = spark.range(start, start + n)
-    return ids.select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("name"), F.col("id").alias("age"), F.lit(0.5).alias("money"))
+    return spark.range(start, start + n).selectExpr("concat('k', id) as name", "id as age", "0.5D as money")
 
 
 def test_create_open_describe(spark, root):
@@ -69,7 +68,8 @@ def test_sink_needs_event_time(spark, root):
 def test_append_and_read_back(spark, root):
     created = create_topic(spark, root, "p", MESSAGE, producers=("a", "b"), max_records_per_file=40)
     for producer, start in (("a", 0), ("b", 500), ("a", 1000)):
-        append_topic(prepare_records(rows(spark, 500, start), created, key_hash_selector("name")), created, producer=producer)
+        records = prepare_records(rows(spark, 500, start), created, key_hash_selector("name"))
+        append_topic(records, created, producer=producer)
     read = read_topic_batch(spark, created)
     assert read.columns == created.record_schema.fieldNames()
     assert sorted(r.age for r in read.collect()) == list(range(1500))

@@ -3,7 +3,15 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from conftest import TESTDATA
-from topicstream import Transfer, create_topic, event_time_from_millis, read_topic_batch, run_transfer, start_transfer, totals
+from topicstream import (
+    Transfer,
+    create_topic,
+    event_time_from_millis,
+    read_topic_batch,
+    run_transfer,
+    start_transfer,
+    totals,
+)
 from topicstream.plans import staging
 
 
@@ -54,7 +62,8 @@ def test_rows_without_a_clock_fail_the_job(spark, job):
     def blank(df):
         return transfer.transform(df).withColumn("createTime", F.lit(None).cast("bigint"))
 
-    broken = Transfer(**{**vars(transfer), "transform": blank, "event_time": event_time_from_millis(F.col("createTime"))})
+    clock = event_time_from_millis(F.col("createTime"))
+    broken = Transfer(**{**vars(transfer), "transform": blank, "event_time": clock})
     with pytest.raises(StreamingQueryException, match="event time is null"):
         start_transfer(spark, props, broken, available_now=True).awaitTermination()
     assert read_topic_batch(spark, sink).count() == 0

@@ -404,7 +404,10 @@ def custom_selector(spark: SparkSession, sf_dir: str) -> DataFrame:
 _LINE_KEY = "'Order#' || l_orderkey"
 
 
-@query(f"SELECT CAST(abs({_sql_hash(_LINE_KEY)} % 64) AS INTEGER) AS shard, count(*) AS n FROM lineitem GROUP BY 1", name="shard_counts")
+@query(
+    f"SELECT CAST(abs({_sql_hash(_LINE_KEY)} % 64) AS INTEGER) AS shard, count(*) AS n FROM lineitem GROUP BY 1",
+    name="shard_counts",
+)
 def shard_counts_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per shard when order lines are placed by order."""
     key = F.concat(F.lit("Order#"), F.col("l_orderkey").cast("string"))
@@ -414,7 +417,8 @@ def shard_counts_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"WITH {_EVENTS} SELECT shard, seq, name, money, create_ms * 1000 AS event_us, system_us, name AS biz_key FROM e")
+@query(f"WITH {_EVENTS} SELECT shard, seq, name, money, create_ms * 1000 AS event_us, system_us, name AS biz_key "
+       "FROM e")
 def topic_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream from one topic into another, read back from the second."""
     source = staged_events(spark, sf_dir)
@@ -453,8 +457,9 @@ def topic_many_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     declared = TopicDef("wide", 32, "more shards", (FieldDef("seq", BIGINT), FieldDef("name", STRING)))
     sink = create_topic(spark, storage.scratch_dir(spark, "topics"), staging.PROJECT, declared)
     rows = read_topic(spark, staged_events(spark, sf_dir)).select("seq", "name")
+    records = prepare_records(rows, sink, BY_NAME)
     checkpoint = storage.join(sink.root, "_checkpoint")
-    write_topic(prepare_records(rows, sink, BY_NAME), sink, checkpoint=checkpoint, available_now=True).awaitTermination()
+    write_topic(records, sink, checkpoint=checkpoint, available_now=True).awaitTermination()
     return read_topic_batch(spark, sink).select(_shard(), "seq", "name")
 
 
@@ -475,7 +480,8 @@ def topic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {_EVENTS}, b AS (
         SELECT shard, seq, (row_number() OVER (PARTITION BY shard ORDER BY seq) - 1) // 128 AS batch_no FROM e)
-    SELECT shard, batch_no, count(*) AS n, min(seq) AS first_seq, max(seq) AS last_seq FROM b GROUP BY shard, batch_no""")
+    SELECT shard, batch_no, count(*) AS n, min(seq) AS first_seq, max(seq) AS last_seq
+    FROM b GROUP BY shard, batch_no""")
 def batch_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sends of 128 records per shard in arrival order."""
     rows = event_rows(spark, sf_dir).select("seq", "name")
@@ -489,7 +495,8 @@ def batch_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT * FROM (
-        SELECT 0 AS position, 'seq' AS field, 'BIGINT' AS type, 'arrival order' AS comment, count(event_id) AS n_values FROM events
+        SELECT 0 AS position, 'seq' AS field, 'BIGINT' AS type, 'arrival order' AS comment,
+            count(event_id) AS n_values FROM events
         UNION ALL SELECT 1, 'name', 'STRING', 'routing key', count(user_id) FROM events
         UNION ALL SELECT 2, 'age', 'BIGINT', '', count(user_id) FROM events
         UNION ALL SELECT 3, 'money', 'DOUBLE', '', count(value) FROM events
@@ -502,7 +509,8 @@ def topic_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = source.schema.fieldNames()
     counts = read_topic_batch(spark, source).agg(*(F.count(F.col(n)).alias(n) for n in names))
     values = counts.unpivot([], names, "field", "n_values")
-    return describe_topic(spark, source).join(values, "field").select("position", "field", "type", "comment", "n_values")
+    fields = describe_topic(spark, source).join(values, "field")
+    return fields.select("position", "field", "type", "comment", "n_values")
 
 
 @query(f"""SELECT CAST(s.shard AS INTEGER) AS shard, coalesce(d.n, 0) AS n
@@ -547,7 +555,8 @@ def records_out_by_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records_by_shard(read_topic_batch(spark, sink), "records_out").select(_shard(), "records_out")
 
 
-@query(f"""WITH {_EVENTS} SELECT shard, epoch_ms(TIMESTAMP '2024-01-31 00:00:00') - max_by(system_us // 1000, seq) AS delay
+@query(f"""WITH {_EVENTS} SELECT shard,
+        epoch_ms(TIMESTAMP '2024-01-31 00:00:00') - max_by(system_us // 1000, seq) AS delay
     FROM e GROUP BY shard""", name="delay_by_shard")
 def delay_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lag of each shard's last record at a given time."""

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from topicstream.functions.codec import attributes_or_none, encode_payload, field_aliases, quoted
-from topicstream.operators.routing import Selector
+from topicstream.operators.routing import Selector, place
 from topicstream.schema import EVENT_TIME, SHARD_ID, SYSTEM_TIME, TopicDef
 from topicstream.sources.topics import Topic, list_shards
 
@@ -42,5 +42,5 @@ def prepare_records(
         *encode_payload(df, columns, topic.schema, event_time),
         attributes_or_none(attributes),
         arrival.cast("timestamp").alias(SYSTEM_TIME),
-        selector(list_shards(topic)).cast("string").alias(SHARD_ID),
+        place(list_shards(topic), selector).alias(SHARD_ID),
     )
