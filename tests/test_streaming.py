@@ -20,7 +20,7 @@ from topicstream import (
     with_source_metrics,
     write_topic,
 )
-from topicstream.streaming.source import files_per_trigger, records_per_trigger
+from topicstream.streaming.source import files_per_trigger, records_per_trigger, shortest_interval
 
 MESSAGE = TopicDef("tp", 4, "", (FieldDef("seq", "BIGINT"), FieldDef("name", "STRING")))
 COPY = TopicDef("copy", 4, "", MESSAGE.fields)
@@ -144,6 +144,17 @@ def test_rate_below_one_file_raises(spark, root):
     with pytest.raises(ValueError, match="less than one file"):
         read_topic(spark, source, rate=1, interval_seconds=1)
     assert files_per_trigger(spark, source, 50000, 180) == 9 * spark.sparkContext.defaultParallelism
+    assert files_per_trigger(spark, source, 50000, 180, slots=8000) == 72000
+
+
+@pytest.mark.parametrize(("rate", "slots"), [(50000, 8), (50000, 8000), (7, 3), (333, 1), (1_000_000, 1)])
+def test_shortest_interval_admits_a_file(spark, root, rate, slots):
+    source = create_topic(spark, root, "p", MESSAGE, producers=("a", "b", "c"))
+    seconds = shortest_interval(spark, source, rate, slots)
+    assert seconds >= 1 and files_per_trigger(spark, source, rate, seconds, slots) >= 1
+    if seconds > 1:
+        with pytest.raises(ValueError):
+            files_per_trigger(spark, source, rate, seconds - 1, slots)
 
 
 def test_metrics(spark, root):
@@ -190,7 +201,7 @@ def test_a_hot_shard_is_compacted_by_several_tasks(spark, root):
 def test_immediate_mode_runs_until_stopped(spark, root):
     source, sink = create_topic(spark, root, "p", MESSAGE), create_topic(spark, root, "p", COPY)
     append(spark, source, 0, 100)
-    query = write_topic(copy_stream(spark, source, sink), sink, checkpoint=f"{root}/c", batch_enable=False)
+    query = write_topic(copy_stream(spark, source, sink), sink, checkpoint=f"{root}/c", interval_seconds=None)
     try:
         query.processAllAvailable()
         append(spark, source, 100, 150)

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -47,6 +49,23 @@ def test_stream_and_bounded_run_agree(spark, job):
     assert content(spark, sink) == sorted([*streamed, *streamed])
 
 
+def test_without_batching_commits_follow_each_other(spark, job):
+    """Each trigger reads a file of each producer, as the rate allows no more in so short a time."""
+    source, sink, props = job
+    expected = staging.checked_transfer().records(read_topic_batch(spark, source), sink).count()
+    query = start_transfer(spark, {**props, "sink.batchEnable": "false"}, staging.checked_transfer())
+    try:
+        deadline = time.time() + 120
+        while read_topic_batch(spark, sink).count() < expected and time.time() < deadline:
+            time.sleep(0.5)
+        assert query.isActive
+        busy = [p for p in query.recentProgress if p["numInputRows"]]
+    finally:
+        query.stop()
+    assert read_topic_batch(spark, sink).count() == expected
+    assert len(busy) > 1
+
+
 def test_a_transform_may_only_return_declared_columns(spark, job):
     _, _, props = job
     transfer = staging.checked_transfer()

@@ -17,7 +17,7 @@ from topicstream.sources.bounded import append_topic, read_topic_batch
 from topicstream.sources.records import prepare_records
 from topicstream.sources.topics import Topic, open_topic
 from topicstream.streaming.sink import write_topic
-from topicstream.streaming.source import read_topic
+from topicstream.streaming.source import read_topic, shortest_interval
 
 Transform = Callable[[DataFrame], DataFrame]
 
@@ -66,26 +66,29 @@ def start_transfer(
     transfer: Transfer,
     *,
     interval_seconds: float = COMMIT_INTERVAL_SECONDS,
+    slots: int | None = None,
     available_now: bool = False,
     **writing,
 ) -> StreamingQuery:
     """Start the job as a stream under the source's subscription, with metrics, and return the running query.
 
-    ``writing`` is passed on to :func:`topicstream.write_topic`.
+    With ``sink.batchEnable`` it commits every ``interval_seconds``, without it as often as the rate lets it read a
+    file. ``writing`` is passed on to :func:`topicstream.write_topic`.
     """
     source, sink = source_options(props), sink_options(props)
     source_topic = open_topic(spark, source.root, source.project, source.topic)
     sink_topic = open_topic(spark, sink.root, sink.project, sink.topic)
     # A row map gives at most one record for each it reads, so the sink's rate is kept by admitting no more.
     rate = min(source.rate, sink.rate or source.rate)
-    stream = read_topic(spark, source_topic, rate=rate, interval_seconds=interval_seconds)
+    if not sink.batch_enable:
+        interval_seconds = shortest_interval(spark, source_topic, rate, slots)
+    stream = read_topic(spark, source_topic, rate=rate, interval_seconds=interval_seconds, slots=slots)
     records = transfer.records(with_source_metrics(stream), sink_topic)
     return write_topic(
         with_sink_metrics(records),
         sink_topic,
         checkpoint=source_topic.subscription_path(source.subscription),
         producer=sink.producer,
-        batch_enable=sink.batch_enable,
         interval_seconds=interval_seconds,
         available_now=available_now,
         **writing,

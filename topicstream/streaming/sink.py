@@ -18,8 +18,7 @@ def write_topic(
     *,
     checkpoint: str,
     producer: str = DEFAULT_PRODUCER,
-    batch_enable: bool = True,
-    interval_seconds: float = COMMIT_INTERVAL_SECONDS,
+    interval_seconds: float | None = COMMIT_INTERVAL_SECONDS,
     available_now: bool = False,
     compact: bool | None = None,
     expire: bool = False,
@@ -29,9 +28,9 @@ def write_topic(
     """Write prepared records to a topic and return the running query; ``stop()`` ends it.
 
     Everything read in a trigger is committed at once, together with the read position: a failed trigger leaves
-    nothing visible and is replayed in full by the next run from the same checkpoint. With ``batch_enable`` a
-    commit comes every ``interval_seconds``, without it as soon as the last one is done. ``available_now`` drains
-    what is there and stops.
+    nothing visible and is replayed in full by the next run from the same checkpoint. A commit comes every
+    ``interval_seconds``, or with ``None`` as soon as the last one is done. ``available_now`` drains what is there and
+    stops.
 
     Files and ``compact`` are as in :func:`topicstream.append_topic`: few shards are written without a shuffle, for
     many one shuffle keeps a commit from ending in tasks x shards small files.
@@ -65,7 +64,7 @@ def write_topic(
         writer = writer.queryName(query_name)
     if available_now:
         writer = writer.trigger(availableNow=True)
-    elif batch_enable:
+    elif interval_seconds is not None:
         writer = writer.trigger(processingTime=f"{int(interval_seconds * 1000)} milliseconds")
     # A query keeps the settings its session had when it started.
     with storage.microsecond_timestamps(spark):

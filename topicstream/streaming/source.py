@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 from functools import reduce
 
@@ -19,6 +20,7 @@ def read_topic(
     shards: Iterable[str] | None = None,
     rate: int | None = DEFAULT_SOURCE_RATE,
     interval_seconds: float = COMMIT_INTERVAL_SECONDS,
+    slots: int | None = None,
 ) -> DataFrame:
     """A topic's records as a stream, with ``system_time`` as the record's own clock.
 
@@ -26,21 +28,25 @@ def read_topic(
     ``topic.subscription_path(name)`` and a later run goes on where the last one stopped. No watermark is set;
     add ``withWatermark("system_time", ...)`` where one is wanted.
 
-    ``rate`` is in records per second for each task slot of the cluster (``None``: no limit). Spark admits whole
-    files per trigger, so the limit holds for a trigger interval of ``interval_seconds`` and counts every file as
-    full. A trigger that may admit nothing raises: lengthen the interval, or create the topic with smaller files.
+    ``rate`` is in records per second for each task slot (``None``: no limit). Spark admits whole files per trigger, so
+    the limit holds for triggers ``interval_seconds`` apart and counts every file as full. A trigger that may admit
+    nothing raises: lengthen the interval, or create the topic with smaller files. A drain with ``availableNow`` keeps
+    to the limit in each trigger, but does not wait between them. ``slots`` is how many task slots to reckon with, by
+    default those the session has now; set it where executors come and go.
     """
     reader = spark.readStream.schema(topic.record_schema)
     if rate is not None:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger(spark, topic, rate, interval_seconds))
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger(spark, topic, rate, interval_seconds, slots))
     # The order of the union is the order in the descriptor, which checkpoints rely on.
     parts = [reader.parquet(topic.producer_path(producer)) for producer in topic.producers]
     return of_shards(reduce(DataFrame.unionByName, parts), topic, shards)
 
 
-def files_per_trigger(spark: SparkSession, topic: Topic, rate: int, interval_seconds: float) -> int:
+def files_per_trigger(
+    spark: SparkSession, topic: Topic, rate: int, interval_seconds: float, slots: int | None = None
+) -> int:
     """Files each producer may add to a trigger so that all of them together stay within the rate."""
-    allowed = records_per_trigger(spark, rate, interval_seconds)
+    allowed = records_per_trigger(spark, rate, interval_seconds, slots)
     files = allowed // (topic.max_records_per_file * len(topic.producers))
     if files < 1:
         raise ValueError(
@@ -50,6 +56,11 @@ def files_per_trigger(spark: SparkSession, topic: Topic, rate: int, interval_sec
     return files
 
 
-def records_per_trigger(spark: SparkSession, rate: int, interval_seconds: float) -> int:
+def records_per_trigger(spark: SparkSession, rate: int, interval_seconds: float, slots: int | None = None) -> int:
     """The most records one trigger may read."""
-    return int(rate * spark.sparkContext.defaultParallelism * interval_seconds)
+    return int(rate * (slots or spark.sparkContext.defaultParallelism) * interval_seconds)
+
+
+def shortest_interval(spark: SparkSession, topic: Topic, rate: int, slots: int | None = None) -> int:
+    """The fewest whole seconds in which the rate lets a trigger read a file of each producer."""
+    return math.ceil(topic.max_records_per_file * len(topic.producers) / records_per_trigger(spark, rate, 1, slots))
