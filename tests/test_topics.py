@@ -54,6 +54,20 @@ def test_bad_producers(spark, root, producers):
         create_topic(spark, root, "p", MESSAGE, producers=producers)
 
 
+@pytest.mark.parametrize("name", ["_subscriptions", "a/b", " ", ".x"])
+def test_bad_names(spark, root, name):
+    with pytest.raises(ValueError, match="name"):
+        create_topic(spark, root, name, MESSAGE)
+    with pytest.raises(ValueError, match="name"):
+        create_topic(spark, root, "p", TopicDef(name, 1, "", MESSAGE.fields))
+
+
+@pytest.mark.parametrize("name", ["", " ", "a/b"])
+def test_bad_subscription_names(spark, root, name):
+    with pytest.raises(ValueError, match="subscription"):
+        create_topic(spark, root, "p", MESSAGE).subscription_path(name)
+
+
 def test_reserved_columns(spark, root):
     with pytest.raises(ValueError, match="reserved"):
         create_topic(spark, root, "p", TopicDef("t", 1, "", (FieldDef("shard_id", "STRING"),)))

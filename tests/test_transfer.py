@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import TESTDATA
 from topicstream import (
+    TopicDef,
     Transfer,
     create_topic,
     event_time_from_millis,
@@ -49,6 +50,18 @@ def test_stream_and_bounded_run_agree(spark, job):
     assert content(spark, sink) == sorted([*streamed, *streamed])
 
 
+def test_counters_hold_with_a_shuffle_before_the_sink(spark, job):
+    source, _, props = job
+    wide = TopicDef("wide", 16, "", staging.EVENT_OUT.fields)
+    sink = create_topic(spark, source.root, staging.PROJECT, wide)
+    transfer = Transfer(**{**vars(staging.checked_transfer()), "sink": wide})
+    query = start_transfer(spark, {**props, "sink.topic": "wide"}, transfer, available_now=True)
+    query.awaitTermination()
+    assert "REBALANCE" in query._jsq.explainInternal(False)
+    records_in = read_topic_batch(spark, source).count()
+    assert totals(query.recentProgress) == {"records_in": records_in, "records_out": read_topic_batch(spark, sink).count()}
+
+
 def test_without_batching_commits_follow_each_other(spark, job):
     """Each trigger reads a file of each producer, as the rate allows no more in so short a time."""
     source, sink, props = job

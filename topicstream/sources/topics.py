@@ -80,9 +80,9 @@ class Topic:
         """
         if not producers or len(set(producers)) != len(producers):
             raise ValueError(f"producers must be one or more different names, got {list(producers)}")
-        bad = [p for p in producers if not p.strip() or p[0] in "_." or "/" in p or "=" in p]
+        bad = [n for n in (project, definition.name, *producers) if not n.strip() or n[0] in "_." or set(n) & set("/=")]
         if bad:
-            raise ValueError(f"not usable as producer names: {bad}")
+            raise ValueError(f"not usable as names of projects, topics or producers: {bad}")
         if max_records_per_file < 1 or lifecycle_days < 1:
             raise ValueError("max_records_per_file and lifecycle_days must be positive")
         schema = definition.to_struct(need_event_time)
@@ -122,8 +122,8 @@ class Topic:
 
     def subscription_path(self, subscription: str) -> str:
         """Where the read position of a named subscription is kept: the reading query's checkpoint."""
-        if not subscription.strip():
-            raise ValueError("a subscription needs a name")
+        if not subscription.strip() or "/" in subscription:
+            raise ValueError(f"not usable as a subscription name: {subscription!r}")
         return storage.join(self.root, "_subscriptions", self.project, self.name, subscription)
 
 
