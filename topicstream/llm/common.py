@@ -38,30 +38,40 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(f"[^{SPACE}]+")), F.lit(0)).cast("long")
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, with underscores before it until no column has it."""
+    while name.lower() in [c.lower() for c in columns]:
+        name = f"_{name}"
+    return name
+
+
 def components(edges: DataFrame, purpose: str) -> DataFrame:
-    """Connected components of ``edges`` (a long, b long): one row (node, root) for every node, the root its smallest node.
+    """Connected components of ``edges`` (a long, b long): one row (node, root) for every node of an edge between two
+    nodes, the root its component's smallest node.
 
-    Alternates the large-star and small-star steps of Kiveris et al. (2014), which need a number of rounds that
-    grows with the logarithm of the longest path. Every round is written to the shared folder.
+    Alternates the large-star and small-star steps of Kiveris et al. (2014), whose rounds grow with the logarithm
+    of the longest path. Every round is written to the shared folder.
     """
-    e = written(
-        edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), purpose
-    )
-    before = None
-    while True:
-        # Large star: every larger neighbour of a node is tied to the smallest of its neighbourhood.
+    e = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    e = written(e, purpose)
+    while not _stars(e):
+        # Large star: every larger neighbour of a node is tied to the smallest of the neighbourhood.
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        # Small star: all smaller neighbours of a node, and the node, are tied to the smallest of them.
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        joined = large.join(low, "a")
-        small = joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.toDF("a", "b"))
-        e = written(small.where("a <> b").distinct(), purpose)
-        now = e.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b") % 1_000_003), F.lit(0))).first()
-        stars = e.join(e.select(F.col("a").alias("b")), "b", "left_semi").isEmpty()
-        if stars and now == before or now[0] == 0:
-            break
-        before = now
+        tied = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        tied = written(tied.distinct(), purpose)
+        # Small star: the smaller neighbours of a node, and the node, are tied to the smallest of them.
+        least = tied.groupBy("a").agg(F.min("b").alias("m"))
+        others = tied.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        e = written(others.union(least.toDF("a", "b")).distinct(), purpose)
     roots = e.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return e.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots)
+
+
+def _stars(edges: DataFrame) -> bool:
+    """True if no node has two smaller neighbours, nor a smaller and a larger one."""
+    ends = edges.select(F.col("a").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        edges.select("b", F.lit(0), F.lit(1))
+    )
+    ends = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return ends.where("up > 1 or (up = 1 and down = 1)").isEmpty()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicstream.llm import exact_dedup, mixing, packing, quality
+from topicstream.llm import exact_dedup, mixing, near_dedup, packing, quality
 from topicstream.llm.common import table, word_count, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,6 +53,11 @@ ORACLES["op4_exact_dedup"] = r"""
 """
 
 
+@query
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 def train_quality(spark: SparkSession, docs: DataFrame, sf_dir: str):
     """A model from the rows of ``docs`` that have a label and are not held out."""
     label = F.col("quality").cast("int")
