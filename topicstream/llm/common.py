@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +40,11 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(f"[^{SPACE}]+")), F.lit(0)).cast("long")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once even where ``body`` uses it inside other functions' lambdas."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def unused(name: str, columns: list[str]) -> str:
     """``name``, with underscores before it until no column has it."""
     while name.lower() in [c.lower() for c in columns]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicstream.llm import exact_dedup, mixing, near_dedup, packing, quality
+from topicstream.llm import exact_dedup, fingerprints, licenses, mixing, near_dedup, packing, quality, url_filters
 from topicstream.llm.common import table, word_count, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,68 @@ ORACLES["op10_source_mixing"] = r"""
            (whole + CASE WHEN extra > 0 AND 2 * extra >= size THEN 1 ELSE 0 END)::INTEGER AS copies
     FROM e
 """
+
+
+def license_sql() -> str:
+    """The scan as joins: base phrases and notices are tables, and words are rows."""
+    quoted = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
+    postings, votes = licenses.index()
+    base = ", ".join(f"({quoted(licenses.words_of(p))}, '{label}')" for p, label in licenses.BASE)
+    notices = ", ".join(
+        f"({n}, '{label}', {quoted(licenses.words_of(text))}, {votes[n]})"
+        for n, (label, text, _) in enumerate(licenses.NOTICES)
+    )
+    keys = ", ".join(f"({n}, {at}, {quoted(words)})" for n, found in enumerate(licenses.key_phrases()) for at, words in found)
+    rare = ", ".join(f"('{word}', {n}, {at})" for word, places in postings.items() for n, at in places)
+    return rf"""
+    WITH base(phrase, label) AS (VALUES {base}),
+    notices(n, label, words, votes) AS (VALUES {notices}),
+    keys(n, pos, words) AS (VALUES {keys}),
+    rare(word, n, pos) AS (VALUES {rare}),
+    d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+    p AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i FROM d),
+    b AS (SELECT doc_id, i, label FROM p JOIN base ON p.word = phrase[1] JOIN d USING (doc_id)
+          WHERE w[i + 1 : i + len(phrase)] = phrase),
+    v AS (SELECT doc_id, rare.n, i - pos AS shift FROM p JOIN rare USING (word) GROUP BY doc_id, rare.n, i - pos
+          HAVING count(*) >= (SELECT votes FROM notices WHERE notices.n = rare.n)),
+    nw AS (SELECT n, unnest(words) AS word, unnest(range(len(words))) AS j FROM notices),
+    f AS (SELECT doc_id, label, (SELECT count(*) FROM nw WHERE nw.n = v.n AND shift + j >= 0 AND w[shift + j + 1] = word)
+                 / len(words) AS share
+          FROM v JOIN notices USING (n) JOIN d USING (doc_id)
+          WHERE NOT EXISTS (SELECT 1 FROM keys WHERE keys.n = v.n
+                            AND (shift + pos < 0 OR w[shift + pos + 1 : shift + pos + len(keys.words)] <> keys.words))),
+    bs AS (SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word,
+                  string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM b GROUP BY doc_id),
+    ls AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+           FROM (SELECT doc_id, label FROM b UNION ALL SELECT doc_id, label FROM f) GROUP BY doc_id),
+    fs AS (SELECT doc_id, max(share) AS share FROM f GROUP BY doc_id)
+    SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+           coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+           CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0.0::DOUBLE) END AS score
+    FROM d LEFT JOIN bs USING (doc_id) LEFT JOIN ls USING (doc_id) LEFT JOIN fs USING (doc_id)
+    """
+
+
+@query
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("notices")
+
+
+ORACLES["op2_license_scan"] = license_sql()
+
+
+@query
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's label is that of the document whose number its path ends with; low quality and toxic count as bad."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    number = F.regexp_extract(url_filters.path_of(F.col("url")), r"/([0-9]{1,18})(?:\.html)?/?$", 1)
+    labels = table(spark, sf_dir, "labels").select("doc_id", ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
+    named = pages.select("url", F.nullif(number, F.lit("")).cast("long").alias("doc_id"))
+    return url_filters.judge(pages, url_filters.mine(named.join(labels, "doc_id")))
+
+
+@query
+def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fingerprints.fingerprint(table(spark, sf_dir, "documents"))
+    return made.select("*", F.sha2("edited", 256).alias("edited_sha256")).drop("edited")
