@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicstream.llm import exact_dedup, fingerprints, licenses, mixing, near_dedup, packing, quality, url_filters
+from topicstream.llm import exact_dedup, fingerprints, licenses, mixing, near_dedup, packing, quality, substring_dedup, url_filters
 from topicstream.llm.common import table, word_count, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -171,3 +171,8 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = fingerprints.fingerprint(table(spark, sf_dir, "documents"))
     return made.select("*", F.sha2("edited", 256).alias("edited_sha256")).drop("edited")
+
+
+@query
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.shared_passages(table(spark, sf_dir, "documents"))
