@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicstream.llm import exact_dedup, fingerprints, licenses, mixing, near_dedup, packing, quality, substring_dedup, url_filters
+from topicstream.llm import exact_dedup, fingerprints, licenses, line_dedup, mixing, near_dedup, packing, quality, substring_dedup, url_filters
 from topicstream.llm.common import table, word_count, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -176,3 +176,8 @@ def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.shared_passages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.near_lines(table(spark, sf_dir, "documents")).drop("text")
