@@ -8,18 +8,12 @@ only once; the rest, and only those, are shuffled by digest and compared exactly
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from topicstream.llm import bloom
 from topicstream.llm.common import SPACE, text_or_empty, written
 
-PROBES = 3
-BITS_PER_ROW = 16
-BLOCK = 1 << 13
-
 
 def digest(text: str) -> Column:
     """SHA-256 of the text with every run of white space as one space; null counts as empty."""
@@ -27,7 +21,7 @@ def digest(text: str) -> Column:
 
 
 def exact_dedup(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", max_filter_bytes: int = 32 << 20
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", max_filter_bytes: int = bloom.MAX_BYTES
 ) -> DataFrame:
     """One row (doc_id, keep_id, group_size, kept, text_sha256) for every row of ``docs``.
 
@@ -40,7 +34,8 @@ def exact_dedup(
     rows than needed are shuffled (an id and a digest each), and the result is the same.
     """
     rows = written(docs.select(F.col(f"`{id_col}`").alias("doc_id"), digest(text_col).alias("text_sha256")), "digests")
-    flagged = flag_repeats(rows, "text_sha256", max_filter_bytes)
+    key = F.xxhash64("text_sha256")
+    flagged = rows.withColumn("repeated", bloom.repeated_in(rows.select(key.alias("key")), max_filter_bytes)(key))
     counted = written(flagged.where("repeated").groupBy("text_sha256", "doc_id").agg(F.count("*").alias("n")), "repeats")
     # Written, so that both sides of the join are plain exchanges and adaptive execution can split a hot digest.
     groups = written(
@@ -69,7 +64,7 @@ def exact_dedup(
 
 
 def keep_first(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", max_filter_bytes: int = 32 << 20
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", max_filter_bytes: int = bloom.MAX_BYTES
 ) -> DataFrame:
     """``docs``, all columns, without the rows that :func:`exact_dedup` does not keep.
 
@@ -77,69 +72,9 @@ def keep_first(
     """
     row, key = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), digest(text_col).alias("key")
     rows = docs.select(row, key)
-    flagged = rows.withColumn("repeated", repeat_test(rows.select("key"), "key", max_filter_bytes)(F.col("key")))
+    short = F.xxhash64("key")
+    flagged = rows.withColumn("repeated", bloom.repeated_in(rows.select(short.alias("short")), max_filter_bytes)(short))
     doc_id, text = F.col("row").getField(id_col), F.col("row").getField(text_col)
     first = F.min_by("row", F.struct(doc_id.isNull(), doc_id, text))
     kept = flagged.where("repeated").groupBy("key").agg(first.alias("row")).select("row")
     return flagged.where("not repeated").select("row").union(kept).select("row.*")
-
-
-def flag_repeats(rows: DataFrame, key: str, max_filter_bytes: int) -> DataFrame:
-    test = repeat_test(rows.select(key), key, max_filter_bytes)
-    return rows.withColumn("repeated", test(F.col(key)))
-
-
-def repeat_test(keys: DataFrame, key: str, max_filter_bytes: int):
-    """A function of a column of hexadecimal digests: false only where the digest occurs once in ``keys``."""
-    spark = keys.sparkSession
-    n = keys.count()
-    size = min(max_filter_bytes, max(BLOCK, 1 << int(max(1, n) * BITS_PER_ROW // 8 - 1).bit_length()))
-    size -= size % BLOCK
-    # Every task emits its filters, so there are few: as many as run at once, or one for each four million keys.
-    tasks = max(n // 4_000_000, spark.sparkContext.defaultParallelism)
-    blocks = keys.select(F.col(key).alias("key")).coalesce(tasks).mapInArrow(lambda batches: _filters(batches, size), "block int, once binary, more binary")
-    merged = blocks.groupBy("block").applyInPandas(_merge, "block int, more binary")
-    bits = np.zeros(size, np.uint8)
-    for row in merged.collect():  # as many bytes as the filter, which is bounded
-        bits[row.block * BLOCK : (row.block + 1) * BLOCK] = np.frombuffer(row.more, np.uint8)
-    shared = spark.sparkContext.broadcast(bits)
-
-    @F.pandas_udf("boolean")
-    def repeated(keys: pd.Series) -> pd.Series:
-        places, more = _places(keys, size), shared.value
-        return pd.Series(((more[places >> 3] >> (places & 7)) & 1).all(axis=0).astype(bool))
-
-    return repeated
-
-
-def _places(keys, size: int) -> np.ndarray:
-    """The bits of each digest, PROBES x keys, from the digest's own leading bytes."""
-    raw = b"".join(bytes.fromhex(k[: 16 * PROBES]) for k in keys)
-    parts = np.frombuffer(raw, "<u8").reshape(-1, PROBES).T
-    return (parts % np.uint64(size * 8)).astype(np.int64)
-
-
-def _filters(batches, size: int):
-    once, more = np.zeros(size, np.uint8), np.zeros(size, np.uint8)
-    for batch in batches:
-        for probe in _places(batch.column(0).to_pylist(), size):
-            seen, times = np.unique(probe, return_counts=True)
-            bit = (1 << (seen & 7)).astype(np.uint8)
-            again = ((once[seen >> 3] & bit) != 0) | (times > 1)
-            np.bitwise_or.at(more, seen[again] >> 3, bit[again])
-            np.bitwise_or.at(once, seen >> 3, bit)
-    for block in range(size // BLOCK):
-        part = slice(block * BLOCK, (block + 1) * BLOCK)
-        if once[part].any():
-            yield pa.RecordBatch.from_pydict(
-                {"block": pa.array([block], pa.int32()), "once": [once[part].tobytes()], "more": [more[part].tobytes()]}
-            )
-
-
-def _merge(blocks: pd.DataFrame) -> pd.DataFrame:
-    once, more = np.zeros(BLOCK, np.uint8), np.zeros(BLOCK, np.uint8)
-    for a, b in zip(blocks["once"], blocks["more"]):
-        a, b = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
-        more |= b | (once & a)
-        once |= a
-    return pd.DataFrame({"block": [blocks["block"].iloc[0]], "more": [more.tobytes()]})
