@@ -1,0 +1,288 @@
+"""Exact, near, line and substring duplicates against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+from collections import defaultdict
+
+import pytest
+from llm_samples import (  # noqa: F401
+    LONG,
+    ODD,
+    lower,
+    make_docs,
+    odd,
+    sample,
+    spaced_words,
+    workers_find_the_package,
+)
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from topicstream.llm import bloom, exact_dedup, line_dedup, near_dedup, substring_dedup
+from topicstream.llm.common import components
+
+
+def sha(text):
+    return hashlib.sha256(re.sub(r"[\x20\x09-\x0D]+", " ", text or "").encode()).hexdigest()
+
+
+def grouped(n, links):
+    parent = list(range(n))
+
+    def top(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        parent[max(top(a), top(b))] = min(top(a), top(b))
+    return [top(x) for x in range(n)]
+
+
+def test_bloom_filters_miss_nothing(spark):
+    keys = spark.range(3000).selectExpr("xxhash64(id % 2000) as key")
+    once = spark.range(1000, 2000).selectExpr("xxhash64(id) as key")
+    again, there = bloom.repeated_in(keys), bloom.contained_in(once)
+    assert keys.where("true").where(again("key")).count() >= 2000
+    assert once.where(again("key")).count() < 100
+    assert once.where(there("key")).count() == 1000
+    assert spark.range(5000, 9000).selectExpr("xxhash64(id) as key").where(there("key")).count() < 200
+    # A filter too small for its keys lets more pass, and still misses none.
+    assert keys.where(bloom.repeated_in(keys, 1 << 13)("key")).count() >= 2000
+    nothing = keys.where("key is null")
+    assert nothing.where(bloom.repeated_in(nothing)("key")).count() == 0
+
+
+def test_components_of_a_long_path_and_a_star(spark):
+    path = spark.range(200).selectExpr("id as a", "id + 1 as b")
+    star = spark.range(1001, 1200).selectExpr("id as a", "1000L as b")
+    found = {row.node: row.root for row in components(path.union(star).union(star), "test").collect()}
+    assert found == {n: 0 for n in range(201)} | {n: 1000 for n in range(1000, 1200)}
+    assert components(path.where("a < 0"), "test").count() == 0
+
+
+def expected_exact(rows):
+    groups = defaultdict(list)
+    for i, text, _ in rows:
+        groups[sha(text)].append(i)
+    found = []
+    for key, ids in groups.items():
+        keep, seen = min((i for i in ids if i is not None), default=None), False
+        for i in ids:
+            found.append((i, keep, len(ids), i == keep and not seen, key))
+            seen |= i == keep
+    return sorted(found, key=repr)
+
+
+@pytest.mark.parametrize("max_bytes", [bloom.MAX_BYTES, 1 << 13])
+def test_exact_dedup(odd, max_bytes):
+    found = exact_dedup.exact_dedup(odd, max_filter_bytes=max_bytes)
+    assert found.columns == ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+    assert sorted(map(tuple, found.collect()), key=repr) == expected_exact(ODD)
+
+
+def test_exact_dedup_keeps_whole_rows(odd, sample):
+    kept = exact_dedup.keep_first(odd)
+    assert kept.columns == odd.columns and kept.schema == odd.schema
+    by_group = defaultdict(list)
+    for row in kept.collect():
+        by_group[sha(row.text)].append(row.doc_id)
+    assert sorted(by_group, key=str) == sorted({sha(t) for _, t, _ in ODD}, key=str)
+    assert all(len(ids) == 1 for ids in by_group.values())
+    assert by_group[sha(ODD[0][1])] == [1]
+    assert exact_dedup.keep_first(sample).count() == len({sha(r.text) for r in sample.collect()})
+    assert exact_dedup.keep_first(sample.limit(0)).collect() == []
+    assert exact_dedup.exact_dedup(sample.limit(0)).collect() == []
+
+
+def expected_near(rows, words, percent):
+    sets = []
+    for _, text, _ in rows:
+        found = spaced_words(lower(text or ""))
+        sets.append({tuple(found[i : i + words]) for i in range(len(found) - words + 1)} or ({tuple(found)} if found else set()))
+    links = [
+        (a, b)
+        for b in range(len(sets))
+        for a in range(b)
+        if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])
+    ]
+    tops = grouped(len(rows), links)
+    least = {}
+    for (i, _, _), top in zip(rows, tops):
+        least[top] = min((x for x in (least.get(top), i) if x is not None), default=None)
+    return sorted(
+        ((i, len(s), least[top], i == least[top]) for (i, _, _), s, top in zip(rows, sets, tops)), key=repr
+    )
+
+
+@pytest.mark.parametrize(("words", "percent"), [(3, 85), (5, 80)])
+def test_near_dedup_of_odd_rows(odd, words, percent):
+    found = near_dedup.near_dedup(odd, words=words, percent=percent)
+    assert found.columns == ["doc_id", "n_shingles", "component_id", "kept"]
+    assert sorted(map(tuple, found.collect()), key=repr) == expected_near(ODD, words, percent)
+
+
+def near_copies(seed, groups, copies, words):
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(2000)]
+    rows = []
+    for _ in range(groups):
+        base = rng.choices(vocabulary, k=words)
+        for _ in range(copies):
+            text = [rng.choice(vocabulary) if rng.random() < rng.choice([0, 0.01, 0.03, 0.06]) else w for w in base]
+            rows.append((len(rows), " ".join(text), "s"))
+    return rows
+
+
+def test_near_dedup_of_near_copies(make_docs):
+    rows = near_copies(5, 6, 25, 80)
+    found = near_dedup.near_dedup(make_docs(rows), words=3, percent=85)
+    assert sorted(map(tuple, found.collect()), key=repr) == expected_near(rows, 3, 85)
+
+
+def test_near_dedup_cuts_large_components_into_blocks(make_docs, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    rows = near_copies(6, 2, 60, 60)
+    found = near_dedup.near_dedup(make_docs(rows), words=3, percent=85)
+    assert sorted(map(tuple, found.collect()), key=repr) == expected_near(rows, 3, 85)
+
+
+def test_near_dedup_keeps_one_whole_row_of_each(odd, sample):
+    kept = near_dedup.keep_one_of_each(odd, words=3, percent=85)
+    assert kept.schema == odd.schema
+    texts = [row.text for row in kept.collect()]
+    assert sum(bool(t) and t.startswith("The same") for t in texts) == 1
+    assert sum(bool(t) and t.startswith("word and") for t in texts) == 2  # two of three shingles are not enough
+    assert sum(not (t or "").strip() for t in texts) == 3  # blank texts are linked with nothing
+    assert near_dedup.keep_one_of_each(sample.limit(0)).collect() == []
+    assert near_dedup.near_dedup(sample.limit(0)).collect() == []
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text("abc", max_size=14), st.text("abc", max_size=14), st.integers(0, 3))
+def test_banded_edit_distance(a, b, edits):
+    assert line_dedup.within(a, b, edits) == (distance(a, b) <= edits)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text("ab😀", min_size=2, max_size=14), st.lists(st.tuples(st.integers(0, 13), st.sampled_from("abx")), max_size=2), st.booleans())
+def test_lines_within_the_edits_share_a_key(a, changes, insert):
+    b = list(a)
+    for at, c in changes:
+        b[min(at, len(b)) : min(at, len(b)) + (not insert)] = c
+    b = "".join(b)
+    t = line_dedup.allowed(min(len(a), len(b)), 2, 2)
+    if a != b and t and distance(a, b) <= t:
+        (own, probes), (other_own, other_probes) = line_dedup.keys(a, 2, 2), line_dedup.keys(b, 2, 2)
+        assert {*own} & {*other_own, *other_probes} or {*other_own} & {*own, *probes}
+
+
+def expected_lines(rows, edits=2, per=16):
+    lines = [
+        (i is None, i if i is not None else 0, k, line)
+        for i, text, _ in rows
+        for k, line in enumerate((text or "").split("\n"))
+        if line and not line.isspace()
+    ]
+    links = []
+    for b, (*_, y) in enumerate(lines):
+        for a, (*_, x) in enumerate(lines[:b]):
+            t = min(edits, min(len(x), len(y)) // per)
+            if x == y or (t and abs(len(x) - len(y)) <= t and distance(x, y) <= t):
+                links.append((a, b))
+    tops = grouped(len(lines), links)
+    least = {}
+    for line, top in zip(lines, tops):
+        least[top] = min(least.get(top, line), line)
+    return sorted(
+        ((None if m else i, k, None if least[t][0] else least[t][1], least[t][2]) for (m, i, k, _), t in zip(lines, tops)),
+        key=repr,
+    )
+
+
+@pytest.mark.parametrize("block", [line_dedup.BLOCK, 4])
+def test_line_dedup(make_docs, monkeypatch, block):
+    monkeypatch.setattr(line_dedup, "BLOCK", block)
+    rng = random.Random(4)
+    bases = ["".join(rng.choices("abcdefgh ", k=n)).strip() + "." for n in (5, 14, 17, 30, 33, 60, 200)]
+    rows = []
+    for i in range(40):
+        lines = []
+        for base in rng.choices(bases, k=4):
+            line = list(base)
+            for _ in range(rng.randint(0, 3)):
+                line[rng.randrange(len(line))] = rng.choice("xyz")
+            lines.append("".join(line[: len(line) - rng.randint(0, 2)]))
+        rows.append((i, "\n".join(lines) + rng.choice(["", "\n", "\n \n"]), "s"))
+    rows += [(None, rows[0][1], "s"), (3, rows[3][1], "s"), (50, None, "s"), (51, "", "s")]
+    found = line_dedup.near_lines(make_docs(rows))
+    assert found.columns == ["doc_id", "line", "text", "class_doc_id", "class_line", "kept"]
+    got = found.collect()
+    assert sorted(((r.doc_id, r.line, r.class_doc_id, r.class_line) for r in got), key=repr) == expected_lines(rows)
+    assert sum(r.kept for r in got) == len({(r.class_doc_id, r.class_line) for r in got})
+    assert all(r.kept <= ((r.doc_id, r.line) == (r.class_doc_id, r.class_line)) for r in got)
+
+
+def test_line_dedup_of_odd_rows(odd, sample):
+    got = line_dedup.near_lines(odd).collect()
+    assert len(got) == sum(bool(line.strip()) for _, t, _ in ODD for line in (t or "").split("\n"))
+    assert line_dedup.near_lines(sample.limit(0)).collect() == []
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text(max_size=600), st.text(max_size=80))
+def test_chunks_tile_the_text_and_survive_insertions(text, before):
+    data = text.encode()
+    ends = substring_dedup.boundaries(data).tolist()
+    assert (ends[-1:] or [0]) == [len(data)] and ends == sorted(set(ends))
+    assert b"".join(data[a:b] for a, b in zip([0, *ends], ends)) == data
+    for a, b in zip([0, *ends], ends):
+        data[a:b].decode()  # no character is cut
+        assert b - a <= substring_dedup.MOST
+
+
+def test_chunks_resist_shifts():
+    rng = random.Random(2)
+    passage = " ".join("".join(rng.choices("abcdefg", k=rng.randint(2, 9))) for _ in range(200)).encode()
+
+    def chunks(data):
+        ends = substring_dedup.boundaries(data).tolist()
+        return {data[a:b] for a, b in zip([0, *ends], ends)}
+
+    assert len(chunks(passage) - chunks(b"something in front " + passage)) <= 3
+
+
+def test_shared_passages(make_docs):
+    rng = random.Random(3)
+    words = lambda n: " ".join("".join(rng.choices("abcdefgéß", k=rng.randint(2, 9))) for _ in range(n))
+    passage = words(80)
+    rows = [(i, f"{words(60)} {passage} {words(70)}", "s") for i in range(0, 5)]
+    rows += [(10, words(200), "s"), (11, None, "s"), (12, "", "s"), (13, " ".join([words(60)] * 3), "s")]
+    rows += [(None, f"{words(20)} {passage}", "s")]
+    got = substring_dedup.shared_passages(make_docs(rows)).collect()
+    assert {r.doc_id for r in got} == {0, 1, 2, 3, 4, None}
+    texts = {i: text for i, text, _ in rows}
+    for r in got:
+        assert texts[r.doc_id][r.start : r.start + r.length] == r.passage
+        assert r.first_doc_id == 0 and r.kept == (r.doc_id == 0)
+        assert len(set(r.passage.split()) & set(passage.split())) > 50
+    assert len(got) == 6
+
+
+def test_shared_passages_of_odd_rows(odd, sample):
+    ids = {r.doc_id for r in substring_dedup.shared_passages(odd).collect()}
+    assert ids == {6, 7}
+    assert LONG.startswith(substring_dedup.shared_passages(odd).where("doc_id = 6").first().passage)
+    assert substring_dedup.shared_passages(sample.limit(0)).collect() == []
