@@ -64,11 +64,12 @@ def components(edges: DataFrame, purpose: str) -> DataFrame:
     while not _stars(e):
         # Large star: every larger neighbour of a node is tied to the smallest of the neighbourhood.
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
+        # The minima are written, so that adaptive execution can split a node with very many neighbours in the join.
+        least = written(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")), purpose)
         tied = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         tied = written(tied.distinct(), purpose)
         # Small star: the smaller neighbours of a node, and the node, are tied to the smallest of them.
-        least = tied.groupBy("a").agg(F.min("b").alias("m"))
+        least = written(tied.groupBy("a").agg(F.min("b").alias("m")), purpose)
         others = tied.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         e = written(others.union(least.toDF("a", "b")).distinct(), purpose)
     roots = e.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
