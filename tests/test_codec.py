@@ -90,16 +90,32 @@ def test_decode_json(spark):
     assert spark.range(1).select(decode_json(F.lit("[1,2]"), "array<int>")).first()[0] == [1, 2]
 
 
-@pytest.mark.parametrize("bad", ["{bad", '{"a":'])
+@pytest.mark.parametrize("bad", ["{bad", '{"a":', "", "  ", '{"a":"x"}', '{"a":3000000000}', '{"a":"1.5"}', '{"a":1.5}'])
 def test_malformed_json_fails(spark, bad):
     with pytest.raises(QUERY_FAILS):
         spark.createDataFrame([(bad,)], "j string").select(decode_json(F.col("j"), "a int")).collect()
 
 
+def test_json_scalars_may_be_quoted(spark):
+    text = """{"i": "69", "n": "", "d": "1.5e3", "e": 2.25, "t": "true", "s": "", "x": 7, "l": ["1", 2, null],
+        "m": {"k": {"v": "3"}}, "at": "2024-01-02 03:04:05"}"""
+    schema = (
+        "i int, n bigint, d double, e double, t boolean, s string, x string, l array<bigint>,"
+        " m map<string,struct<v:int>>, at timestamp, o struct<v:int>"
+    )
+    found = spark.createDataFrame([(text,)], "j string").select(decode_json(F.col("j"), schema).alias("v")).select("v.*")
+    assert found.schema["l"].dataType.elementType.simpleString() == "bigint"
+    row = found.first()
+    assert (row.i, row.n, row.d, row.e, row.t, row.s, row.x, row.l) == (69, None, 1500.0, 2.25, True, "", "7", [1, 2, None])
+    assert row.m == {"k": (3,)} and row["at"].year == 2024 and row.o is None
+
+
 def test_decode_map(spark):
     schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
     df = spark.createDataFrame([({"a": "1", "zz": "2"},)], "m map<string,string>")
     assert df.select(decode_map(F.col("m"), schema).alias("v")).first().v == (1, None)
+    empty = spark.createDataFrame([({"a": "", "b": ""},)], "m map<string,string>")
+    assert empty.select(decode_map(F.col("m"), schema).alias("v")).first().v == (None, "")
     bad = spark.createDataFrame([({"a": "x"},)], "m map<string,string>")
     with pytest.raises(QUERY_FAILS):
         bad.select(decode_map(F.col("m"), schema)).collect()

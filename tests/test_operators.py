@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from topicstream import assign_batches, delay_by_shard, retained
-from topicstream.operators.batches import _cuts, _with_range
+from topicstream.operators.batches import _cuts, _range
 
 QUERY_FAILS = (PySparkException, Py4JJavaError)
 
@@ -49,14 +49,38 @@ def test_sequences_that_start_over_in_each_shard(spark):
 
 def test_a_hot_shard_is_sorted_by_more_than_one_task(spark):
     df = spark.range(20000).select(F.lit("hot").alias("shard_id"), F.col("id").alias("seq"))
-    sizes = [r["count"] for r in _with_range(df, "seq", _cuts(df, "seq", 16)).groupBy("_range").count().collect()]
+    located = df.withColumn("in", _range(df, "seq", _cuts(df, "seq", 16)))
+    sizes = [r["count"] for r in located.groupBy("in").count().collect()]
     assert len(sizes) == 16 and max(sizes) < 2 * 20000 / 16
 
 
+@pytest.mark.parametrize("shards", [500, 2000])
+def test_short_sequences_in_many_shards(spark, shards):
+    df = spark.range(shards * 5).selectExpr("cast(id div 5 as string) as shard_id", "id % 5 as seq")
+    assert same(assign_batches(df, 2), numbered(df, 2))
+
+
+def test_batches_leave_columns_alone_whatever_their_names(spark):
+    names = ["range", "_range", "count", "before", "place", "_Place", "a.b"]
+    df = spark.range(100).select(F.lit("0").alias("shard_id"), F.col("id").alias("my seq"), *[F.lit(i).alias(n) for i, n in enumerate(names)])
+    found = assign_batches(df, 10, order_by="my seq")
+    assert found.columns == [*df.columns, "batch_no"]
+    assert {(r["my seq"] // 10, r["a.b"]) for r in found.collect()} == {(r.batch_no, 6) for r in found.collect()}
+    with pytest.raises(ValueError, match="batch_no already"):
+        assign_batches(found, 10, order_by="my seq")
+
+
+@pytest.mark.parametrize("n", [10, 3000, 50000])
+def test_batches_reject_ties_at_any_size(spark, n):
+    tied = spark.range(n).selectExpr("'0' as shard_id", f"if(id = {n - 1}, {n - 2}, id) as seq")
+    with pytest.raises(QUERY_FAILS, match="seq repeats in a shard"):
+        assign_batches(tied).collect()
+
+
 def test_batches_reject_what_gives_no_order(spark):
     same_value = spark.range(50000).selectExpr("'0' as shard_id", "if(id % 3 = 0, 5, id) as seq")
-    with pytest.raises(ValueError, match="repeats too often"):
-        assign_batches(same_value, ranges=16)
+    with pytest.raises(QUERY_FAILS, match="seq repeats in a shard"):
+        assign_batches(same_value, ranges=16).collect()
     nulls = spark.createDataFrame([("0", None), ("0", 1)], "shard_id string, seq bigint")
     with pytest.raises(QUERY_FAILS, match="seq is null"):
         assign_batches(nulls).collect()

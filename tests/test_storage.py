@@ -5,8 +5,9 @@ import pytest
 from topicstream import storage
 
 
-def session(master, sql=None, core=None):
-    conf = SimpleNamespace(get=lambda key, default=None: sql or default)
+def session(master, sql=None, core=None, warehouse=None):
+    settings = {"spark.checkpoint.dir": sql, "spark.sql.warehouse.dir": warehouse}
+    conf = SimpleNamespace(get=lambda key, default=None: settings[key] or default)
     context = SimpleNamespace(master=master, getConf=lambda: SimpleNamespace(get=lambda key: core))
     return SimpleNamespace(conf=conf, sparkContext=context)
 
@@ -16,14 +17,20 @@ def test_scratch_is_new_each_time_and_under_the_shared_folder(spark):
     first, second = storage.scratch_dir(spark, "x"), storage.scratch_dir(spark, "x")
     assert first != second
     assert first.startswith(shared) and second.startswith(shared)
+    assert not storage.exists(spark, first) and storage.exists(spark, first.rsplit("/", 1)[0])
 
 
 def test_a_cluster_must_name_its_shared_folder():
-    assert storage.scratch_dir(session("yarn", core="hdfs:///ck"), "x").startswith("hdfs:///ck/x-")
-    assert storage.scratch_dir(session("yarn", sql="s3a://b/ck/"), "x").startswith("s3a://b/ck/x-")
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        storage.scratch_dir(session("yarn"), "x")
-    assert "topicstream-" in storage.scratch_dir(session("local[2]"), "x")
+    assert storage.scratch_base(session("yarn", core="hdfs:///ck")) == "hdfs:///ck"
+    assert storage.scratch_base(session("yarn", sql="s3a://b/ck/")) == "s3a://b/ck/"
+    for master in ("yarn", "local-cluster[3,2,1024]", "spark://host:7077"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            storage.scratch_base(session(master))
+
+
+def test_a_local_session_falls_back_to_its_warehouse(spark):
+    found = storage.scratch_base(session("local[2]", warehouse="file:/w"))
+    assert found == "file:/w/_scratch"
 
 
 def test_paths(spark, tmp_path):

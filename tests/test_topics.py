@@ -1,9 +1,11 @@
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from topicstream import (
     FieldDef,
     TopicDef,
+    add_producer,
     append_topic,
     create_topic,
     describe_topic,
@@ -83,12 +85,16 @@ def test_append_and_read_back(spark, root):
     created = create_topic(spark, root, "p", MESSAGE, producers=("a", "b"), max_records_per_file=40)
     for producer, start in (("a", 0), ("b", 500), ("a", 1000)):
         records = prepare_records(rows(spark, 500, start), created, key_hash_selector("name"))
-        append_topic(records, created, producer=producer)
+        append_topic(records, created, producer=producer, max_records_per_file=None if start else 25)
     read = read_topic_batch(spark, created)
     assert read.columns == created.record_schema.fieldNames()
     assert sorted(r.age for r in read.collect()) == list(range(1500))
     per_file = read.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
     assert per_file <= 40
+    first = read.where("age < 500").groupBy(F.input_file_name()).count()
+    assert first.agg(F.max("count")).first()[0] <= 25
+    with pytest.raises(ValueError, match="positive"):
+        append_topic(records, created, producer="a", max_records_per_file=0)
     subset = read_topic_batch(spark, created, shards=["0", "2"])
     assert {r.shard_id for r in subset.collect()} == {"0", "2"}
     assert "PartitionFilters: [shard_id" in subset._jdf.queryExecution().executedPlan().toString()
@@ -99,13 +105,14 @@ def test_append_and_read_back(spark, root):
 def test_compacting_keeps_all_rows_of_a_hot_shard(spark, root):
     created = create_topic(spark, root, "p", MESSAGE)
     hot = rows(spark, 6000).withColumn("name", F.when(F.col("age") % 3 == 0, F.lit("hot")).otherwise(F.col("name")))
-    append_topic(prepare_records(hot.repartition(8), created, key_hash_selector("name")), created, compact=True)
+    append_topic(prepare_records(hot.repartition(8), created, key_hash_selector("name")), created)
     read = read_topic_batch(spark, created)
     assert sorted(r.age for r in read.collect()) == list(range(6000))
 
 
-def test_many_shards_are_compacted_unless_told_otherwise(spark, root):
-    many = TopicDef("many", 64, "", MESSAGE.fields)
+@pytest.mark.parametrize("shards", [4, 8, 9, 64])
+def test_topics_are_compacted_unless_told_otherwise(spark, root, shards):
+    many = TopicDef("many", shards, "", MESSAGE.fields)
     spread = rows(spark, 4000).repartition(8)
 
     def files(project, **settings):
@@ -115,23 +122,47 @@ def test_many_shards_are_compacted_unless_told_otherwise(spark, root):
         assert read.count() == 4000
         return read.select(F.input_file_name()).distinct().count()
 
-    assert files("default") == files("on", compact=True) <= 64
-    assert files("off", compact=False) > 6 * 64
+    assert files("default") <= shards
+    assert files("off", compact=False) > 6 * shards
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        assert files("plain") > 6 * 64
+        assert files("plain", compact=False) > 6 * shards
         with pytest.raises(ValueError, match="adaptive"):
-            files("refused", compact=True)
+            files("refused")
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
 
 
-def test_append_does_not_change_the_session(spark, root):
-    key = "spark.sql.parquet.outputTimestampType"
-    before = spark.conf.get(key)
+def test_records_are_checked_before_anything_is_written(spark, root):
     created = create_topic(spark, root, "p", MESSAGE)
-    append_topic(prepare_records(rows(spark, 3), created, key_hash_selector("name")), created)
-    assert spark.conf.get(key) == before
+    good = prepare_records(rows(spark, 3), created, key_hash_selector("name"))
+    for bad in (
+        good.withColumn("more", F.lit(1)),
+        good.drop("event_time"),
+        good.withColumn("age", F.lit("text")),
+        good.select("*", F.col("age").alias("AGE")),
+    ):
+        with pytest.raises(ValueError, match="not records of topic tp_test"):
+            append_topic(bad, created)
+    for shard in ("9", None):
+        with pytest.raises(PySparkException, match="not a shard of topic tp_test"):
+            append_topic(good.withColumn("shard_id", F.lit(shard).cast("string")), created)
+    assert read_topic_batch(spark, created).count() == 0
+    append_topic(good.select(*reversed(good.columns)), created)
+    assert sorted(r.age for r in read_topic_batch(spark, created).collect()) == [0, 1, 2]
+
+
+def test_producers_can_be_added(spark, root):
+    created = create_topic(spark, root, "p", MESSAGE, producers=("a",))
+    more = add_producer(spark, created, "b-2")
+    assert more.producers == ("a", "b-2") and more == open_topic(spark, root, "p", "tp_test")
+    assert add_producer(spark, created, "aa").producers == ("a", "b-2", "aa")
+    with pytest.raises(ValueError, match="already"):
+        add_producer(spark, created, "b-2")
+    with pytest.raises(ValueError, match="producer"):
+        add_producer(spark, created, "x/y")
+    append_topic(prepare_records(rows(spark, 5), more, key_hash_selector("name")), more, producer="b-2")
+    assert read_topic_batch(spark, open_topic(spark, root, "p", "tp_test")).count() == 5
 
 
 def test_time_filters_reach_the_statistics(spark, root):

@@ -18,11 +18,11 @@ from topicstream.functions.hashing import java_string_hash
 from topicstream.operators.batches import assign_batches
 from topicstream.operators.mapping import map_rows
 from topicstream.operators.metrics import (
+    Totals,
     delay_by_shard,
     records_by_shard,
     sink_metrics,
     source_metrics,
-    totals,
     with_sink_metrics,
     with_source_metrics,
 )
@@ -35,6 +35,7 @@ from topicstream.sources.bounded import append_topic, read_topic_batch
 from topicstream.sources.records import prepare_records
 from topicstream.sources.topics import (
     Topic,
+    add_producer,
     create_topic,
     describe_topic,
     list_shards,

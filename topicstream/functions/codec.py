@@ -40,16 +40,55 @@ def decode_record(df: DataFrame, definition: TopicDef, keep: Iterable[str] = ())
 def decode_json(payload: Column, schema: T.DataType | str) -> Column:
     """Typed value from JSON text or UTF-8 bytes; ``schema`` may be a struct, an array or a map.
 
-    Unknown keys are ignored, missing ones are null, malformed text fails the query.
+    Unknown keys are ignored, missing ones are null. A number or truth value may stand in quotes, and empty text for
+    one is null. Malformed or blank text, and a value that does not fit its type, fail the query; a fraction does not fit
+    a whole number.
     """
-    return F.from_json(payload.cast("string"), schema, {"mode": "FAILFAST"})
+    if isinstance(schema, str):
+        schema = T._parse_datatype_string(schema)
+    text = payload.cast("string")
+    blank = F.raise_error(F.lit("blank text is not JSON")).cast("string")
+    checked = F.when(F.trim(text) == "", blank).otherwise(text)
+    return _from_text(F.from_json(checked, _as_text(schema), {"mode": "FAILFAST"}), schema, strict_cast())
+
+
+def _as_text(schema: T.DataType) -> T.DataType:
+    """The same shape with text in place of all scalars."""
+    if isinstance(schema, T.StructType):
+        return T.StructType([T.StructField(f.name, _as_text(f.dataType)) for f in schema.fields])
+    if isinstance(schema, T.ArrayType):
+        return T.ArrayType(_as_text(schema.elementType))
+    if isinstance(schema, T.MapType):
+        return T.MapType(T.StringType(), _as_text(schema.valueType))
+    return T.StringType()
+
+
+def _from_text(value: Column, schema: T.DataType, cast: Callable[[Column, T.DataType], Column]) -> Column:
+    if isinstance(schema, T.StructType):
+        fields = [_from_text(value[f.name], f.dataType, cast).alias(f.name) for f in schema.fields]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(schema, T.ArrayType):
+        return F.transform(value, lambda x: _from_text(x, schema.elementType, cast))
+    if isinstance(schema, T.MapType):
+        return F.transform_values(value, lambda _, x: _from_text(x, schema.valueType, cast))
+    return _scalar(value, schema, cast)
+
+
+def _scalar(text: Column, target: T.DataType, cast: Callable[[Column, T.DataType], Column]) -> Column:
+    """A value from its text; empty text is null for all but text itself."""
+    if isinstance(target, (T.StringType, T.BinaryType)):
+        return cast(text, target)
+    return cast(F.when(F.trim(text) != "", text), target)
 
 
 def decode_map(values: Column, schema: T.StructType) -> Column:
-    """Typed struct from a map of text values, by key; missing keys are null, bad values fail the query."""
+    """Typed struct from a map of text values, by key.
+
+    Missing keys are null, and so is empty text for a number or truth value; bad values fail the query.
+    """
     cast = strict_cast()
     return F.struct(
-        *(cast(F.try_element_at(values, F.lit(f.name)), f.dataType).alias(f.name) for f in schema.fields)
+        *(_scalar(F.try_element_at(values, F.lit(f.name)), f.dataType, cast).alias(f.name) for f in schema.fields)
     )
 
 

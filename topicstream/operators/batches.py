@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicstream.functions.codec import quoted
@@ -12,69 +11,76 @@ from topicstream.schema import SHARD_ID
 # Fixed value: records per shard in one send.
 DEFAULT_BATCH_SIZE = 128
 
-_SAMPLE_PER_RANGE = 200
-
 
 def assign_batches(
     df: DataFrame, size: int = DEFAULT_BATCH_SIZE, *, order_by: str = "seq", ranges: int | None = None
 ) -> DataFrame:
     """Add ``batch_no``: the first ``size`` rows of a shard in arrival order are batch 0, the next batch 1, ...
 
-    ``order_by`` is a numeric column that orders the rows of a shard, an arrival sequence. A single window per shard
-    would sort a whole shard in one task, so the order is cut into ``ranges`` of about equal size (default: four for
-    each shuffle partition, which evens out where they land). A task sorts one range of one shard, and the exact row
-    counts of the ranges before it give its first number. Only where to cut comes from a sample; the numbering itself
-    is exact and does not depend on the cuts. For a hot shard the work is split like for any other.
+    ``order_by`` is a numeric column that orders the rows of a shard, an arrival sequence; it may start over in each
+    shard. Two rows of a shard with the same value, or a null, fail the query. A single window per shard would sort a
+    whole shard in one task, so the order is cut into ``ranges`` of about equal size (default: four for each shuffle
+    partition, which evens out where they land). A task sorts one range of one shard, and the exact row counts of the
+    ranges before it give its first number. Where the cuts are is approximate; the numbering is exact and does not
+    depend on them. For a hot shard the work is split like for any other.
 
-    Batch queries only. It runs two small jobs when called, to place the cuts.
+    Batch queries only. The input is read three times: once when called, to place the cuts, and twice by the plan, to
+    count the ranges and to number the rows. Write it to a table first if it is costly to compute.
     """
     if df.isStreaming:
         raise ValueError("assign_batches needs a bounded DataFrame; a streaming sink caps its files instead")
     if size < 1:
         raise ValueError(f"batch size must be positive, got {size}")
+    if "batch_no" in df.columns:
+        raise ValueError("there is a column batch_no already")
     ranges = ranges or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    located = _with_range(df, order_by, _cuts(df, order_by, ranges))
+    in_range, count, before, place = (_unused(name, df.columns) for name in ("range", "count", "before", "place"))
+    located = df.withColumn(in_range, _range(df, order_by, _cuts(df, order_by, ranges)))
 
-    part = [SHARD_ID, "_range"]
+    part, order = [SHARD_ID, in_range], F.col(quoted(order_by))
     # One row per shard and range, whatever the size of the data.
-    before = (
+    starts = (
         located.groupBy(*part)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn(
-            "_before",
-            F.sum("_n").over(Window.partitionBy(SHARD_ID).orderBy("_range")) - F.col("_n"),
-        )
-        .drop("_n")
+        .agg(F.count(F.lit(1)).alias(count))
+        .withColumn(before, F.sum(count).over(Window.partitionBy(SHARD_ID).orderBy(in_range)) - F.col(count))
+        .drop(count)
     )
-    in_range = F.row_number().over(Window.partitionBy(*part).orderBy(order_by))
-    numbered = located.withColumn("_rn", in_range).join(before, part)
-    batch_no = F.expr(f"(_before + _rn - 1) div {size}")
+    # Equal values are in the same range, so neighbours there show every tie.
+    ordered = Window.partitionBy(*part).orderBy(order)
+    tie = F.raise_error(F.concat(F.lit(f"{order_by} repeats in a shard: "), order.cast("string"))).cast("int")
+    number = F.when(order == F.lag(order).over(ordered), tie).otherwise(F.row_number().over(ordered))
+    numbered = located.withColumn(place, number).join(starts, part)
+    batch_no = F.expr(f"(`{before}` + `{place}` - 1) div {size}")
     return numbered.select(*(F.col(quoted(c)) for c in df.columns), batch_no.alias("batch_no"))
 
 
+def _unused(name: str, columns: list[str]) -> str:
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def _cuts(df: DataFrame, order_by: str, ranges: int) -> list[float]:
-    rows = df.count()
-    if rows == 0 or ranges < 2:
+    """Where to cut the order, from one pass over it."""
+    shares = [i / ranges for i in range(1, ranges)]
+    if not shares:
         return []
-    fraction = min(1.0, _SAMPLE_PER_RANGE * ranges / rows)
-    order = df.select(F.col(order_by).cast("double").alias("at"))
-    sample = order if fraction == 1.0 else order.sample(fraction, seed=7)
-    probabilities = [i / ranges for i in range(1, ranges)]
-    cuts = sample.approxQuantile("at", probabilities, 0.25 / ranges)
-    if fraction < 1.0 and any(a == b for a, b in zip(cuts, cuts[2:])):
-        # One value fills more than a whole range: it gives its rows no order, and batches would be arbitrary.
-        raise ValueError(f"{order_by} repeats too often to order the rows of a shard")
-    return sorted(set(cuts))
+    at = F.col(quoted(order_by)).cast("double")
+    return sorted(set(df.agg(F.percentile_approx(at, shares, 4 * ranges)).first()[0] or []))
 
 
-def _with_range(df: DataFrame, order_by: str, cuts: list[float]) -> DataFrame:
-    # The cast to double may join neighbours but never swaps them, so ranges stay in order.
-    missing = F.raise_error(F.lit(f"{order_by} is null")).cast("double")
-    at = F.when(F.col(order_by).isNull(), missing).otherwise(F.col(order_by).cast("double"))
+def _range(df: DataFrame, order_by: str, cuts: list[float]) -> Column:
+    """The number of the range a row is in. The cast to double may join neighbours but never swaps them."""
+    order = F.col(quoted(order_by))
+    missing = F.raise_error(F.lit(f"{order_by} is null")).cast("int")
     if not cuts:
-        return df.withColumn("_range", (at * 0).cast("int"))
-    bucketizer = Bucketizer(
-        splits=[float("-inf"), *cuts, float("inf")], inputCol="_at", outputCol="_bucket", handleInvalid="error"
+        return F.when(order.isNull(), missing).otherwise(F.lit(0))
+    bounds, at = F.split(F.lit(",".join(map(repr, cuts))), ",").cast("array<double>"), order.cast("double")
+    steps = [1 << p for p in range(len(cuts).bit_length() - 1, -1, -1)]
+    found = F.aggregate(
+        F.array(*map(F.lit, steps)),
+        F.lit(0),
+        lambda n, step: F.when(F.coalesce(F.get(bounds, n + step - 1) <= at, F.lit(False)), n + step).otherwise(n),
     )
-    located = bucketizer.transform(df.withColumn("_at", at))
-    return located.withColumn("_range", F.col("_bucket").cast("int")).drop("_at", "_bucket")
+    return F.when(order.isNull(), missing).otherwise(found)

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Mapping
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from topicstream.schema import SHARD_ID, SYSTEM_TIME
 
@@ -45,16 +46,63 @@ def sink_metrics(progress: Mapping, name: str = SINK) -> dict[str, int]:
     return {"records_out": _observed(progress, name).get("records_out", 0)}
 
 
-def totals(progress_reports: Iterable[Mapping], source: str = SOURCE, sink: str = SINK) -> dict[str, int]:
-    """Records in and out, summed over progress reports such as ``query.recentProgress``.
+class Totals:
+    """Records in and out of one run of a query, over all its triggers.
 
-    A query keeps its last ``spark.sql.streaming.numRecentProgressUpdates`` reports (100); for more, sum as they come.
+    A query keeps only its last progress reports (``spark.sql.streaming.numRecentProgressUpdates``, 100 by default). So
+    they are added up while it runs: call :meth:`update` now and then, or :meth:`follow` to do so until it ends. Reports
+    are known by the number of their trigger, so none is added twice; if one was dropped before it was added,
+    ``update`` raises, as the sums would be too small from then on.
     """
-    reports = list(progress_reports)
-    return {
-        "records_in": sum(source_metrics(p, source)["records_in"] for p in reports),
-        "records_out": sum(sink_metrics(p, sink)["records_out"] for p in reports),
-    }
+
+    def __init__(self, query: StreamingQuery, *, source: str = SOURCE, sink: str = SINK):
+        self._query, self._source, self._sink = query, source, sink
+        self._last: int | None = None
+        self._sums = {"records_in": 0, "records_out": 0}
+        self._latest = {"records_in": 0, "records_out": 0}
+        self._arrival: int | None = None
+
+    def update(self) -> Totals:
+        for progress in self._query.recentProgress:
+            trigger = progress["batchId"]
+            if self._last is not None and trigger < self._last:
+                continue
+            if self._last is not None and trigger > self._last + 1:
+                raise RuntimeError(f"reports of triggers {self._last + 1} to {trigger - 1} are gone: update more often")
+            if self._last is not None and trigger > self._last:
+                self._sums = self._with_latest()
+            # A trigger that found nothing reports its number again once there is something.
+            self._last = trigger
+            self._latest = {
+                "records_in": source_metrics(progress, self._source)["records_in"],
+                "records_out": sink_metrics(progress, self._sink)["records_out"],
+            }
+            arrival = _observed(progress, self._source).get("last_system_millis")
+            if arrival is not None:
+                self._arrival = max(arrival, self._arrival or arrival)
+        return self
+
+    def follow(self, every_seconds: float = 0.05) -> Totals:
+        """Wait until the query ends, adding its reports up; raises what the query fails with."""
+        while not self._query.awaitTermination(every_seconds):
+            self.update()
+        return self.update()
+
+    @property
+    def records_in(self) -> int:
+        return self._with_latest()["records_in"]
+
+    @property
+    def records_out(self) -> int:
+        return self._with_latest()["records_out"]
+
+    @property
+    def last_system_millis(self) -> int | None:
+        """Arrival of the latest record read."""
+        return self._arrival
+
+    def _with_latest(self) -> dict[str, int]:
+        return {name: self._sums[name] + self._latest[name] for name in self._sums}
 
 
 def records_by_shard(df: DataFrame, name: str) -> DataFrame:

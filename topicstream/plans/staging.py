@@ -5,11 +5,12 @@ from __future__ import annotations
 import uuid
 from typing import Annotated
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicstream import storage
 from topicstream.functions.codec import biz_key_attributes, decode_json, event_time_from_millis
+from topicstream.operators.metrics import Totals
 from topicstream.operators.routing import key_hash_selector
 from topicstream.options import (
     DEFAULT_PROJECT,
@@ -55,14 +56,17 @@ BY_NAME = key_hash_selector("name")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    # The tables hold zone-less timestamps, meant as UTC.
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def in_utc(zoneless: Column) -> Column:
+    """The instant of a zone-less timestamp of the tables, which are meant as UTC, whatever the session's zone is."""
+    return F.to_timestamp_ltz(F.concat(zoneless.cast("string"), F.lit("+00:00")))
+
+
 def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as typed rows of ``EVENT_IN`` plus their arrival time and type."""
-    arrival = F.col("ts").cast("timestamp")
+    arrival = in_utc(F.col("ts"))
     return table(spark, sf_dir, "events").select(
         F.col("event_id").alias("seq"),
         F.concat(F.lit("u"), F.col("user_id").cast("string"), F.lit("-"), F.col("event_type")).alias("name"),
@@ -137,10 +141,10 @@ def checked_transfer() -> Transfer:
     )
 
 
-def transfer_events(spark: SparkSession, sf_dir: str) -> tuple[Topic, list[dict]]:
+def transfer_events(spark: SparkSession, sf_dir: str) -> tuple[Topic, Totals]:
     """Run the sample job as a stream over the staged topic, under a new subscription into a new topic.
 
-    Returns that topic and the run's progress reports.
+    Returns that topic and the run's counters.
     """
     source = staged_events(spark, sf_dir)
     run = uuid.uuid4().hex
@@ -154,16 +158,4 @@ def transfer_events(spark: SparkSession, sf_dir: str) -> tuple[Topic, list[dict]
         SINK_TOPIC: sink.name,
     }
     query = start_transfer(spark, props, checked_transfer(), available_now=True)
-    query.awaitTermination()
-    return sink, list(query.recentProgress)
-
-
-_transferred: dict[tuple[str, str], tuple[Topic, list[dict]]] = {}
-
-
-def transferred_events(spark: SparkSession, sf_dir: str) -> tuple[Topic, list[dict]]:
-    """A run of :func:`transfer_events`, made once per application."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _transferred:
-        _transferred[key] = transfer_events(spark, sf_dir)
-    return _transferred[key]
+    return sink, Totals(query).follow()

@@ -96,7 +96,7 @@ def start_transfer(
 
 
 def run_transfer(
-    spark: SparkSession, props: Mapping[str, str], transfer: Transfer, *, compact: bool | None = None
+    spark: SparkSession, props: Mapping[str, str], transfer: Transfer, *, compact: bool = True
 ) -> None:
     """Run the job once over all the source topic holds, for backfills. It moves no subscription.
 

@@ -9,14 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicstream import storage
+from topicstream.functions.codec import quoted
 from topicstream.options import DEFAULT_PRODUCER
 from topicstream.schema import SHARD_ID
 from topicstream.sources.topics import Topic, list_shards
 
 DEFAULT_COMPRESSION = "zstd"
 
-_FEW_SHARDS = 8
-
 
 def read_topic_batch(spark: SparkSession, topic: Topic, shards: Iterable[str] | None = None) -> DataFrame:
     """The records a topic holds now, of all shards or of the given ones.
@@ -36,41 +35,58 @@ def append_topic(
     topic: Topic,
     *,
     producer: str = DEFAULT_PRODUCER,
-    compact: bool | None = None,
+    compact: bool = True,
+    max_records_per_file: int | None = None,
     compression: str = DEFAULT_COMPRESSION,
 ) -> None:
     """Append prepared records (see :func:`topicstream.prepare_records`) in one bounded write.
 
-    Without ``compact`` rows are written where they are, without a shuffle, and each task makes a file for each shard
-    it holds. That suits a few shards. With many, it ends in tasks x shards small files; ``compact`` spends one
-    shuffle on evenly sized ones, where adaptive execution splits the hot shards and joins the small ones. By default
-    it is on for more than eight shards, and off where adaptive execution is, as nothing would split a hot shard.
-    Either way files are split at the topic's ``max_records_per_file``.
+    One shuffle brings the rows of a shard together into evenly sized files; adaptive execution, which it needs, splits
+    hot shards and joins small ones. With ``compact=False`` rows are written where they are and each task makes a
+    file for each shard it holds, tasks x shards in all. Files are split at ``max_records_per_file``, by default the
+    topic's.
 
-    The producer's folder must not belong to a streaming writer, whose readers would not see these files.
+    Records that do not have exactly the topic's columns and types raise before anything is written, and a shard that
+    is not the topic's fails the write. The producer's folder must not belong to a streaming writer, whose readers
+    would not see these files.
     """
     path = topic.producer_path(producer)
     if storage.exists(records.sparkSession, topic.claim_path(producer)):
         raise ValueError(f"producer {producer!r} of topic {topic.name} is written by a stream; use another one")
-    records = even_out(records, topic, compact)
-    with storage.microsecond_timestamps(records.sparkSession):
-        (
-            records.write.mode("append")
-            .option("maxRecordsPerFile", topic.max_records_per_file)
-            .option("compression", compression)
-            .partitionBy(SHARD_ID)
-            .parquet(path)
-        )
-
-
-def even_out(records: DataFrame, topic: Topic, compact: bool | None) -> DataFrame:
-    """Bring the rows of a shard together for writing, where that is wanted."""
-    adaptive = records.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
-    if compact and not adaptive:
-        raise ValueError("compacting needs spark.sql.adaptive.enabled")
-    if compact or (compact is None and adaptive and topic.shard_num > _FEW_SHARDS):
-        return records.hint("rebalance", SHARD_ID)
-    return records
+    records = to_write(records, topic, compact)
+    storage.need_microsecond_timestamps(records.sparkSession)
+    (
+        records.write.mode("append")
+        .option("maxRecordsPerFile", file_limit(topic, max_records_per_file))
+        .option("compression", compression)
+        .partitionBy(SHARD_ID)
+        .parquet(path)
+    )
+
+
+def to_write(records: DataFrame, topic: Topic, compact: bool) -> DataFrame:
+    """Records as they are written: checked against the topic, and with ``compact`` the rows of a shard together."""
+    if compact and records.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
+        raise ValueError("evenly sized files need spark.sql.adaptive.enabled; turn it on or set compact=False")
+    wanted = {f.name: f.dataType.simpleString() for f in topic.record_schema}
+    given = {f.name: f.dataType.simpleString() for f in records.schema}
+    if given != wanted or len(records.columns) != len(wanted):
+        wrong = sorted(f"{n} {given.get(n, 'missing')}" for n in {*given, *wanted} if given.get(n) != wanted.get(n))
+        raise ValueError(f"not records of topic {topic.name}: {wrong}, it has {wanted}")
+    shard = F.col(SHARD_ID)
+    strange = F.raise_error(F.concat(F.lit(f"not a shard of topic {topic.name}: "), F.coalesce(shard, F.lit("null"))))
+    checked = F.when(shard.isin(list_shards(topic)), shard).otherwise(strange.cast("string"))
+    columns = [checked.alias(n) if n == SHARD_ID else F.col(quoted(n)) for n in topic.record_schema.fieldNames()]
+    records = records.select(*columns)
+    return records.hint("rebalance", SHARD_ID) if compact else records
+
+
+def file_limit(topic: Topic, max_records_per_file: int | None) -> int:
+    if max_records_per_file is None:
+        return topic.max_records_per_file
+    if max_records_per_file < 1:
+        raise ValueError(f"max_records_per_file must be positive, got {max_records_per_file}")
+    return max_records_per_file
 
 
 def of_shards(df: DataFrame, topic: Topic, shards: Iterable[str] | None) -> DataFrame:

@@ -3,13 +3,16 @@
 Layout under the root, on any file system Spark can reach::
 
     <root>/<project>/<topic>/descriptor/                          one JSON row
+    <root>/<project>/<topic>/producers/<n>-<producer>             one that was added later
     <root>/<project>/<topic>/data/<producer>/shard_id=<k>/*.parquet
     <root>/<project>/<topic>/streams/<producer>                   checkpoint of the stream that writes it, if one does
     <root>/_subscriptions/<project>/<topic>/<subscription>/       streaming checkpoint
 
 Each producer is one writing job with a folder of its own, because a streaming file sink keeps its commit log
-per folder. The producers are fixed when the topic is created: a reading query is a union over them, and its
-checkpoint stays valid only while that list does not change. A producer that never writes costs one folder listing.
+per folder. A reading query is a union over the producers it found when it started, in the order in which they were
+declared. Declare spare ones where you can: one that never writes costs one folder listing. One that
+:func:`add_producer` adds later is seen by queries that start under a new subscription; a query that goes on from a
+checkpoint of fewer producers is refused by Spark, so nothing is left out without a word.
 """
 
 from __future__ import annotations
@@ -80,9 +83,7 @@ class Topic:
         """
         if not producers or len(set(producers)) != len(producers):
             raise ValueError(f"producers must be one or more different names, got {list(producers)}")
-        bad = [n for n in (project, definition.name, *producers) if not n.strip() or n[0] in "_." or set(n) & set("/=")]
-        if bad:
-            raise ValueError(f"not usable as names of projects, topics or producers: {bad}")
+        _check_names((project, definition.name, *producers))
         if max_records_per_file < 1 or lifecycle_days < 1:
             raise ValueError("max_records_per_file and lifecycle_days must be positive")
         schema = definition.to_struct(need_event_time)
@@ -164,6 +165,7 @@ def open_topic(spark: SparkSession, root: str, project: str, name: str) -> Topic
     if not storage.exists(spark, descriptor):
         raise ValueError(f"topic {project}/{name} does not exist under {root}")
     row = spark.read.schema(_DESCRIPTOR).json(descriptor).first()
+    added = storage.list_names(spark, storage.join(topic_path(root, project, name), "producers"))
     return Topic(
         root=root,
         project=project,
@@ -172,11 +174,30 @@ def open_topic(spark: SparkSession, root: str, project: str, name: str) -> Topic
         lifecycle_days=row.lifecycle_days,
         comment=row.comment,
         schema=T.StructType.fromJson(json.loads(row.schema)),
-        producers=tuple(row.producers),
+        producers=(*row.producers, *(entry.partition("-")[2] for entry in added)),
         max_records_per_file=row.max_records_per_file,
     )
 
 
+def add_producer(spark: SparkSession, topic: Topic, producer: str) -> Topic:
+    """Let one more job write to a topic. Returns the topic as it is then; jobs that have it open do not change."""
+    now = open_topic(spark, topic.root, topic.project, topic.name)
+    if producer in now.producers:
+        raise ValueError(f"topic {topic.name} has a producer {producer!r} already")
+    _check_names([producer])
+    storage.make_dir(spark, storage.join(now.path, "data", producer))
+    # The number keeps the order. Of two jobs that add one at the same time, the second finds its file taken and fails.
+    taken = len(storage.list_names(spark, storage.join(now.path, "producers")))
+    storage.create_text(spark, storage.join(now.path, "producers", f"{taken:06d}-{producer}"), producer)
+    return open_topic(spark, topic.root, topic.project, topic.name)
+
+
+def _check_names(names: Sequence[str]) -> None:
+    bad = [n for n in names if not n.strip() or n[0] in "_." or set(n) & set("/=")]
+    if bad:
+        raise ValueError(f"not usable as names of projects, topics or producers: {bad}")
+
+
 def describe_topic(spark: SparkSession, topic: Topic) -> DataFrame:
     """One row per field of the topic: position, field, type, comment."""
     rows = [

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
+
+from collections.abc import Iterable
 
 from pyspark.sql import SparkSession
 
@@ -50,31 +49,53 @@ def read_text(spark: SparkSession, path: str) -> str | None:
     return row.value if row else ""
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds, in order; nothing for a missing one."""
+    fs, target = _resolve(spark, path)
+    return sorted(entry.getPath().getName() for entry in fs.listStatus(target)) if fs.exists(target) else []
+
+
+def size_in_bytes(spark: SparkSession, paths: Iterable[str]) -> int:
+    """Bytes that the files hold together."""
+    total = 0
+    for path in paths:
+        fs, target = _resolve(spark, path)
+        total += fs.getFileStatus(target).getLen()
+    return total
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder path under the shared folder named by ``spark.checkpoint.dir``.
+    """A new path, not there yet, under :func:`scratch_base`; what is written there goes when the session's JVM ends.
 
-    Every call gives another path, so runs never see each other's files. Only a local session without
-    that setting falls back to the machine's temporary folder; on a cluster the missing setting is an error.
+    Every call gives another path, so runs never see each other's files.
     """
-    conf = spark.sparkContext.getConf()
-    base = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir")
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        base = tempfile.mkdtemp(prefix="topicstream-")
-    return join(base, f"{purpose}-{uuid.uuid4().hex}")
-
-
-@contextmanager
-def microsecond_timestamps(spark: SparkSession) -> Iterator[None]:
-    """Write Parquet timestamps as microseconds, which carry the statistics that let time filters skip row groups."""
-    key = "spark.sql.parquet.outputTimestampType"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "TIMESTAMP_MICROS")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    folder = join(scratch_base(spark), f"{purpose}-{uuid.uuid4().hex}")
+    make_dir(spark, folder)
+    fs, target = _resolve(spark, folder)
+    fs.deleteOnExit(target)
+    return join(folder, "data")
+
+
+def scratch_base(spark: SparkSession) -> str:
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    A local session without that setting uses its warehouse folder; on a cluster the missing setting is an error.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if base:
+        return base
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
+    return join(spark.conf.get("spark.sql.warehouse.dir"), "_scratch")
+
+
+def need_microsecond_timestamps(spark: SparkSession) -> None:
+    """See that Parquet timestamps are written as microseconds, which have the statistics that let time filters skip
+    row groups. The setting is the session's and stays: set and restored around each write, it would be undone by
+    another write of the session that ends in between.
+    """
+    spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
 
 
 def _resolve(spark: SparkSession, path: str):

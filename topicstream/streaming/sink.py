@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from topicstream import storage
 from topicstream.options import COMMIT_INTERVAL_SECONDS, DEFAULT_PRODUCER
 from topicstream.schema import SHARD_ID
-from topicstream.sources.bounded import DEFAULT_COMPRESSION, even_out
+from topicstream.sources.bounded import DEFAULT_COMPRESSION, file_limit, to_write
 from topicstream.sources.topics import Topic
 
 
@@ -20,7 +20,8 @@ def write_topic(
     producer: str = DEFAULT_PRODUCER,
     interval_seconds: float | None = COMMIT_INTERVAL_SECONDS,
     available_now: bool = False,
-    compact: bool | None = None,
+    compact: bool = True,
+    max_records_per_file: int | None = None,
     expire: bool = False,
     compression: str = DEFAULT_COMPRESSION,
     query_name: str | None = None,
@@ -32,8 +33,9 @@ def write_topic(
     ``interval_seconds``, or with ``None`` as soon as the last one is done. ``available_now`` drains what is there and
     stops.
 
-    Files and ``compact`` are as in :func:`topicstream.append_topic`: few shards are written without a shuffle, for
-    many one shuffle keeps a commit from ending in tasks x shards small files.
+    Files, ``compact``, ``max_records_per_file`` and the checks of the records are as in
+    :func:`topicstream.append_topic`: one shuffle keeps a commit from ending in tasks x shards small files, which would
+    also lengthen the commit log that sinks and readers keep on the driver.
 
     A producer and a checkpoint belong together from their first run on: the producer's commit log counts the
     checkpoint's triggers, and Spark would skip those of another one as done already. A mix-up raises.
@@ -48,14 +50,14 @@ def write_topic(
     spark = records.sparkSession
     checkpoint = checkpoint.strip().rstrip("/")
     _claim(spark, topic, producer, checkpoint)
-    records = even_out(records, topic, compact)
+    records = to_write(records, topic, compact)
     writer = (
         records.writeStream.format("parquet")
         .outputMode("append")
         .partitionBy(SHARD_ID)
         .option("path", topic.producer_path(producer))
         .option("checkpointLocation", checkpoint)
-        .option("maxRecordsPerFile", topic.max_records_per_file)
+        .option("maxRecordsPerFile", file_limit(topic, max_records_per_file))
         .option("compression", compression)
     )
     if expire:
@@ -66,9 +68,8 @@ def write_topic(
         writer = writer.trigger(availableNow=True)
     elif interval_seconds is not None:
         writer = writer.trigger(processingTime=f"{int(interval_seconds * 1000)} milliseconds")
-    # A query keeps the settings its session had when it started.
-    with storage.microsecond_timestamps(spark):
-        return writer.start()
+    storage.need_microsecond_timestamps(spark)
+    return writer.start()
 
 
 def _claim(spark: SparkSession, topic: Topic, producer: str, checkpoint: str) -> None:

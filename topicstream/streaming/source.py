@@ -8,17 +8,25 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
-from topicstream.options import COMMIT_INTERVAL_SECONDS, DEFAULT_SOURCE_RATE
+from topicstream import storage
+from topicstream.options import COMMIT_INTERVAL_SECONDS
 from topicstream.sources.bounded import of_shards
 from topicstream.sources.topics import Topic
 
+# Spark ignores files this much older than the newest one it has seen, by default a week. No file of a topic is too old:
+# one may arrive with the time of the place it was copied from.
+_MAX_FILE_AGE = "36500d"
+# How many of a producer's files are looked at for the size of a record.
+_MEASURED_FILES = 32
+_BYTES_PER_COLUMN = 16
+
 
 def read_topic(
     spark: SparkSession,
     topic: Topic,
     *,
     shards: Iterable[str] | None = None,
-    rate: int | None = DEFAULT_SOURCE_RATE,
+    rate: int | None = None,
     interval_seconds: float = COMMIT_INTERVAL_SECONDS,
     slots: int | None = None,
 ) -> DataFrame:
@@ -28,39 +36,52 @@ def read_topic(
     ``topic.subscription_path(name)`` and a later run goes on where the last one stopped. No watermark is set;
     add ``withWatermark("system_time", ...)`` where one is wanted.
 
-    ``rate`` is in records per second for each task slot (``None``: no limit). Spark admits whole files per trigger, so
-    the limit holds for triggers ``interval_seconds`` apart and counts every file as full. A trigger that may admit
-    nothing raises: lengthen the interval, or create the topic with smaller files. A drain with ``availableNow`` keeps
-    to the limit in each trigger, but does not wait between them. ``slots`` is how many task slots to reckon with, by
-    default those the session has now; set it where executors come and go.
+    ``rate`` is in records per second for each task slot (by default there is no limit), for triggers
+    ``interval_seconds`` apart. Spark admits whole files, so the rate becomes bytes, by the size of a record in the
+    topic's files when the query starts: many small files are read at once as well as a few large ones. What a trigger
+    may read is shared among the producers by the bytes they hold, and each of them may read one file in any case. A
+    drain with ``availableNow`` keeps to the limit in each trigger, but does not wait between them. ``slots`` is how
+    many task slots to reckon with, by default those the session has now; set it where executors come and go.
     """
-    reader = spark.readStream.schema(topic.record_schema)
+    limits: dict[str, int] = {}
     if rate is not None:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger(spark, topic, rate, interval_seconds, slots))
+        limits = bytes_per_trigger(spark, topic, records_per_trigger(spark, rate, interval_seconds, slots))
+    parts = []
     # The order of the union is the order in the descriptor, which checkpoints rely on.
-    parts = [reader.parquet(topic.producer_path(producer)) for producer in topic.producers]
+    for producer in topic.producers:
+        reader = spark.readStream.schema(topic.record_schema).option("maxFileAge", _MAX_FILE_AGE)
+        if limits:
+            reader = reader.option("maxBytesPerTrigger", limits[producer])
+        parts.append(reader.parquet(topic.producer_path(producer)))
     return of_shards(reduce(DataFrame.unionByName, parts), topic, shards)
 
 
-def files_per_trigger(
-    spark: SparkSession, topic: Topic, rate: int, interval_seconds: float, slots: int | None = None
-) -> int:
-    """Files each producer may add to a trigger so that all of them together stay within the rate."""
-    allowed = records_per_trigger(spark, rate, interval_seconds, slots)
-    files = allowed // (topic.max_records_per_file * len(topic.producers))
-    if files < 1:
-        raise ValueError(
-            f"{allowed} records per trigger are less than one file of {topic.max_records_per_file} records"
-            f" for each of {len(topic.producers)} producers"
-        )
-    return files
-
-
 def records_per_trigger(spark: SparkSession, rate: int, interval_seconds: float, slots: int | None = None) -> int:
     """The most records one trigger may read."""
     return int(rate * (slots or spark.sparkContext.defaultParallelism) * interval_seconds)
 
 
+def bytes_per_trigger(spark: SparkSession, topic: Topic, records: int) -> dict[str, int]:
+    """By producer, the bytes that ``records`` records take in a trigger, shared by the bytes the producers hold."""
+    sizes, measured_bytes, measured_records = {}, 0, 0
+    for producer in topic.producers:
+        held = spark.read.schema(topic.record_schema).parquet(topic.producer_path(producer))
+        files = held.inputFiles()
+        sample = files[:: max(1, len(files) // _MEASURED_FILES)]
+        sampled = storage.size_in_bytes(spark, sample)
+        sizes[producer] = sampled * len(files) // max(1, len(sample))
+        if sample:
+            measured_bytes += sampled
+            measured_records += spark.read.parquet(*sample).count()  # from the footers
+    # A topic without records gives no measure; a guess by its columns stands in until the next start.
+    of_record = measured_bytes / measured_records if measured_records else _BYTES_PER_COLUMN * len(topic.record_schema)
+    total = sum(sizes.values())
+    return {
+        producer: max(1, int(records * of_record * (size / total if total else 1 / len(sizes))))
+        for producer, size in sizes.items()
+    }
+
+
 def shortest_interval(spark: SparkSession, topic: Topic, rate: int, slots: int | None = None) -> int:
-    """The fewest whole seconds in which the rate lets a trigger read a file of each producer."""
-    return math.ceil(topic.max_records_per_file * len(topic.producers) / records_per_trigger(spark, rate, 1, slots))
+    """The fewest whole seconds in which the rate lets a trigger read a full file."""
+    return math.ceil(topic.max_records_per_file / records_per_trigger(spark, rate, 1, slots))
