@@ -451,14 +451,17 @@ def test_fingerprints_follow_order_and_distance(spark, make_docs):
 
 def reference_signature(spark, text):
     """The signature by its definition, with Spark's hash of the elements."""
-    found = re.findall(r"[^\x20\x09-\x0D]{1,6}", text)
+    found = re.findall(r"[^\x20\x09-\x0D]{1,12}", text)
     kmers = [found[i : i + 3] for i in range(max(1, len(found) - 2))]
     seen, rows = defaultdict(int), []
     for at, kmer in enumerate(kmers):
         rows.append((at, *(kmer + [None] * 3)[:3], seen[tuple(kmer)]))
         seen[tuple(kmer)] += 1
     frame = spark.createDataFrame(rows, "at int, a string, b string, c string, nth int")
-    elements = sorted((r.h, r.at) for r in frame.selectExpr("xxhash64(xxhash64(a, b, c), nth) as h", "at").collect())
+    upper = f"& {-1 << fingerprints.PLACE_BITS}"
+    kmer = f"(xxhash64(a, b, c) {upper})"
+    hashed = frame.selectExpr(f"if(nth = 0, {kmer}, xxhash64({kmer}, nth) {upper}) as h", "at")
+    elements = sorted((r.h, r.at) for r in hashed.collect())
     pairs = []
     for k in range(fingerprints.ENTRIES):
         point = -(1 << 63) + k * ((1 << 64) // fingerprints.ENTRIES)
