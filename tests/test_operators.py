@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from topicstream import assign_batches, delay_by_shard, retained
 from topicstream.operators.batches import _cuts, _range
+from topicstream.operators.retention import utc_day
 
 QUERY_FAILS = (PySparkException, Py4JJavaError)
 
@@ -107,6 +108,15 @@ def test_retention(spark):
     assert sorted(r.i for r in retained(df, 2, F.lit(day)).collect()) == [0, 1, 2]
 
 
+def test_days_are_utc_in_any_zone(spark):
+    df = spark.sql("select explode(array(timestamp_micros(-1), timestamp_micros(0), timestamp_micros(86399999999))) as t")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        assert [str(r.d) for r in df.select(utc_day(F.col("t")).alias("d")).collect()] == ["1969-12-31", "1970-01-01", "1970-01-01"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_delay_is_of_the_last_record(spark):
     at = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
     rows = [("0", 1, at), ("0", 2, at - dt.timedelta(seconds=9)), ("1", 1, at - dt.timedelta(seconds=1))]

@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -9,12 +11,15 @@ from topicstream import (
     append_topic,
     create_topic,
     describe_topic,
+    drop_expired,
     key_hash_selector,
     list_shards,
     open_topic,
     prepare_records,
     read_topic_batch,
+    retained,
     shards_frame,
+    storage,
 )
 from topicstream.schema import EVENT_TIME_COMMENT
 
@@ -133,6 +138,26 @@ def test_topics_are_compacted_unless_told_otherwise(spark, root, shards):
         spark.conf.unset("spark.sql.adaptive.enabled")
 
 
+def test_days_are_pruned_and_dropped(spark, root):
+    created = create_topic(spark, root, "p", MESSAGE, lifecycle_days=3, producers=("a", "streamed"))
+    now = dt.datetime(2024, 1, 31, 12, tzinfo=dt.timezone.utc)
+    aged = rows(spark, 300).withColumn("at", F.lit(now) - F.make_dt_interval(hours=F.col("age").cast("int")))
+    for producer in created.producers:
+        written = prepare_records(aged, created, key_hash_selector("name"), system_time=F.col("at"), carry=("at",))
+        append_topic(written, created, producer=producer)
+    storage.create_text(spark, created.claim_path("streamed"), "c")
+    young = retained(read_topic_batch(spark, created), 3, now)
+    assert sorted(r.age for r in young.collect()) == sorted([*range(73), *range(73)])
+    plan = young._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(arrival_date" in plan
+    dropped = drop_expired(spark, created, now)
+    assert len(dropped) == 9 and all("/a/arrival_date=2024-01-" in d for d in dropped)
+    assert min(d[-10:] for d in dropped) == "2024-01-19" and max(d[-10:] for d in dropped) == "2024-01-27"
+    left = read_topic_batch(spark, created).groupBy("age").count().collect()
+    assert {r.age for r in left if r["count"] == 2} >= set(range(73))
+    assert drop_expired(spark, created, now) == []
+
+
 def test_records_are_checked_before_anything_is_written(spark, root):
     created = create_topic(spark, root, "p", MESSAGE)
     good = prepare_records(rows(spark, 3), created, key_hash_selector("name"))

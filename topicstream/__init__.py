@@ -31,7 +31,7 @@ from topicstream.operators.routing import Selector, key_hash_selector, route, sh
 from topicstream.options import SinkOptions, SourceOptions, sink_options, source_options, with_prefix
 from topicstream.plans.transfer import Transfer, run_transfer, start_transfer
 from topicstream.schema import BIGINT, DOUBLE, STRING, TIMESTAMP, Field, FieldDef, Int32, TopicDef, topic, topic_def
-from topicstream.sources.bounded import append_topic, read_topic_batch
+from topicstream.sources.bounded import append_topic, drop_expired, read_topic_batch
 from topicstream.sources.records import prepare_records
 from topicstream.sources.topics import (
     Topic,

@@ -34,6 +34,8 @@ DEFAULT_LIFECYCLE_DAYS = 3
 ATTRIBUTES = "attributes"
 SYSTEM_TIME = "system_time"
 SHARD_ID = "shard_id"
+# Folder level above the shards: the UTC day of a record's arrival.
+ARRIVAL_DATE = "arrival_date"
 
 Int32 = NewType("Int32", int)
 """Marks a BIGINT field whose typed value is a 32-bit integer; plain ``int`` is 64-bit."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable
 from functools import reduce
 
@@ -11,7 +12,8 @@ from pyspark.sql import functions as F
 from topicstream import storage
 from topicstream.functions.codec import quoted
 from topicstream.options import DEFAULT_PRODUCER
-from topicstream.schema import SHARD_ID
+from topicstream.operators.retention import utc_date
+from topicstream.schema import ARRIVAL_DATE, SHARD_ID
 from topicstream.sources.topics import Topic, list_shards
 
 DEFAULT_COMPRESSION = "zstd"
@@ -59,11 +61,30 @@ def append_topic(
         records.write.mode("append")
         .option("maxRecordsPerFile", file_limit(topic, max_records_per_file))
         .option("compression", compression)
-        .partitionBy(SHARD_ID)
+        .partitionBy(ARRIVAL_DATE, SHARD_ID)
         .parquet(path)
     )
 
 
+def drop_expired(spark: SparkSession, topic: Topic, as_of: dt.datetime) -> list[str]:
+    """Delete the days that ended before the topic's lifecycle up to ``as_of`` began, and return their folders.
+
+    Only of producers that bounded jobs write: a stream's commit log names its files, so it drops them itself
+    (``expire=`` of :func:`topicstream.write_topic`). No job may write or read those days meanwhile.
+    """
+    first_kept = utc_date(as_of) - dt.timedelta(days=topic.lifecycle_days)
+    dropped = []
+    for producer in topic.producers:
+        if storage.exists(spark, topic.claim_path(producer)):
+            continue
+        for name in storage.list_names(spark, topic.producer_path(producer)):
+            level, _, day = name.partition("=")
+            if level == ARRIVAL_DATE and day[:1].isdigit() and dt.date.fromisoformat(day) < first_kept:
+                dropped.append(storage.join(topic.producer_path(producer), name))
+                storage.delete(spark, dropped[-1])
+    return dropped
+
+
 def to_write(records: DataFrame, topic: Topic, compact: bool) -> DataFrame:
     """Records as they are written: checked against the topic, and with ``compact`` the rows of a shard together."""
     if compact and records.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
@@ -78,7 +99,7 @@ def to_write(records: DataFrame, topic: Topic, compact: bool) -> DataFrame:
     checked = F.when(shard.isin(list_shards(topic)), shard).otherwise(strange.cast("string"))
     columns = [checked.alias(n) if n == SHARD_ID else F.col(quoted(n)) for n in topic.record_schema.fieldNames()]
     records = records.select(*columns)
-    return records.hint("rebalance", SHARD_ID) if compact else records
+    return records.hint("rebalance", ARRIVAL_DATE, SHARD_ID) if compact else records
 
 
 def file_limit(topic: Topic, max_records_per_file: int | None) -> int:

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from topicstream.functions.codec import attributes_or_none, encode_payload, field_aliases, quoted
 from topicstream.operators.routing import Selector, place
-from topicstream.schema import EVENT_TIME, SHARD_ID, SYSTEM_TIME, TopicDef
+from topicstream.operators.retention import utc_day
+from topicstream.schema import ARRIVAL_DATE, EVENT_TIME, SHARD_ID, SYSTEM_TIME, TopicDef
 from topicstream.sources.topics import Topic, list_shards
 
 
@@ -30,17 +31,19 @@ def prepare_records(
     Columns in ``carry`` are there for the expressions only and are not written; any other column that is not
     declared, or not on the topic, raises. ``attributes`` and ``event_time`` are expressions over ``df`` as in
     :func:`topicstream.encode_record`, ``system_time`` is the arrival time, by default the time of writing.
-    All of it is one narrow projection.
+    All of it is one narrow projection. The day of the arrival, in UTC, is a folder level of the topic; a record
+    without an arrival time has none.
     """
     if EVENT_TIME not in topic.schema.fieldNames():
         raise ValueError(f"topic {topic.name} has no {EVENT_TIME} column")
     names = [c for c in df.columns if c not in set(carry)]
     alias = {c: c for c in names} if definition is None else field_aliases(names, definition)
     columns = {alias[c]: F.col(quoted(c)) for c in names}
-    arrival = F.current_timestamp() if system_time is None else system_time
+    arrival = (F.current_timestamp() if system_time is None else system_time).cast("timestamp")
     return df.select(
         *encode_payload(df, columns, topic.schema, event_time),
         attributes_or_none(attributes),
-        arrival.cast("timestamp").alias(SYSTEM_TIME),
+        arrival.alias(SYSTEM_TIME),
+        utc_day(arrival).alias(ARRIVAL_DATE),
         place(list_shards(topic), selector).alias(SHARD_ID),
     )

@@ -4,7 +4,7 @@ Layout under the root, on any file system Spark can reach::
 
     <root>/<project>/<topic>/descriptor/                          one JSON row
     <root>/<project>/<topic>/producers/<n>-<producer>             one that was added later
-    <root>/<project>/<topic>/data/<producer>/shard_id=<k>/*.parquet
+    <root>/<project>/<topic>/data/<producer>/arrival_date=<day>/shard_id=<k>/*.parquet
     <root>/<project>/<topic>/streams/<producer>                   checkpoint of the stream that writes it, if one does
     <root>/_subscriptions/<project>/<topic>/<subscription>/       streaming checkpoint
 
@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 from topicstream import storage
 from topicstream.options import DEFAULT_PRODUCER
 from topicstream.schema import (
+    ARRIVAL_DATE,
     ATTRIBUTES,
     DEFAULT_LIFECYCLE_DAYS,
     SHARD_ID,
@@ -41,6 +42,7 @@ DEFAULT_MAX_RECORDS_PER_FILE = 1_000_000
 _ENVELOPE = (
     T.StructField(ATTRIBUTES, T.MapType(T.StringType(), T.StringType())),
     T.StructField(SYSTEM_TIME, T.TimestampType()),
+    T.StructField(ARRIVAL_DATE, T.DateType()),
     T.StructField(SHARD_ID, T.StringType()),
 )
 _RESERVED = {f.name for f in _ENVELOPE}
@@ -104,7 +106,7 @@ class Topic:
 
     @property
     def record_schema(self) -> T.StructType:
-        """Columns of a stored record: the topic's fields, then attributes, arrival time and shard."""
+        """Columns of a stored record: the topic's fields, then attributes, arrival time, its day, and shard."""
         return T.StructType([*self.schema.fields, *_ENVELOPE])
 
     @property

@@ -23,6 +23,12 @@ def make_dir(spark: SparkSession, path: str) -> None:
     fs.mkdirs(target)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder and what it holds."""
+    fs, target = _resolve(spark, path)
+    fs.delete(target, True)
+
+
 def is_empty(spark: SparkSession, path: str) -> bool:
     """True when the folder is missing or holds nothing but the marker of an empty write."""
     fs, target = _resolve(spark, path)

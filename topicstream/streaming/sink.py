@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from topicstream import storage
 from topicstream.options import COMMIT_INTERVAL_SECONDS, DEFAULT_PRODUCER
-from topicstream.schema import SHARD_ID
+from topicstream.schema import ARRIVAL_DATE, SHARD_ID
 from topicstream.sources.bounded import DEFAULT_COMPRESSION, file_limit, to_write
 from topicstream.sources.topics import Topic
 
@@ -54,7 +54,7 @@ def write_topic(
     writer = (
         records.writeStream.format("parquet")
         .outputMode("append")
-        .partitionBy(SHARD_ID)
+        .partitionBy(ARRIVAL_DATE, SHARD_ID)
         .option("path", topic.producer_path(producer))
         .option("checkpointLocation", checkpoint)
         .option("maxRecordsPerFile", file_limit(topic, max_records_per_file))
