@@ -82,10 +82,10 @@ class FieldDef:
         if not self.alias.strip():
             raise ValueError("a field needs a column name")
         if self.type not in _TOPIC_TYPES:
-            raise TypeError(f"Unsupported type: {self.type} (field {self.alias})")
+            raise TypeError(f"field {self.alias} is declared as {self.type}, which no column of a topic can be")
         if (self.alias == EVENT_TIME) != (self.type == TIMESTAMP):
             raise TypeError(
-                f"Type not match: {TIMESTAMP} is the type of {EVENT_TIME} and of no other column, "
+                f"{TIMESTAMP} is the type of {EVENT_TIME} and of no other column, "
                 f"got {self.alias} {self.type}"
             )
         if self.name is None:
@@ -166,10 +166,10 @@ def _field_def(prop: str, hint: object) -> FieldDef:
     if field.alias == EVENT_TIME and python_type in _EVENT_TIME_VALUES:
         return FieldDef(field.alias, field.type, field.comment, prop, _EVENT_TIME_VALUES[python_type])
     if python_type not in _VALUE_TYPES:
-        raise TypeError(f"Unsupported type: {python_type} (field {prop})")
+        raise TypeError(f"field {prop} has the class {python_type}, for which topics have no column type")
     expected, value_type = _VALUE_TYPES[python_type]
     if field.type != expected:
-        raise TypeError(f"Type not match: field {prop} needs {expected}, declared {field.type}")
+        raise TypeError(f"field {prop} needs a column of {expected} but declares {field.type}")
     return FieldDef(field.alias, field.type, field.comment, prop, value_type)
 
 
@@ -182,4 +182,4 @@ def type_name(data_type: T.DataType) -> str:
     for name, known in _TOPIC_TYPES.items():
         if known == data_type:
             return name
-    raise TypeError(f"Unsupported type: {data_type.simpleString()}")
+    raise TypeError(f"topics have no column type for {data_type.simpleString()}")
