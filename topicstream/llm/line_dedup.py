@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from topicstream.llm import bloom
+from topicstream.llm.blocks import connect
 from topicstream.llm.common import components, text_or_empty, written
 
 EDITS = 2
@@ -66,7 +67,9 @@ def near_lines(
     )
     stars = keyed.join(firsts, "key").where("at <> first").select(F.col("at").alias("a"), F.col("first").alias("b"))
     near = components(stars, "line-stars")
-    linked = components(_verified(lines, near, edits, chars_per_edit), "line-links").withColumnRenamed("node", "at")
+    texts = lines.select(F.col("at").alias("row"), "text", "segments", "probes")
+    links = connect(near, texts, lambda pdf: _links(pdf, edits, chars_per_edit), BLOCK, "line")
+    linked = components(links, "line-links").withColumnRenamed("node", "at")
 
     reached = written(nodes.select("node", "first", F.col("first.at").alias("at")).join(linked, "at", "left"), "line-reached")
     classes = reached.where("root is not null").groupBy("root").agg(F.min("first").alias("class"))
@@ -83,28 +86,6 @@ def near_lines(
     )
 
 
-def _verified(lines: DataFrame, near: DataFrame, edits: int, chars_per_edit: int) -> DataFrame:
-    """Links (a, b) that connect what the edit distances connect within each component of ``near``."""
-    sizes = written(near.groupBy("root").agg(F.count("*").alias("size")), "line-sizes")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    members = written(
-        near.join(sizes, "root").select(
-            F.col("node").alias("at"), "root", blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("k")
-        ),
-        "line-members",
-    )
-    wanted = bloom.contained_in(members.select("at"))
-    texts = lines.select("at", "text", "segments", "probes").where(wanted("at"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    grouped = (
-        texts.join(members, "at")
-        .select("*", other.alias("other"))
-        .select("at", "root", "k", F.least("k", "other").alias("i"), F.greatest("k", "other").alias("j"), "text", "segments", "probes")
-        .groupBy("root", "i", "j")
-    )
-    return written(grouped.applyInPandas(lambda pdf: _links(pdf, edits, chars_per_edit), "a long, b long"), "line-links")
-
-
 def allowed(length: int, edits: int, chars_per_edit: int) -> int:
     return min(edits, length // chars_per_edit)
 
@@ -174,8 +155,8 @@ def within(a: str, b: str, edits: int) -> bool:
 
 
 def _links(pdf: pd.DataFrame, edits: int, chars_per_edit: int) -> pd.DataFrame:
-    pdf = pdf.sort_values("at")
-    ats, block, texts = pdf["at"].tolist(), pdf["k"].tolist(), pdf["text"].tolist()
+    pdf = pdf.sort_values("row")
+    ats, block, texts = pdf["row"].tolist(), pdf["k"].tolist(), pdf["text"].tolist()
     apart = pdf["i"].iloc[0] != pdf["j"].iloc[0]  # pairs inside a block belong to the block's own group
     parent = list(range(len(ats)))
 

@@ -6,8 +6,8 @@
 2. Nodes with a band in common are tied to the smallest of them: a star, not all pairs. Whatever is linked lies inside one
    component of these stars.
 3. Components are compared inside Spark groups: pairs whose sketches allow the similarity are confirmed on their full
-   sets of shingles, unless they are connected already. Large components are cut into blocks, and every pair of blocks is
-   a group, so no task holds more than two blocks and none emits more links than it has rows.
+   sets of shingles, unless they are connected already. Large components are cut into blocks, and pairs of blocks are
+   groups, so no task holds more than two blocks and none emits more links than it has rows.
 4. The components of the confirmed links are the result.
 """
 
@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicstream.llm import bloom
+from topicstream.llm.blocks import connect
 from topicstream.llm.common import SPACE, components, lower_ascii, text_or_empty, unused, written
 
 WORDS = 5
@@ -79,7 +79,9 @@ def near_dedup(
     stars = keyed.join(firsts, "key").where("row <> first").select(F.col("row").alias("a"), F.col("first").alias("b"))
     near = components(stars, "near-bands")
 
-    links = _confirmed(sketched, near, words, percent, bands)
+    limit = _most_differing(percent / 100, ROWS * bands)
+    texts = sketched.select("row", "words", "sketch")
+    links = connect(near, texts, lambda pdf: _links(pdf, words, percent, limit), BLOCK, "near")
     linked = components(links, "near-links").withColumnRenamed("node", "row")
     reached = written(nodes.select("row", "least").join(linked, "row"), "reached")
     least = reached.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -111,29 +113,6 @@ def keep_one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     return numbered.join(dropped, row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
-def _confirmed(sketched: DataFrame, near: DataFrame, words: int, percent: int, bands: int) -> DataFrame:
-    """Links (a, b) that connect what the full sets connect within each component of ``near``."""
-    sizes = written(near.groupBy("root").agg(F.count("*").alias("size")), "near-sizes")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    members = written(
-        near.join(sizes, "root").select(
-            F.col("node").alias("row"), "root", blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("k")
-        ),
-        "near-members",
-    )
-    wanted = bloom.contained_in(members.select("row"))
-    texts = sketched.select("row", "words", "sketch").where(wanted("row"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    grouped = (
-        texts.join(members, "row")
-        .select("*", other.alias("other"))
-        .select("row", "root", "k", F.least("k", "other").alias("i"), F.greatest("k", "other").alias("j"), "words", "sketch")
-        .groupBy("root", "i", "j")
-    )
-    limit = _most_differing(percent / 100, ROWS * bands)
-    return written(grouped.applyInPandas(lambda pdf: _links(pdf, words, percent, limit), "a long, b long"), "near-links")
-
-
 def _most_differing(similarity: float, samples: int) -> float:
     """Bits in which the odd sketches of texts of this similarity differ at most, with five standard deviations to spare."""
     low = similarity - 5 * math.sqrt(similarity * (1 - similarity) / samples)
