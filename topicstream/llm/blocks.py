@@ -11,15 +11,17 @@ from pyspark.sql import functions as F
 from topicstream.llm import bloom
 from topicstream.llm.common import components, written
 
+_BLOCKS_AT_A_TIME = 3
+
 
 def connect(
     near: DataFrame, rows: DataFrame, links: Callable[[pd.DataFrame], pd.DataFrame], block: int, purpose: str
 ) -> DataFrame:
     """Links (a, b) that connect within each group of ``near`` (node, root) what pairwise comparison would connect.
 
-    ``rows`` has a column ``row``, the node, and what ``links`` needs. ``links`` gets up to two blocks of about ``block`` rows
-    of a group, with their block numbers in ``k``, and returns links that connect what is linked; if ``i`` and ``j`` differ, it
-    need only compare rows of different blocks.
+    ``rows`` has a column ``row``, the node (not negative), and what ``links`` needs. ``links`` gets up to two blocks of about
+    ``block`` rows of a group, with their block numbers in ``k``, and returns links that connect what is linked; if ``i`` and
+    ``j`` differ, it need only compare rows of different blocks. Groups of one block are handed over several at a time.
 
     A large group is compared in two rounds. First all blocks are compared with one of them. That connects most of a
     group of near copies, and what is connected already need not be compared again: the second round compares the
@@ -27,8 +29,14 @@ def connect(
     """
     sizes = written(near.groupBy("root").agg(F.count("*").alias("size")), f"{purpose}-sizes")
     many = F.ceil(F.col("size") / block).cast("int")
+    small = sizes.where(F.col("size") <= block).agg(F.sum("size")).first()[0] or 0
+    bins = F.lit(max(1, small // (_BLOCKS_AT_A_TIME * block)))
     members = near.join(sizes, "root").select(
-        F.col("node").alias("row"), "root", _number("node", many).alias("k"), F.lit(1).alias("front"), many.alias("blocks")
+        F.col("node").alias("row"),
+        F.when(many == 1, -1 - F.pmod(F.xxhash64("root"), bins)).otherwise(F.col("root")).alias("root"),
+        _number("node", many).alias("k"),
+        F.lit(1).alias("front"),
+        many.alias("blocks"),
     )
     members = written(members, f"{purpose}-members")
     first = _compared(members, rows, links, purpose)

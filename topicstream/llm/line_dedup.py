@@ -72,10 +72,11 @@ def near_lines(
     linked = components(links, "line-links").withColumnRenamed("node", "at")
 
     reached = written(nodes.select("node", "first", F.col("first.at").alias("at")).join(linked, "at", "left"), "line-reached")
-    classes = reached.where("root is not null").groupBy("root").agg(F.min("first").alias("class"))
-    named = written(
-        reached.join(classes, "root", "left").select("node", F.coalesce("class", "first").alias("class")), "line-classes"
-    )
+    # Lines without links have no root; they stay out of the join, where they would all meet in one task.
+    grouped = reached.where("root is not null")
+    classes = written(grouped.groupBy("root").agg(F.min("first").alias("class")), "line-roots")
+    alone = reached.where("root is null").select("node", F.col("first").alias("class"))
+    named = written(grouped.join(classes, "root").select("node", "class").union(alone), "line-classes")
     return lines.select("at", "doc_id", "line", "text", "node").join(named, "node").select(
         "doc_id",
         "line",

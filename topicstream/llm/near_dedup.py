@@ -84,7 +84,7 @@ def near_dedup(
     links = connect(near, texts, lambda pdf: _links(pdf, words, percent, limit), BLOCK, "near")
     linked = components(links, "near-links").withColumnRenamed("node", "row")
     reached = written(nodes.select("row", "least").join(linked, "row"), "reached")
-    least = reached.groupBy("root").agg(F.min("least").alias("component_id"))
+    least = written(reached.groupBy("root").agg(F.min("least").alias("component_id")), "near-least")
     by_row = reached.join(least, "root").select("row", "component_id")
     named = nodes.where("copies > 1").select("row").union(by_row.select("row")).distinct()
     found = written(
@@ -94,12 +94,14 @@ def near_dedup(
         "components",
     )
     component = F.when(F.col("grouped"), F.col("component_id")).otherwise(F.col("doc_id"))
-    return (
-        sketched.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("node")).alias("node"))
+    with_words = (
+        sketched.where("n_shingles > 0")
+        .select("doc_id", "n_shingles", "node")
         .join(found, "node", "left")
         .select("doc_id", "n_shingles", component.alias("component_id"))
-        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
+    blank = sketched.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return with_words.union(blank).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def keep_one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
