@@ -286,3 +286,29 @@ def test_shared_passages_of_odd_rows(odd, sample):
     assert ids == {6, 7}
     assert LONG.startswith(substring_dedup.shared_passages(odd).where("doc_id = 6").first().passage)
     assert substring_dedup.shared_passages(sample.limit(0)).collect() == []
+
+
+def test_short_passages_are_found_whole(make_docs):
+    rng = random.Random(51)
+    vocabulary = ["".join(rng.choices("abcdefghilmnoprstuéß", k=rng.randint(2, 9))) for _ in range(3000)]
+    words = lambda n: " ".join(rng.choices(vocabulary, k=n))
+    passages = [words(51) for _ in range(400)]
+    rows = [(2 * n + again, f"{words(60)} {passage} {words(60)}", "s") for n, passage in enumerate(passages) for again in (0, 1)]
+    texts = {i: text for i, text, _ in rows}
+    found = {r.doc_id: r for r in substring_dedup.shared_passages(make_docs(rows)).collect()}
+    assert len(found) == 800
+    for i, r in found.items():
+        assert passages[i // 2] in r.passage and len(r.passage) <= len(passages[i // 2]) + 10
+        assert texts[i][r.start : r.start + r.length] == r.passage
+        assert r.first_doc_id == i // 2 * 2 and r.kept == (i % 2 == 0)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.binary(max_size=40), st.binary(min_size=33, max_size=200), st.binary(max_size=40), st.integers(1, 33))
+def test_every_passage_of_the_least_length_has_a_seed(before, passage, behind, least):
+    def found(data):
+        places, size = substring_dedup.seeds(data, least)
+        return {data[at : at + size] for at in places.tolist()}
+
+    assert found(passage) <= found(before + passage + behind)
+    assert all(found(passage[at : at + least]) for at in range(len(passage) - least + 1))

@@ -1,8 +1,11 @@
-"""Passages that documents share, by content-defined chunks.
+"""Passages that documents share, by seeds at content-defined places that are extended to the whole match.
 
-A gear hash rolls over a text's bytes, and a chunk ends wherever the hash's leading bits are zero. Where a chunk ends
-depends on the bytes just before alone, so the chunks of a passage are the same in every text that holds it, whatever was
-inserted in front of it. Chunks are compared by digest; runs of chunks that other documents hold as well are passages.
+1. A gear hash rolls over a text's bytes, and of every window of hashes the place of the least is marked (winnowing, after
+   Schleimer et al. 2003). Places depend on the bytes of the window alone, so every passage of the least length has one that
+   is marked in each text that holds it, with all the bytes of its seed.
+2. Seeds are compared by digest. Each is tied to the first place that holds it: a star, not all pairs.
+3. The two texts of such a tie are compared byte by byte from the seed to both sides. The least length applies to the
+   extended match.
 """
 
 from __future__ import annotations
@@ -11,7 +14,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from topicstream.llm import bloom
@@ -20,8 +22,11 @@ from topicstream.llm.common import text_or_empty, written
 BOUNDARY_BITS = 5  # a chunk is 2^5 bytes longer than the least length on average
 LEAST, MOST = 8, 256
 MIN_BYTES = 160
+WINDOW = 64  # of every so many places one is marked, one in 32 on average
+_HASHED = 16
 #: A value of 16 bits for every byte; the hash of a place depends on the 16 bytes up to it.
 _GEAR = np.random.default_rng(7).integers(0, 1 << 16, 256, np.uint16)
+_ROWS = 500
 
 
 def shared_passages(
@@ -29,84 +34,155 @@ def shared_passages(
 ) -> DataFrame:
     """One row (doc_id, start, length, first_doc_id, kept, passage) for every passage of a row that other rows hold too.
 
-    A passage is a longest run of chunks that each occur in another row, of at least ``min_bytes`` bytes of UTF-8. Where a
-    run turns from first to later occurrences it is divided, so that ``kept`` holds for all of it: true if its chunks
-    have their first occurrence here, which is in the row with the smallest id (nulls last; rows that repeat an id in
-    the order in which they were read). ``start`` and ``length`` count code points; ``first_doc_id`` is the smallest
-    id that holds its first chunk. Repeats within one row alone are not counted.
+    Of the rows that hold a seed, the one with the smallest id (nulls last; rows that repeat an id in the order in which
+    they were read) is the first, and every other place of the seed is compared with the seed's first place there. What
+    is equal around both, at least ``min_bytes`` bytes of UTF-8 in whole characters, is a match: a later occurrence in
+    the one row, the first in the other. A passage is a longest stretch of matches that overlap or touch. Where it turns
+    from first to later occurrences it is divided, so that ``kept`` holds for all of it; what is both is a later one.
+    ``start`` and ``length`` count code points; ``first_doc_id`` is the id of the row its first match was compared with,
+    or its own if kept. Repeats within one row alone are not counted.
 
-    Null and empty texts have no passages. Texts shorter than a chunk are one. An empty table gives an empty result;
-    other columns are ignored.
+    Null and empty texts have no passages. An empty table gives an empty result; other columns are ignored.
     """
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text_or_empty(text_col).alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"row long, doc_id {kind}, text string, digests array<long>, starts array<int>, sizes array<int>"
-    chunked = written(rows.mapInArrow(_chunk_batches, schema), "chunks")
-    # A chunk that a row repeats counts once for the row.
-    digests = chunked.select(F.explode(F.array_distinct("digests")).alias("digest"))
+    schema = f"row long, doc_id {kind}, text string, digests array<long>, starts array<int>"
+    seeded = written(rows.mapInArrow(lambda b: _seed_batches(b, min_bytes), schema), "seeds")
+    # A seed that a row repeats counts once for the row.
+    digests = seeded.select(F.explode(F.array_distinct("digests")).alias("digest"))
     again = bloom.repeated_in(digests)
-    place = F.arrays_zip("digests", "starts", "sizes")
-    occurrences = chunked.select(
-        "row", "doc_id", F.posexplode(place).alias("nth", "chunk")
-    ).select("row", "doc_id", "nth", F.col("chunk.digests").alias("digest"), "chunk.starts", "chunk.sizes")
-    occurrences = written(occurrences.where(again("digest")), "chunk-repeats")
-    order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "row", "nth")
-    # Written, so that the join is between plain exchanges and adaptive execution can split a very common chunk.
+    occurrences = seeded.select("row", "doc_id", F.explode(F.arrays_zip("digests", "starts")).alias("seed")).select(
+        "row", "doc_id", F.col("seed.digests").alias("digest"), F.col("seed.starts").alias("start")
+    )
+    occurrences = written(occurrences.where(again("digest")), "seed-repeats")
+    order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "row", "start")
+    # Written, so that the join is between plain exchanges and adaptive execution can split a very common seed.
     shared = written(
         occurrences.groupBy("digest")
         .agg(F.min(order).alias("first"), F.max("row").alias("last_row"), F.min("row").alias("first_row"))
         .where("first_row < last_row")
-        .select("digest", "first"),
-        "chunk-firsts",
-    )
-    found = occurrences.join(shared, "digest").select(
-        "row",
-        "doc_id",
-        "nth",
-        F.col("starts").alias("start"),
-        F.col("sizes").alias("size"),
-        ((F.col("first.row") == F.col("row")) & (F.col("first.nth") == F.col("nth"))).alias("kept"),
-        F.col("first.doc_id").alias("first_doc_id"),
+        .select("digest", F.col("first.row").alias("first_row"), F.col("first.start").alias("first_start")),
+        "seed-firsts",
     )
-    of_row = W.partitionBy("row").orderBy("nth")
-    after_gap = F.col("nth") != F.lag("nth", 1, -2).over(of_row) + 1
-    turns = after_gap | (F.col("kept") != F.lag("kept").over(of_row))
-    numbered = found.select("*", after_gap.alias("after_gap"), turns.alias("turns")).select(
-        "*", F.sum(F.col("after_gap").cast("int")).over(of_row).alias("run"), F.sum(F.col("turns").cast("int")).over(of_row).alias("part")
+    ties = (
+        occurrences.join(shared, "digest")
+        .where("row <> first_row or start <> first_start")
+        .groupBy("row", "first_row")
+        .agg(F.collect_list("start").alias("starts"), F.collect_list("first_start").alias("first_starts"))
     )
-    parts = numbered.groupBy("row", "run", "part").agg(
-        F.min_by("first_doc_id", "nth").alias("first_doc_id"),
-        F.first("kept").alias("kept"),
-        F.min("start").alias("start"),
-        F.sum("size").alias("size"),
-    )
-    whole = F.sum("size").over(W.partitionBy("row", "run"))
-    parts = parts.withColumn("whole", whole).where(F.col("whole") >= min_bytes).drop("whole", "run", "part")
+    ties = written(ties, "seed-ties")
+    tied = bloom.contained_in(ties.select("row").union(ties.select("first_row")))
+    texts = seeded.select("row", "doc_id", "text").where(tied("row"))
+    firsts = texts.select(F.col("row").alias("first_row"), F.col("doc_id").alias("first_doc_id"), F.col("text").alias("first_text"))
+    pairs = ties.join(texts.select("row", "text"), "row").join(firsts, "first_row")
+    pairs = pairs.select("row", "text", "starts", "first_row", "first_doc_id", "first_text", "first_starts")
+    # ``source`` is the place a match within the row repeats, otherwise -1.
+    schema = f"row long, start int, end int, source int, kept boolean, first_doc_id {kind}"
+    matches = pairs.mapInArrow(lambda b: _match_batches(b, min_bytes), schema)
+    # The first row of a common passage is matched by many rows, mostly in the same place.
+    matches = written(matches.distinct(), "matches")
+    groups = max(1, matches.count() // _ROWS)
+    schema = f"row long, start int, size int, kept boolean, first_doc_id {kind}"
+    parts = matches.groupBy(F.pmod(F.xxhash64("row"), F.lit(groups))).applyInArrow(lambda t: _parts(t, min_bytes), schema)
     parts = written(parts, "passages")
     holding = bloom.contained_in(parts.select("row"))
-    texts = chunked.select("row", "doc_id", F.encode("text", "utf-8").alias("bytes")).where(holding("row"))
+    texts = seeded.select("row", "doc_id", F.encode("text", "utf-8").alias("bytes")).where(holding("row"))
     text_of = lambda start, size: F.decode(F.substring(F.col("bytes"), start, size), "utf-8")
     return texts.join(parts, "row").select(
         "doc_id",
         F.length(text_of(F.lit(1), F.col("start"))).cast("long").alias("start"),
-        F.length(text_of(F.col("start") + 1, F.col("size").cast("int"))).cast("long").alias("length"),
+        F.length(text_of(F.col("start") + 1, F.col("size"))).cast("long").alias("length"),
         "first_doc_id",
         "kept",
-        text_of(F.col("start") + 1, F.col("size").cast("int")).alias("passage"),
+        text_of(F.col("start") + 1, F.col("size")).alias("passage"),
     )
 
 
+def _hashes(raw: np.ndarray) -> np.ndarray:
+    """The gear hash of the 16 bytes up to each place."""
+    hashed = _GEAR[raw]
+    for step in (1, 2, 4, 8):  # hash of 1, 2, 4, 8 and then 16 bytes
+        shifted = hashed.copy()
+        shifted[step:] += hashed[:-step] << np.uint16(step)
+        hashed = shifted
+    return hashed
+
+
+def seeds(data: bytes, min_bytes: int) -> tuple[np.ndarray, int]:
+    """Where the seeds of ``data`` begin, and their length: any ``min_bytes`` bytes in a row hold a whole seed, and which
+    ones they hold depends on them alone."""
+    window = min(WINDOW, 1 << (max(1, min_bytes // 2).bit_length() - 1)) if min_bytes >= 2 * _HASHED else 1
+    size = max(1, min_bytes) - window + 1
+    if len(data) < max(1, min_bytes):
+        return np.zeros(0, np.int64), size
+    places = np.arange(len(data) - size + 1)
+    if window == 1:
+        return places, size
+    hashed = _hashes(np.frombuffer(data, np.uint8))[_HASHED - 1 :][: len(places)]
+    least = hashed.astype(np.int64) << 32 | places
+    step = 1
+    while step < window:
+        least = np.minimum(least[:-step], least[step:])
+        step *= 2
+    marked = least & 0xFFFFFFFF  # never decreases
+    return marked[np.r_[True, marked[1:] != marked[:-1]]], size
+
+
+def matched(a: bytes, b: bytes, seeds: list[tuple[int, int]], min_bytes: int) -> list[tuple[int, int, int]]:
+    """(start in a, start in b, length) of the longest equal stretches around ``seeds``, places in a and b, that have at least
+    ``min_bytes`` bytes of whole characters."""
+    found, upto = [], {}
+    for i, j in sorted(seeds):
+        if i < upto.get(i - j, 0):
+            continue
+        behind, before = _common(a, i, b, j), _common_before(a, i, b, j)
+        start, end = i - before, i + behind
+        upto[i - j] = end
+        while start < end and a[start] & 0xC0 == 0x80:
+            start += 1
+        # The bytes behind may differ, so that a character may begin behind the end in one text alone.
+        last = end - 1
+        while last > start and a[last] & 0xC0 == 0x80:
+            last -= 1
+        if end > start and end - last < _width(a[last]):
+            end = last
+        if end - start >= max(1, min_bytes):
+            found.append((start, start - i + j, end - start))
+    return found
+
+
+def _width(lead: int) -> int:
+    """Bytes of the character that ``lead`` begins."""
+    return 1 if lead < 0x80 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4
+
+
+def _common(a: bytes, i: int, b: bytes, j: int) -> int:
+    n, size = 0, 256
+    while part := min(size, len(a) - i - n, len(b) - j - n):
+        x, y = a[i + n : i + n + part], b[j + n : j + n + part]
+        if x != y:
+            return n + int(np.argmax(np.frombuffer(x, np.uint8) != np.frombuffer(y, np.uint8)))
+        n, size = n + part, size * 2
+    return n
+
+
+def _common_before(a: bytes, i: int, b: bytes, j: int) -> int:
+    n, size = 0, 256
+    while part := min(size, i - n, j - n):
+        x, y = a[i - n - part : i - n], b[j - n - part : j - n]
+        if x != y:
+            return n + int(np.argmax((np.frombuffer(x, np.uint8) != np.frombuffer(y, np.uint8))[::-1]))
+        n, size = n + part, size * 2
+    return n
+
+
 def boundaries(data: bytes) -> np.ndarray:
     """Ends of the chunks of ``data``: where the gear hash's leading bits are zero, at least LEAST and at most MOST
     bytes apart, and never inside a character."""
     if not data:
         return np.zeros(0, np.int64)
     raw = np.frombuffer(data, np.uint8)
-    hashed = _GEAR[raw]
-    for step in (1, 2, 4, 8):  # hash of 1, 2, 4, 8 and then 16 bytes
-        shifted = hashed.copy()
-        shifted[step:] += hashed[:-step] << np.uint16(step)
-        hashed = shifted
+    hashed = _hashes(raw)
     follows = np.empty(len(raw), bool)  # whether a character begins behind the byte
     follows[:-1], follows[-1] = (raw[1:] & 0xC0) != 0x80, True
     natural = np.nonzero((hashed < (1 << (16 - BOUNDARY_BITS))) & follows)[0] + 1
@@ -125,19 +201,18 @@ def boundaries(data: bytes) -> np.ndarray:
     return np.array(ends, np.int64)
 
 
-def _chunk_batches(batches):
+def _seed_batches(batches, min_bytes: int):
     from xxhash import xxh64_intdigest
 
     number = TaskContext.get().partitionId() << 33
     for batch in batches:
-        digests, starts, sizes, offsets = [], [], [], [0]
+        digests, starts, offsets = [], [], [0]
         for text in batch.column(1):
-            data, last = text.as_py().encode(), 0
-            for end in boundaries(data).tolist():
-                digests.append(xxh64_intdigest(data[last:end]))
-                starts.append(last)
-                sizes.append(end - last)
-                last = end
+            data = text.as_py().encode()
+            places, size = seeds(data, min_bytes)
+            places = places.tolist()
+            digests.extend(xxh64_intdigest(data[at : at + size]) for at in places)
+            starts.extend(places)
             offsets.append(len(digests))
         places = pa.array(offsets, pa.int32())
         lists = lambda values: pa.ListArray.from_arrays(places, values)  # noqa: B023, E731
@@ -149,8 +224,78 @@ def _chunk_batches(batches):
                 batch.column(1),
                 lists(pa.array(np.array(digests, np.uint64).view(np.int64))),
                 lists(pa.array(starts, pa.int32())),
-                lists(pa.array(sizes, pa.int32())),
             ],
-            ["row", "doc_id", "text", "digests", "starts", "sizes"],
+            ["row", "doc_id", "text", "digests", "starts"],
         )
         number += batch.num_rows
+
+
+def _match_batches(batches, min_bytes: int):
+    names = ["row", "start", "end", "source", "kept", "first_doc_id"]
+    for batch in batches:
+        found, of = [], []
+        rows, texts, starts, first_rows, ids, first_texts, first_starts = batch.columns
+        for n in range(batch.num_rows):
+            row, first = rows[n].as_py(), first_rows[n].as_py()
+            a, b = texts[n].as_py().encode(), first_texts[n].as_py().encode()
+            for i, j, size in matched(a, b, list(zip(starts[n].as_py(), first_starts[n].as_py())), min_bytes):
+                found.append((row, i, i + size, j if row == first else -1, False))
+                if row != first:
+                    found.append((first, j, j + size, -1, True))
+            of.extend([n] * (len(found) - len(of)))
+        columns = list(zip(*found)) or [()] * 5
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_())
+        arrays = [pa.array(values, kind) for values, kind in zip(columns, kinds)]
+        yield pa.RecordBatch.from_arrays([*arrays, ids.take(pa.array(of, pa.int64()))], names)
+
+
+def _parts(matches: pa.Table, min_bytes: int) -> pa.Table:
+    """The passages of some rows from all their matches."""
+    columns = (matches.column(c).to_pylist() for c in ("row", "start", "end", "source", "kept"))
+    of_row: dict[int, list[tuple]] = {}
+    for n, (row, *match) in enumerate(zip(*columns)):
+        of_row.setdefault(row, []).append((*match, n))
+    found = []
+    for row, of in of_row.items():
+        firsts = _joined((start, end, n) for start, end, _, kept, n in of if kept)
+        later = [(start, end, n) for start, end, source, kept, n in of if not kept and source < 0]
+        known = _joined([*firsts, *later])
+        # A repeat within the row counts as far as other rows hold what it repeats.
+        for start, end, source, kept, n in of:
+            if not kept and source >= 0:
+                for low, high, _ in known:
+                    low, high = max(low, source), min(high, source + end - start)
+                    if high - low >= max(1, min_bytes):
+                        later.append((low - source + start, high - source + start, n))
+        later = _joined(later)
+        found.extend((row, start, end - start, False, n) for start, end, n in later)
+        for start, end, n in firsts:
+            for low, high, _ in later:
+                if low < end and high > start:
+                    if low > start:
+                        found.append((row, start, low - start, True, n))
+                    start = max(start, high)
+            if start < end:
+                found.append((row, start, end - start, True, n))
+    rows, starts, sizes, kept, of = list(zip(*found)) or [()] * 5
+    return pa.table(
+        {
+            "row": pa.array(rows, pa.int64()),
+            "start": pa.array(starts, pa.int32()),
+            "size": pa.array(sizes, pa.int32()),
+            "kept": pa.array(kept, pa.bool_()),
+            "first_doc_id": matches.column("first_doc_id").take(pa.array(of, pa.int64())),
+        }
+    )
+
+
+def _joined(ranges) -> list[tuple[int, int, int]]:
+    """Ranges (start, end, n) that overlap or touch as one, with the n of the first."""
+    joined: list[tuple[int, int, int]] = []
+    for start, end, n in sorted(ranges):
+        if joined and start <= joined[-1][1]:
+            low, high, of = joined[-1]
+            joined[-1] = (low, max(high, end), of)
+        else:
+            joined.append((start, end, n))
+    return joined
