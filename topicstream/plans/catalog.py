@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -510,6 +510,20 @@ def batch_chunks_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_batches(sharded, 2, order_by="l_linenumber").drop(SHARD_ID)
 
 
+@query("""SELECT l_orderkey, l_linenumber,
+        (row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) - 1) // 2 AS batch_no
+    FROM lineitem""")
+def batch_chunks_all_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same sends with every row of the table: lines that repeat an order's number follow each other.
+
+    Such lines are alike in what is sent, so a sequence that numbers them in any order makes the arrival order unique.
+    """
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    arrival = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber"))
+    sharded = lines.select("*", arrival.cast("bigint").alias("seq"), F.col("l_orderkey").cast("string").alias(SHARD_ID))
+    return assign_batches(sharded, 2, order_by="seq").drop(SHARD_ID, "seq")
+
+
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events")
 def decode_json_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON text in which the number stands in quotes."""
