@@ -249,6 +249,29 @@ def test_totals_over_more_triggers_than_reports_are_kept(spark, root):
     assert seqs(spark, sink) == list(range(120))
 
 
+def test_totals_that_begin_too_late_raise(spark, root):
+    source = create_topic(spark, root, "p", MESSAGE, max_records_per_file=1)
+    sink = create_topic(spark, root, "p", COPY)
+    append(spark, source, 0, 30)
+    rows = with_source_metrics(read_topic(spark, source, rate=1, interval_seconds=1e-6)).select("seq", "name")
+    records = with_sink_metrics(prepare_records(rows, sink, BY_NAME))
+    kept = "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(kept, "10")
+    try:
+        query = write_topic(records, sink, checkpoint=f"{root}/c", available_now=True)
+        query.awaitTermination()
+    finally:
+        spark.conf.unset(kept)
+    assert query.recentProgress[0]["batchId"] > 0
+    with pytest.raises(RuntimeError, match="may be gone"):
+        Totals(query).update()
+    append(spark, source, 30, 33)
+    query = write_topic(records, sink, checkpoint=f"{root}/c", available_now=True)
+    query.awaitTermination()
+    assert query.recentProgress[0]["batchId"] > 0
+    assert Totals(query).update().records_in == 3
+
+
 def test_compacted_stream_has_few_files(spark, root):
     source = create_topic(spark, root, "p", MESSAGE, max_records_per_file=10)
     append(spark, source, 0, 1000)

@@ -52,7 +52,8 @@ class Totals:
     A query keeps only its last progress reports (``spark.sql.streaming.numRecentProgressUpdates``, 100 by default). So
     they are added up while it runs: call :meth:`update` now and then, or :meth:`follow` to do so until it ends. Reports
     are known by the number of their trigger, so none is added twice; if one was dropped before it was added,
-    ``update`` raises, as the sums would be too small from then on.
+    ``update`` raises, as the sums would be too small from then on. So it does at first if the query has as many reports as
+    it keeps and they do not begin with trigger 0: a run that goes on from a checkpoint does not tell where it began.
     """
 
     def __init__(self, query: StreamingQuery, *, source: str = SOURCE, sink: str = SINK):
@@ -63,8 +64,11 @@ class Totals:
         self._arrival: int | None = None
 
     def update(self) -> Totals:
-        for progress in self._query.recentProgress:
+        reports = self._query.recentProgress
+        for progress in reports:
             trigger = progress["batchId"]
+            if self._last is None and trigger > 0 and len(reports) >= self._most():
+                raise RuntimeError(f"reports of triggers before {trigger} may be gone: update earlier")
             if self._last is not None and trigger < self._last:
                 continue
             if self._last is not None and trigger > self._last + 1:
@@ -82,6 +86,11 @@ class Totals:
                 self._arrival = max(arrival, self._arrival or arrival)
         return self
 
+    def _most(self) -> int:
+        """Reports the query keeps at most: it drops old ones as soon as it has as many as the setting it started with."""
+        settings = self._query._jsq.streamingQuery().sparkSessionForStream().conf()
+        return max(1, int(settings.get("spark.sql.streaming.numRecentProgressUpdates")) - 1)
+
     def follow(self, every_seconds: float = 0.05) -> Totals:
         """Wait until the query ends, adding its reports up; raises what the query fails with."""
         while not self._query.awaitTermination(every_seconds):
