@@ -321,6 +321,16 @@ def test_license_scan(make_docs):
     assert found[-1].labels == "proprietary" and found[-1].n_words == 15_000
 
 
+def test_a_key_phrase_alone_makes_a_label(make_docs):
+    texts = ["Mozilla Public License 1.1", "under the Mozilla Public License."]
+    texts += [" ".join(phrases) for _, _, phrases in licenses.NOTICES if len(phrases) == 1]
+    labels = ["mpl", "mpl"] + [label for label, _, phrases in licenses.NOTICES if len(phrases) == 1]
+    found = licenses.scan(make_docs([(i, text, "s") for i, text in enumerate(texts)])).orderBy("doc_id").collect()
+    for row, label, text in zip(found, labels, texts):
+        assert label in row.labels.split(","), text
+        assert tuple(row)[:-1] == (row.doc_id, *expected_scan(text))
+
+
 def test_license_scan_shuffles_nothing(sample):
     plan = licenses.scan(sample)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan

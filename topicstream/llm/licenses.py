@@ -47,7 +47,7 @@ NOTICES = (
     ("proprietary", "all rights reserved", ("all rights reserved",)),
 )
 RARE = 2  # words that at most so many notices share are indexed
-VOTES = 2  # rare words that must agree on a shift; fewer if the notice has fewer
+VOTES = 2  # rare words that must agree on a shift; fewer if the notice's key phrases hold fewer
 
 
 def words_of(text: str) -> list[str]:
@@ -63,8 +63,9 @@ def index() -> tuple[dict[str, list[tuple[int, int]]], list[int]]:
         for at, word in enumerate(words):
             if shared[word] <= RARE:
                 postings[word].append((notice, at))
-    held = Counter(notice for places in postings.values() for notice, _ in places)
-    return dict(postings), [min(VOTES, held[notice]) for notice in range(len(NOTICES))]
+    # Key phrases are looked at anyway, so where they stand their rare words must do; without any, one of the notice's must.
+    held = [sum(word in postings for _, words in keys for word in words) for keys in key_phrases()]
+    return dict(postings), [min(VOTES, max(1, n)) for n in held]
 
 
 def key_phrases() -> list[list[tuple[int, list[str]]]]:
