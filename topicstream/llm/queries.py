@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicstream.llm import exact_dedup, fingerprints, licenses, line_dedup, mixing, near_dedup, packing, quality, substring_dedup, url_filters
+from topicstream.llm import (
+    exact_dedup,
+    fingerprints,
+    licenses,
+    line_dedup,
+    merkle,
+    mixing,
+    near_dedup,
+    packing,
+    quality,
+    substring_dedup,
+    url_filters,
+)
 from topicstream.llm.common import table, word_count, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -181,3 +193,77 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.near_lines(table(spark, sf_dir, "documents")).drop("text")
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify_documents(table(spark, sf_dir, "documents"))
+
+
+def crc32_sql(text: str) -> str:
+    """The unsigned crc32 of ASCII text, bit by bit."""
+    codes = f"list_transform(string_split({text}, ''), lambda ch: unicode(ch)::BIGINT)"
+    bit = "CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END"
+    byte = f"list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, _: {bit})"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda c, b: {byte}), 4294967295)"
+
+
+def merkle_sql(levels: int = 10) -> str:
+    """Every level of every tree as a table, then every leaf's siblings level by level. Trees of up to 8^10 leaves."""
+
+    def leaf(text: str) -> str:
+        field = "coalesce(octet_length(encode({0}::VARCHAR))::VARCHAR || ':' || {0}::VARCHAR, '-')"
+        return "sha256(" + " || ".join(field.format(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    ctes = [
+        f"""d AS (SELECT doc_id, lang, {leaf("text")} AS leaf,
+            CASE WHEN {crc32_sql("doc_id::VARCHAR")} % 3 = 0 THEN {leaf(lower)} END AS changed FROM documents)""",
+        "a0 AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM d)",
+        "g0 AS (SELECT lang AS tree, i, leaf AS node FROM a0)",
+    ]
+    for prefix in "gt":
+        if prefix == "t":
+            ctes.append(
+                f"""t0 AS (SELECT '' AS tree, row_number() OVER (ORDER BY (tree IS NOT NULL), encode(tree)) - 1 AS i, node,
+                    tree AS of FROM g{levels})"""
+            )
+        for k in range(levels):
+            ctes.append(
+                f"""{prefix}{k + 1} AS (SELECT tree, i // 8 AS i, CASE WHEN n = 1 THEN any_value(node)
+                    ELSE sha256(string_agg(node, '' ORDER BY i)) END AS node
+                    FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM {prefix}{k}) GROUP BY tree, i // 8, n)"""
+            )
+    ctes.append("s0 AS (SELECT *, lang AS tree, '' AS siblings, coalesce(changed, leaf) AS folded FROM a0)")
+    before = "s0"
+    for prefix in "gt":
+        if prefix == "t":
+            ctes.append(
+                f"""u0 AS (SELECT s.* EXCLUDE (i, tree), '' AS tree, t0.i, t0.node AS subroot
+                    FROM {before} s JOIN t0 ON s.lang IS NOT DISTINCT FROM t0.of)"""
+            )
+            before = "u0"
+        for k in range(levels):
+            # A run of one node in a tree of one is that tree's root: it has no siblings and is not hashed again.
+            now = f"{prefix}s{k}"
+            ctes.append(
+                f"""{now}r AS (SELECT *, i // 8 AS run, count(*) OVER (PARTITION BY tree) AS n FROM {prefix}{k})"""
+            )
+            ctes.append(
+                f"""{now} AS (SELECT s.* REPLACE (s.i // 8 AS i,
+                        siblings || CASE WHEN runs.n = 1 THEN '' ELSE array_to_string(runs.nodes[:s.i % 8] || runs.nodes[s.i % 8 + 2:], '') END AS siblings,
+                        CASE WHEN runs.n = 1 THEN folded ELSE
+                            sha256(array_to_string(runs.nodes[:s.i % 8] || [folded] || runs.nodes[s.i % 8 + 2:], '')) END AS folded)
+                    FROM {before} s JOIN (SELECT tree, run, n, list(node ORDER BY i) AS nodes FROM {now}r GROUP BY tree, run, n) runs
+                    ON s.tree IS NOT DISTINCT FROM runs.tree AND s.i // 8 = runs.run)"""
+            )
+            before = now
+    return (
+        "WITH "
+        + ", ".join(ctes)
+        + f""" SELECT doc_id, leaf, subroot, r.node AS root, sha256(siblings) AS proof_sha256, folded AS folded_root,
+               folded = r.node AS verified FROM {before} CROSS JOIN (SELECT node FROM t{levels}) r"""
+    )
+
+
+ORACLES["op11_merkle_manifest"] = merkle_sql()
