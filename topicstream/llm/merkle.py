@@ -115,13 +115,16 @@ def _siblings(nodes: Column, at: Column) -> Column:
     )
 
 
-def paths(forest: Forest, above: DataFrame, carry: list[str]) -> DataFrame:
+def paths(forest: Forest, carry: list[str], above: DataFrame | None = None) -> DataFrame:
     """One row for each leaf: its tree, ``carry``, and its path: the siblings of every level from its own to the root.
 
     ``above`` has a row for each tree with the path (``path``) that goes on from its root, and what it is to hand down.
     """
-    down = [c for c in above.columns if c not in ("tree", "path")]
-    known = forest.stored[-1].select("tree", "rank").join(above, "tree")
+    known, down = forest.stored[-1].select("tree", "rank"), []
+    if above is None:
+        known = known.withColumn("path", F.array().cast(PATH))
+    else:
+        known, down = known.join(above, "tree"), [c for c in above.columns if c not in ("tree", "path")]
     for i in reversed(range(len(forest.stored) - 1)):
         keep = carry if i == 0 else []
         blocks = _blocks(forest.stored[i], ["node", *(c for c in keep if c != "node")])
@@ -148,12 +151,10 @@ def paths(forest: Forest, above: DataFrame, carry: list[str]) -> DataFrame:
 def proofs(made: Manifest, carry: list[str]) -> DataFrame:
     """One row for each leaf of a manifest: ``carry``, leaf, its group's root, the dataset's root, and its path."""
     root = made.top.roots.first()
-    nothing = F.array().cast(PATH)
-    spark = made.leaves.sparkSession
-    start = spark.range(0, 1, 1, 1).select(F.lit("").alias("tree"), nothing.alias("path"))
-    of_groups = paths(made.top, start, ["of", "node"]).select(F.col("of").alias("tree"), F.col("node").alias("subroot"), "path")
+    of_groups = paths(made.top, ["of", "node"])
+    of_groups = of_groups.select(F.col("of").alias("tree"), F.col("node").alias("subroot"), "path")
     leaves = Forest([made.leaves, *made.groups.stored[1:]])
-    found = paths(leaves, written(of_groups, "merkle-groups-paths"), ["node", *carry])
+    found = paths(leaves, ["node", *carry], written(of_groups, "merkle-groups-paths"))
     root = F.lit(root.node if root else None).cast("string")
     return found.select(*carry, F.col("node").alias("leaf"), "subroot", root.alias("root"), "path")
 

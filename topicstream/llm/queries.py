@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from topicstream.llm import (
     exact_dedup,
     fingerprints,
+    group_packing,
     licenses,
     line_dedup,
     merkle,
@@ -31,10 +32,10 @@ def query(function):
     return function
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 @query
@@ -267,3 +268,12 @@ def merkle_sql(levels: int = 10) -> str:
 
 
 ORACLES["op11_merkle_manifest"] = merkle_sql()
+
+
+@query
+def op12_group_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    packed = group_packing.pack_in_groups(docs, tokenizer_path("word_bpe_49k.json"))
+    return packed.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
