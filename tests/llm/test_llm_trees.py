@@ -1,0 +1,377 @@
+"""Merkle manifest, packing in groups and the conversation trie against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import duckdb
+import numpy as np
+import pandas as pd
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from llm_samples import (  # noqa: F401
+    ODD,
+    lower,
+    make_docs,
+    odd,
+    sample,
+    workers_find_the_package,
+)
+from pyspark.sql import functions as F
+
+from topicstream.llm import conversations, group_packing, merkle, queries, radix, ranks, tokens
+
+SF = "/root/testdata/sf0.001"
+WORDS = "word_bpe_49k.json"
+
+
+@pytest.fixture
+def many_ranges(spark):
+    """Ranges stay as many as they are cut into, however small."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    yield
+    spark.conf.unset(key)
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(queries.tokenizer_path(WORDS))
+
+
+def hashed(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+# Ranks
+
+
+def test_ranks_within_groups_of_any_size(spark, many_ranges):
+    rnd = random.Random(3)
+    rows = [(rnd.choice(["hot", "hot", "hot", "b", "c"]), rnd.randrange(50), i) for i in range(500)]
+    found = ranks.ranked(spark.createDataFrame(rows, "g string, a long, b long"), "g", ["a", "b"], "test").collect()
+    groups = defaultdict(list)
+    for g, a, b in rows:
+        groups[g].append((a, b))
+    expected = [(g, *ab, i, len(of)) for g, of in groups.items() for i, ab in enumerate(sorted(of))]
+    assert sorted(tuple(r) for r in found) == sorted(expected)
+
+
+# Merkle manifest
+
+
+def merkle_by_hand(docs) -> list[tuple]:
+    """Columns of the query for rows (doc_id, source, lang, n_chars, text)."""
+
+    def leaf(row):
+        return hashed("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in row))
+
+    def levels_of(nodes):
+        levels = [nodes]
+        while len(levels[-1]) > 1:
+            last = levels[-1]
+            levels.append([hashed("".join(last[i : i + 8])) for i in range(0, len(last), 8)])
+        return levels
+
+    groups = defaultdict(list)
+    for row in docs:
+        groups[row[2]].append(row)
+    names = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    for of in groups.values():
+        of.sort(key=lambda row: (row[0] is not None, row[0] or 0, leaf(row)))
+    trees = {g: levels_of([leaf(row) for row in of]) for g, of in groups.items()}
+    top = levels_of([trees[g][-1][0] for g in names])
+    found = []
+    for nth, g in enumerate(names):
+        for i, row in enumerate(groups[g]):
+            changed = row
+            if row[0] is not None and zlib.crc32(str(row[0]).encode()) % 3 == 0 and row[4] is not None:
+                changed = (*row[:4], lower(row[4]))
+            node, siblings = leaf(changed), ""
+            for levels, at in ((trees[g], i), (top, nth)):
+                for level in levels[:-1]:
+                    start = at // 8 * 8
+                    before, after = level[start:at], level[at + 1 : start + 8]
+                    siblings += "".join(before + after)
+                    node, at = hashed("".join([*before, node, *after])), at // 8
+            root = top[-1][0]
+            found.append((row[0], leaf(row), trees[g][-1][0], root, hashed(siblings), node, node == root))
+    return found
+
+
+@pytest.mark.parametrize("copies", [1, 40])
+def test_manifest_of_odd_documents(make_docs, many_ranges, copies):
+    """Nulls, repeated rows, one hot group of three levels, and groups of one row."""
+    rows = [(i, text, source) for _ in range(copies) for i, text, source in ODD if text is None or len(text) < 5000]
+    rows += [(100 + i, f"Text {i}", "z") for i in range(700 if copies > 1 else 0)]
+    docs = make_docs(rows).withColumn(
+        "lang", F.when(F.col("doc_id") == 4, "xx").when(F.col("source") == "b", F.lit(None)).otherwise(F.col("lang"))
+    )
+    given_rows = [tuple(r) for r in docs.select("doc_id", "source", "lang", "n_chars", "text").collect()]
+    found = [tuple(r) for r in merkle.verify_documents(docs).collect()]
+    assert sorted(found, key=repr) == sorted(merkle_by_hand(given_rows), key=repr)
+
+
+def test_manifest_of_nothing(make_docs):
+    assert merkle.verify_documents(make_docs([])).collect() == []
+
+
+def test_manifest_of_one_row(make_docs):
+    (row,) = merkle.verify_documents(make_docs([(2, "one", None)])).collect()
+    assert row.leaf == row.subroot == row.root == row.folded_root and row.verified
+    assert row.proof_sha256 == hashed("")
+
+
+def test_levels_between_are_not_stored(spark):
+    rows = spark.range(600).select(F.col("id"), F.lit("g").alias("g"), F.sha2(F.col("id").cast("string"), 256).alias("leaf"))
+    made = merkle.manifest(rows, "g", ["id"])
+    assert [level.count() for level in made.groups.stored] == [600, 10, 1]
+    paths = merkle.proofs(made, ["id"]).select("id", F.size("path").alias("n"), merkle.fold(F.col("leaf"), F.col("path")).alias("f"), "root")
+    assert {(r.n, r.f == r.root) for r in paths.collect()} == {(4, True)}
+
+
+def test_many_groups(spark, many_ranges):
+    """A tree over the groups with levels of its own."""
+    rows = spark.range(300).select(
+        F.col("id"), (F.col("id") % 77).cast("string").alias("g"), F.sha2(F.col("id").cast("string"), 256).alias("leaf")
+    )
+    found = merkle.proofs(merkle.manifest(rows, "g", ["id"]), ["id"])
+    assert found.where(merkle.fold(F.col("leaf"), F.col("path")) == F.col("root")).count() == 300
+    assert found.where(merkle.fold(F.sha2("leaf", 256), F.col("path")) == F.col("root")).count() == 0
+
+
+# Packing in groups
+
+
+@given(st.lists(st.integers(1, 50), max_size=80))
+@settings(max_examples=200, deadline=None)
+def test_first_fit_decreasing_is_that_of_a_plain_loop(lengths):
+    room, expected = [], [0] * len(lengths)
+    for i in sorted(range(len(lengths)), key=lambda i: -lengths[i]):
+        at = next((b for b, r in enumerate(room) if r >= lengths[i]), len(room))
+        if at == len(room):
+            room.append(50)
+        room[at] -= lengths[i]
+        expected[i] = at
+    assert group_packing.first_fit_decreasing(lengths, 50) == expected
+
+
+def test_first_fit_refuses_what_does_not_fit():
+    with pytest.raises(ValueError):
+        group_packing.first_fit_decreasing([51], 50)
+
+
+@given(st.lists(st.integers(1, 200), max_size=60))
+@settings(max_examples=200, deadline=None)
+def test_a_group_is_packed_whole_and_without_padding(lengths):
+    sequences = group_packing.pack_group(lengths, 64)
+    sizes = [sum(length for _, _, length in s) for s in sequences]
+    assert sum(sizes) == sum(lengths)
+    assert all(size == 64 or (size < 64 and size & (size - 1) == 0) for size in sizes)
+    assert sum(size < 64 for size in sizes) <= 6
+    held = sorted(piece for s in sequences for piece in s)
+    ends = defaultdict(int)
+    for doc, start, length in held:
+        assert start == ends[doc] and length > 0
+        ends[doc] = start + length
+    assert [ends[i] for i in range(len(lengths))] == lengths
+
+
+def test_sequences_that_fit_as_they_are_stay_whole():
+    assert group_packing.pack_group([40, 24, 64, 30, 34], 64) == [
+        [(2, 0, 64)],
+        [(0, 0, 40), (1, 0, 24)],
+        [(3, 0, 30), (4, 0, 34)],
+    ]
+
+
+def check_packing(rows, docs: dict[int, str], tokenizer) -> None:
+    of_doc, of_sequence = defaultdict(list), defaultdict(list)
+    for row in rows:
+        of_doc[row.doc_id].append(row)
+        of_sequence[row.sequence_id].append(row)
+    assert set(of_doc) == set(docs)
+    for doc_id, text in docs.items():
+        ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 1], "<u4")
+        at = 0
+        for row in sorted(of_doc[doc_id], key=lambda r: r.start):
+            assert (row.start, row.doc_tokens) == (at, len(ids))
+            assert row.ids_crc32 == zlib.crc32(ids[at : at + row.length].tobytes())
+            at += row.length
+        assert at == len(ids)
+    for pieces in of_sequence.values():
+        at = 0
+        for row in sorted(pieces, key=lambda r: r.offset):
+            assert row.offset == at
+            at += row.length
+        assert at == 2048 or at & (at - 1) == 0
+
+
+def test_op12_packs_the_table(spark, sample, tokenizer):
+    check_packing(queries.op12_group_packing(spark, SF).collect(), {r.doc_id: r.text for r in sample.collect()}, tokenizer)
+
+
+def test_packing_of_odd_documents(make_docs, tokenizer):
+    rows = [(i, text, source) for i, (_, text, source) in enumerate(ODD)]
+    packed = group_packing.pack_in_groups(make_docs(rows), queries.tokenizer_path(WORDS))
+    check_packing(packed.withColumn("ids_crc32", F.crc32("ids")).collect(), {i: text for i, text, _ in rows}, tokenizer)
+
+
+def test_packing_keeps_repeated_rows_and_rows_without_an_id(make_docs):
+    rows = [(None, "", "a")] * 50 + [(1, "the same", "a")] * 50
+    packed = group_packing.pack_in_groups(make_docs(rows), queries.tokenizer_path(WORDS))
+    assert {tuple(r) for r in packed.groupBy("doc_id").agg(F.sum("length")).collect()} == {(None, 50), (1, 150)}
+    assert group_packing.pack_in_groups(make_docs([]), queries.tokenizer_path(WORDS)).collect() == []
+
+
+def test_groups_end_at_their_bounds(monkeypatch):
+    monkeypatch.setattr(group_packing, "GROUP_DOCUMENTS", 3)
+    monkeypatch.setattr(group_packing, "_AT_ONCE", 1)
+    import pyarrow as pa
+
+    monkeypatch.setattr(group_packing.TaskContext, "get", classmethod(lambda cls: type("T", (), {"partitionId": lambda self: 5})()))
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(7)), "text": ["a b"] * 7})
+    found = pa.Table.from_batches(list(group_packing._packed([batch], queries.tokenizer_path(WORDS), 2048, 1))).to_pandas()
+    assert found["doc_id"].tolist() == sorted(found["doc_id"])  # a group's sequences come before the next one's
+    assert found.groupby("doc_id")["length"].sum().tolist() == [3] * 7
+    assert found.groupby("sequence_id")["length"].sum().tolist() == [8, 1, 8, 1, 2, 1]
+    assert found["sequence_id"].min() == 5 << 36
+
+
+ODD_TEXTS = [
+    "",
+    "It's they'll I'VE don't",
+    "Á é É ß ẞ ﬁ İ ı Σς",
+    "数据总线 😀😀 ١٢٣ ½ x²",
+    "a\x1cb\x85c d e",
+    "a <|endoftext|> b <|startoftext|>",
+    "<|ENDOFTEXT|> <|endoftext",
+    "nul \0 in \0\0 text",
+    "⃁\U00010ee6 new letters",
+    "x" * 300 + " " * 60_000 + "y",
+]
+
+
+@pytest.mark.parametrize("name", [WORDS, "byte_bpe_50k.json"])
+def test_ids_are_those_of_the_file_as_loaded(sample, name):
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_path(name)
+    plain, mine = Tokenizer.from_file(path), tokens.encoder(path)
+    assert mine.fast is not None
+    texts = ODD_TEXTS + [r.text or "" for r in sample.collect()]
+    for text, ids in zip(texts, mine.encode(texts)):
+        assert ids == np.array(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text[:80]
+
+
+@given(st.text(max_size=40) | st.text("aB'stREve0 1\t.,<|>endoftext\0é", max_size=60))
+@settings(max_examples=500, deadline=None)
+def test_word_ids_of_any_text(tokenizer, text):
+    ids = tokens.encoder(queries.tokenizer_path(WORDS)).encode([text])[0]
+    assert ids == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+# Conversation trie
+
+
+@given(st.dictionaries(st.binary(max_size=6), st.integers(), max_size=120))
+@settings(max_examples=200, deadline=None)
+def test_radix_tree_holds_its_keys_in_order(values):
+    check_tree(values)
+
+
+@pytest.mark.parametrize("n", [1, 4, 5, 16, 17, 48, 49, 256])
+def test_radix_tree_layouts_grow(n):
+    layout = check_tree({bytes([b, 7]): b for b in random.Random(n).sample(range(256), n)}).root.layout
+    kinds = {1: radix._Few, 4: radix._Few, 5: radix._Few, 16: radix._Few, 17: radix._Indexed, 48: radix._Indexed}
+    assert type(layout) is kinds.get(n, radix._Full)
+
+
+def check_tree(values: dict[bytes, int]) -> radix.RadixTree:
+    tree = radix.RadixTree()
+    for key, value in values.items():
+        tree.insert(key, value)
+    whole = {}
+
+    def keys_of(node, before):
+        key = before + node.path
+        if node.value is not None:
+            whole[key] = node.value
+        children = list(node.children())
+        assert [c.path[0] for c in children] == sorted({c.path[0] for c in children})
+        # Compressed: only the root and ends of keys may have fewer than two children.
+        assert node is tree.root or node.value is not None or len(children) > 1
+        for child in children:
+            assert node.layout.find(child.path[0]) is child
+            keys_of(child, key)
+
+    keys_of(tree.root, b"")
+    assert whole == values and list(whole) == sorted(values)
+    assert [top for node, top in tree.from_below()][-1] == 0
+    return tree
+
+
+def trie_by_sql(rows: list[tuple]) -> list[tuple]:
+    duck = duckdb.connect()
+    frame = pd.DataFrame(rows, columns=["conv_id", "turn", "role", "text"])
+    duck.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    duck.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows) if len(frame) else None
+    return duck.sql(queries.ORACLES["op13_conversation_trie"]).fetchall()
+
+
+def trie_of(spark, rows: list[tuple]) -> list[tuple]:
+    given_rows = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    given_rows = given_rows.selectExpr("*", *[f"cast(null as string) as `{c}`" for c in ("key", "words", "task", "block", "node", "id", "depth")])
+    return [tuple(r) for r in conversations.prefix_trie(given_rows).collect()]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_trie_over_many_ranges(spark, many_ranges, seed):
+    """A third of all conversations are one, most share their first turn, and many are prefixes of others."""
+    rnd = random.Random(seed)
+    rows = []
+    for conv in rnd.sample(range(-60, 400), 240):
+        if rnd.random() < 0.33:
+            turns = [("system", "be brief"), ("user", "hi there you"), (None, "ok")]
+        else:
+            turns = [("system", "be brief")] if rnd.random() < 0.6 else []
+            turns += [(rnd.choice(["user", "bot"]), rnd.choice(["a b", "c", ""])) for _ in range(rnd.randint(0, 6))]
+        rows += [(conv, nth, role, text) for nth, (role, text) in enumerate(turns)]
+    rnd.shuffle(rows)
+    found = trie_of(spark, rows)
+    assert sorted(found, key=repr) == sorted(trie_by_sql(rows), key=repr)
+    assert sum(row[1] == 0 for row in found) == 1
+
+
+def test_trie_of_one_conversation_copied_over_all_ranges(spark, many_ranges):
+    rows = [(conv, turn, "user", f"turn {turn}") for conv in range(300) for turn in range(3)]
+    rows += [(1000, turn, "user", f"turn {turn}") for turn in range(5)]
+    assert sorted(trie_of(spark, rows), key=repr) == sorted(trie_by_sql(rows), key=repr)
+
+
+def test_trie_of_odd_rows(spark, many_ranges):
+    long = "word " * 50_000
+    rows = [
+        (1, None, "user", "a"),
+        (1, 0, None, None),
+        (1, 0, "user", long),
+        (1, 0, "user", long),
+        (None, 0, "user", "left out"),
+        (21, 5, "user", "only turn"),
+        (22, 5, "user", "only turn"),
+        (23, 5, "", ""),
+        (24, 5, None, None),
+    ]
+    assert sorted(trie_of(spark, rows), key=repr) == sorted(trie_by_sql(rows), key=repr)
+    assert trie_of(spark, []) == []
+
+
+def test_a_turnless_conversation_is_a_member_of_the_root_alone(spark):
+    conv = next(c for c in range(1, 20) if zlib.crc32(str(c).encode()) % 4)
+    assert trie_of(spark, [(conv, 0, "user", "gone")]) == [(conv, 0, None, 1, 0, 1, 0, hashed(str(conv)))]

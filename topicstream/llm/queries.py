@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicstream.llm import (
+    conversations,
     exact_dedup,
     fingerprints,
     group_packing,
@@ -277,3 +278,34 @@ def op12_group_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+@query
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op13_conversation_trie"] = rf"""
+    WITH t AS (SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+               WHERE conv_id IS NOT NULL),
+    i AS (SELECT c, turn, substr(sha256(octet_length(encode(role)) || ':' || role || text), 1, 32) AS id,
+                 len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))::BIGINT AS words FROM t),
+    o AS (SELECT c, list(id ORDER BY turn NULLS FIRST, id, words) AS ids, list(words ORDER BY turn NULLS FIRST, id, words) AS words
+          FROM i GROUP BY c),
+    h AS (SELECT o.c, {crc32_sql("o.c::VARCHAR")} % 4 AS h, b.ids AS bids, b.words AS bwords, o.ids, o.words
+          FROM o LEFT JOIN o b ON b.c = o.c - o.c % 20),
+    r AS (SELECT c, coalesce(bids[:h], []) || ids[h + 1:] AS ids, coalesce(bwords[:h], []) || words[h + 1:] AS words FROM h),
+    p AS (SELECT c, d, array_to_string(ids[:d], '') AS path, CASE WHEN d > 0 THEN words[d] ELSE 0 END AS words, len(ids) = d AS ends
+          FROM r, unnest(range(0, len(ids) + 1)) u(d)),
+    n AS (SELECT path, any_value(d) AS depth, min(c) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+                 sha256(coalesce(string_agg(CASE WHEN ends THEN c::VARCHAR END, ',' ORDER BY c), '')) AS ends_sha256
+          FROM p GROUP BY path),
+    k AS (SELECT left(path, 32 * (depth - 1)) AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+    s AS (SELECT left(n.path, 32 * a.d) AS path, sum(CASE WHEN k.path IS NULL THEN 1 ELSE 0 END)::BIGINT AS n_leaves,
+                 sum((n_convs - 1) * words)::BIGINT AS saved_tokens
+          FROM n LEFT JOIN k USING (path), unnest(range(0, depth + 1)) a(d) GROUP BY 1)
+    SELECT n.conv_id, n.depth, up.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+           saved_tokens, n.ends_sha256
+    FROM n LEFT JOIN k USING (path) JOIN s USING (path)
+    LEFT JOIN n up ON n.depth > 0 AND up.path = left(n.path, 32 * (n.depth - 1))
+"""
