@@ -48,7 +48,6 @@ def tokenizer():
     from tokenizers import Tokenizer
 
     found = Tokenizer.from_file(queries.tokenizer_path())
-    found.encode_special_tokens = True
     return found
 
 
