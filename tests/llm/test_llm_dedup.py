@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 from collections import defaultdict
 
 import pytest
@@ -312,3 +313,46 @@ def test_every_passage_of_the_least_length_has_a_seed(before, passage, behind, l
 
     assert found(passage) <= found(before + passage + behind)
     assert all(found(passage[at : at + least]) for at in range(len(passage) - least + 1))
+
+
+def test_keys_stay_complete_however_many_segments_are_shared():
+    """Lines within two edits share a key at every depth, until nothing is left to cut."""
+    rnd = random.Random(5)
+    tried = 0
+    for _ in range(300):
+        a = "".join(rnd.choice("abcd") for _ in range(rnd.randint(32, 50)))
+        b = list(a)
+        for _ in range(2):
+            at = rnd.randrange(len(b))
+            b[at : at + rnd.randint(0, 1)] = rnd.choice(["", "x", "a"])
+        b = "".join(b)
+        if distance(a, b) > line_dedup.allowed(min(len(a), len(b)), 2, 16):
+            continue
+        tried += 1
+        shared = [set(), set()]
+        for depth in range(20):
+            (own, probes, last), (other, others, lasts) = (
+                line_dedup.finer_keys(text, 2, 16, of, depth) for text, of in zip((a, b), shared)
+            )
+            assert depth or (sorted(own), sorted(probes)) == tuple(map(sorted, line_dedup.keys(a, 2, 16)))
+            both = set(own) & {*other, *others} | set(other) & {*own, *probes}
+            assert both
+            shared = [of | both for of in shared]
+            if both <= {*last, *lasts}:
+                break
+        else:
+            raise AssertionError("keys never end")
+    assert tried > 100
+
+
+def test_many_lines_with_one_front_and_no_links(make_docs):
+    """They share segments, but none is near another: not all pairs are compared."""
+    rnd = random.Random(6)
+    front = "this is the long beginning that all of these many lines share "
+    lines = [front + "".join(rnd.choice("abcdefghijklmnop") for _ in range(30)) for _ in range(5000)]
+    rows = [(i, "\n".join(lines[i::100]), "a") for i in range(100)]
+    rows.append((1000, lines[7][:70] + "Z" + lines[7][71:], "a"))
+    start = time.perf_counter()
+    found = line_dedup.near_lines(make_docs(rows)).where("not kept").collect()
+    assert [(r.doc_id, r.class_doc_id, r.class_line) for r in found] == [(1000, 7, 0)]
+    assert time.perf_counter() - start < 120

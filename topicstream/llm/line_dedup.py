@@ -5,25 +5,26 @@ indexed by its segments, each under the line's length and the segment's number,
 that shorter or equally long lines would have, at the few places where edits may have moved them (after Li et al. 2012).
 
 1. Equal lines are one from here on. Keys that only one line has drop out by a Bloom filter before anything is shuffled.
-2. Lines with a key in common are tied to the smallest of them: a star, not all pairs.
-3. The components of these stars are compared inside Spark groups, blocks of large components in pairs: lines that share a
-   key, and are not connected already, are verified by a banded bit-parallel edit distance.
-4. The components of the verified links are the classes.
+2. Lines with a key in common, one of which has it as its own segment, are verified by a banded bit-parallel edit distance.
+   No two lines are tied before that, so what is tied is linked.
+3. A key that more than ``BLOCK`` lines have is worked off without comparing all of them: with the first line of the key
+   first; then, if few lines are not linked with it, those with all others, block by block; else the lines get finer keys.
+   The parts beside the shared segment are again within t edits, so they share one of t + 1 segments of those parts,
+   and so on until keys are rare or nothing is left beside the shared segments.
+4. The components of the links are the classes.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
 
-import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from topicstream.llm import bloom
-from topicstream.llm.blocks import connect
 from topicstream.llm.common import components, text_or_empty, written
 
 EDITS = 2
@@ -57,18 +58,8 @@ def near_lines(
     order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "line", "at")
     nodes = written(lines.groupBy("node").agg(F.min(order).alias("first")), "line-nodes")
 
-    keyed = lines.select("at", F.explode(F.concat("segments", "probes")).alias("key"))
-    again = bloom.repeated_in(keyed.select("key"))
-    keyed = written(
-        keyed.where(again("key")).join(nodes.select(F.col("first.at").alias("at")), "at").distinct(), "line-keys"
-    )
-    firsts = written(
-        keyed.groupBy("key").agg(F.min("at").alias("first"), F.max("at").alias("last")).where("first < last"), "line-firsts"
-    )
-    stars = keyed.join(firsts, "key").where("at <> first").select(F.col("at").alias("a"), F.col("first").alias("b"))
-    near = components(stars, "line-stars")
-    texts = lines.select(F.col("at").alias("row"), "text", "segments", "probes")
-    links = connect(near, texts, lambda pdf: _links(pdf, edits, chars_per_edit), BLOCK, "line")
+    ones = lines.select("at", "text", "segments", "probes").join(nodes.select(F.col("first.at").alias("at")), "at")
+    links = _all_links(written(ones, "line-ones"), edits, chars_per_edit)
     linked = components(links, "line-links").withColumnRenamed("node", "at")
 
     reached = written(nodes.select("node", "first", F.col("first.at").alias("at")).join(linked, "at", "left"), "line-reached")
@@ -102,10 +93,25 @@ def segments(length: int, parts: int) -> list[tuple[int, int]]:
     return found
 
 
+#: Parts of a line that lie beside the segments it shares: (length in the shorter line, start and length in this one).
+Parts = tuple[tuple[int, int, int], ...]
+
+
+def cut(lengths: list[int], parts: int) -> list[tuple[int, int, int]]:
+    """``parts`` segments, (number of the part, start in it, length), of parts of these lengths, as even as possible.
+
+    Nothing if there are fewer characters than segments.
+    """
+    if sum(lengths) < parts:
+        return []
+    shares = [0] * len(lengths)
+    for _ in range(parts):
+        shares[max(range(len(lengths)), key=lambda i: lengths[i] / (shares[i] + 1))] += 1
+    return [(i, *at) for i, k in enumerate(shares) if k for at in segments(lengths[i], k)]
+
+
 def keys(text: str, edits: int, chars_per_edit: int) -> tuple[list[int], list[int]]:
     """Keys of the line's own segments, and of the places where the segments of a shorter line may stand in it."""
-    from xxhash import xxh64_intdigest
-
     n = len(text)
     own, probes = [], []
     for length in range(max(0, n - edits), n + 1):
@@ -118,11 +124,60 @@ def keys(text: str, edits: int, chars_per_edit: int) -> tuple[list[int], list[in
             low = max(0, start - i, start + longer - (t - i))
             high = min(n - size, start + i, start + longer + (t - i))
             for at in range(low, high + 1):
-                key = xxh64_intdigest(text[at : at + size], seed) - (1 << 63)
-                (own if not longer and at == start else probes).append(key)
+                (own if not longer and at == start else probes).append(_key(text[at : at + size], seed))
     return own, probes
 
 
+def finer_keys(
+    text: str, edits: int, chars_per_edit: int, shared: set[int], depth: int
+) -> tuple[list[int], list[int], list[int]]:
+    """Own and probing keys of what lies beside the segments whose keys are in ``shared``, ``depth`` of them: for 0 of them
+    those of :func:`keys`.
+
+    The third list holds those of the keys under which nothing is left to cut.
+    """
+    n, own, probes, last = len(text), [], [], []
+    stack = [
+        (((length, 0, n),), length == n, allowed(length, edits, chars_per_edit), length * 64, 0)
+        for length in range(max(0, n - edits), n + 1)
+        if 0 < allowed(length, edits, chars_per_edit) >= n - length
+    ]
+    while stack:
+        parts, mine, t, seed, level = stack.pop()
+        found = list(_places(text, parts, mine, t, seed))
+        if not found and level == depth:
+            key = _key("", seed)
+            (own if mine else probes).append(key)
+            last.append(key)
+        for key, left, exact in found:
+            if level == depth:
+                (own if exact else probes).append(key)
+            elif key in shared:
+                stack.append((left, exact, t, key * 64, level + 1))
+    return own, probes, last
+
+
+def _places(text: str, parts: Parts, mine: bool, t: int, seed: int):
+    """Keys of the segments of ``parts`` at all places where they may stand, with what lies beside, and whether it is the
+    line's own segment."""
+    for number, (i, start, size) in enumerate(cut([length for length, _, _ in parts], t + 1)):
+        length, begin, here = parts[i]
+        longer = here - length
+        # Of a whole line's edits, some segment has at most its number before it and the rest behind it.
+        before, behind = (number, t - number) if len(parts) == 1 else (t, t)
+        low = max(0, start - before, start + longer - behind)
+        for at in range(low, min(here - size, start + before, start + longer + behind) + 1):
+            left = (start, begin, at), (length - start - size, begin + at + size, here - at - size)
+            if all(abs(a - b) <= t for a, _, b in left):
+                rest = (*parts[:i], *(part for part in left if part[0] or part[2]), *parts[i + 1 :])
+                exact = mine and at == start
+                yield _key(text[begin + at : begin + at + size], seed + number), rest, exact
+
+
+def _key(segment: str, seed: int) -> int:
+    return xxh64_intdigest(segment, seed % (1 << 64)) - (1 << 63)
+
+
 def within(a: str, b: str, edits: int) -> bool:
     """True if the edit distance is at most ``edits``.
 
@@ -155,11 +210,130 @@ def within(a: str, b: str, edits: int) -> bool:
     return bool(states[edits] >> (len(a) - len(b) + edits) & 1)
 
 
-def _links(pdf: pd.DataFrame, edits: int, chars_per_edit: int) -> pd.DataFrame:
-    pdf = pdf.sort_values("row")
-    ats, block, texts = pdf["row"].tolist(), pdf["k"].tolist(), pdf["text"].tolist()
-    apart = pdf["i"].iloc[0] != pdf["j"].iloc[0]  # pairs inside a block belong to the block's own group
-    parent = list(range(len(ats)))
+def _all_links(ones: DataFrame, edits: int, chars_per_edit: int) -> DataFrame:
+    """Links (a, b) that connect what pairwise comparison of all lines would connect."""
+    texts = ones.select("at", "text")
+    entries = F.concat(F.transform("segments", lambda k: _entry(k, True)), F.transform("probes", lambda k: _entry(k, False)))
+    keyed = ones.select("at", F.explode(F.array_distinct(entries)).alias("e")).select("at", "e.*", F.lit(False).alias("last"))
+    keyed = written(keyed.where(bloom.repeated_in(keyed.select("key"))("key")), "line-keys")
+    found: list[DataFrame] = []
+    shared: DataFrame | None = None
+    depth = 0
+    while True:
+        many = F.col("n") > BLOCK
+        groups = keyed.groupBy("key").agg(
+            F.count("*").alias("n"), F.min(F.when(F.col("own"), F.col("at"))).alias("first"), F.max("last").alias("last")
+        )
+        groups = written(groups.where("n > 1 and first is not null"), "line-groups")
+        few = keyed.join(groups.where(~many).select("key"), "key").join(texts, "at").select("key", "own", "at", "text")
+        few = few.repartition("key").sortWithinPartitions("key", "at")
+        linked = few.mapInArrow(lambda b: _links_of_runs(b, edits, chars_per_edit), "a long, b long")
+        found.append(written(linked, "line-links"))
+        hot = written(groups.where(many), "line-hot")
+        if hot.isEmpty():
+            break
+        hot = _around_first(keyed.drop("last").join(hot, "key"), texts, edits, chars_per_edit, found)
+        if hot.isEmpty():
+            break
+        # The lines of what is left get finer keys, which lie under all the hot ones they had so far.
+        now = hot.select("at", "key").distinct()
+        shared = written(now if shared is None else now.union(shared), "line-shared")
+        again = shared.groupBy("at").agg(F.collect_set("key").alias("shared")).join(now.select("at").distinct(), "at")
+        depth += 1
+        finer = again.join(texts, "at").select("at", "text", "shared")
+        finer = finer.mapInArrow(
+            lambda b, depth=depth: _finer(b, edits, chars_per_edit, depth), "at long, key long, own boolean, last boolean"
+        )
+        keyed = written(finer, "line-finer")
+    links = found[0]
+    for more in found[1:]:
+        links = links.union(more)
+    return links
+
+
+def _entry(key, own: bool):
+    return F.struct(key.alias("key"), F.lit(own).alias("own"))
+
+
+def _around_first(rows: DataFrame, texts: DataFrame, edits: int, chars_per_edit: int, found: list[DataFrame]) -> DataFrame:
+    """Compare the lines of large groups with the first of their group, and add the links to ``found``.
+
+    Where few lines are left that are not linked with it, they are compared with all others of the group. ``rows`` has key,
+    at, own, first, n, last. What is returned is those rows whose groups have more left over and can be cut further.
+    """
+    centre = texts.select(F.col("at").alias("first"), F.col("text").alias("centre"))
+    pairs = rows.join(texts, "at").join(centre, "first").select(*rows.columns, "text", "centre")
+    schema = f"{pairs.drop('text', 'centre').schema.simpleString()[7:-1].replace(':', ' ')}, linked boolean"
+    tried = written(pairs.mapInArrow(lambda b: _tried(b, edits, chars_per_edit), schema), "line-tried")
+    found.append(tried.where("linked and at <> first").select(F.col("at").alias("a"), F.col("first").alias("b")))
+    left = written(tried.where("not linked").groupBy("key").agg(F.count("*").alias("left")), "line-left")
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    few = tried.join(left, "key").where((F.col("left") <= BLOCK) | F.col("last"))
+    own_block = F.pmod(F.xxhash64("at"), blocks).cast("int")
+    # A line that is left over is in every block of its group; the blocks are as large as one of the others.
+    placed = few.select(
+        "key", "own", "at", "linked",
+        F.explode(F.when(F.col("linked"), F.array(own_block)).otherwise(F.sequence(F.lit(0), blocks - 1))).alias("block"),
+    )
+    placed = placed.join(texts, "at").repartition("key", "block").sortWithinPartitions("key", "block", "linked", "at")
+    placed = placed.select("key", "own", "at", "text", "linked", "block")
+    found.append(written(placed.mapInArrow(lambda b: _links_of_runs(b, edits, chars_per_edit), "a long, b long"), "line-links"))
+    more = tried.where("not last").join(left.where(F.col("left") > BLOCK).select("key"), "key")
+    return written(more.select("key", "at"), "line-more")
+
+
+def _tried(batches, edits: int, chars_per_edit: int):
+    for batch in batches:
+        names = batch.schema.names
+        texts, centres = (batch.column(names.index(c)).to_pylist() for c in ("text", "centre"))
+        linked = [_near(a, b, edits, chars_per_edit) for a, b in zip(texts, centres)]
+        kept = [c for c in names if c not in ("text", "centre")]
+        columns = [batch.column(names.index(c)) for c in kept]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(linked)], [*kept, "linked"])
+
+
+def _near(a: str, b: str, edits: int, chars_per_edit: int) -> bool:
+    return a == b or within(a, b, allowed(min(len(a), len(b)), edits, chars_per_edit))
+
+
+def _finer(batches, edits: int, chars_per_edit: int, depth: int):
+    for batch in batches:
+        rows = []
+        for at, text, shared in zip(*(c.to_pylist() for c in batch.columns)):
+            own, probes, last = finer_keys(text, edits, chars_per_edit, set(shared), depth)
+            ends, mine = set(last), set(own)
+            rows += [(at, key, key in mine, key in ends) for key in mine | set(probes)]
+        if rows:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.bool_(), pa.bool_()))],
+                ["at", "key", "own", "last"],
+            )
+
+
+def _links_of_runs(batches, edits: int, chars_per_edit: int):
+    """Links within every run of rows of one key (and block); of two lines one must have the key as its own.
+
+    Columns are key, own, at, text and, where lines were compared with one already, linked and block: then one of two
+    lines must not be linked with it.
+    """
+    group, run = None, []
+    for batch in batches:
+        found: list[tuple[int, int]] = []
+        columns = [c.to_pylist() for c in batch.columns]
+        blocks = columns[5] if len(columns) > 5 else [0] * batch.num_rows
+        known = columns[4] if len(columns) > 4 else [False] * batch.num_rows
+        for key, own, at, text, linked, block in zip(*columns[:4], known, blocks):
+            if (key, block) != group:
+                found += _connect(run, edits, chars_per_edit)
+                group, run = (key, block), []
+            run.append((at, text, own, linked))
+        yield _pairs(found)
+    yield _pairs(_connect(run, edits, chars_per_edit))
+
+
+def _connect(run: list[tuple[int, str, bool, bool]], edits: int, chars_per_edit: int) -> list[tuple[int, int]]:
+    """Links that connect the rows of a run as all its links would."""
+    found, parent = [], list(range(len(run)))
 
     def top(x: int) -> int:
         while parent[x] != x:
@@ -167,23 +341,19 @@ def _links(pdf: pd.DataFrame, edits: int, chars_per_edit: int) -> pd.DataFrame:
             x = parent[x]
         return x
 
-    holders: dict[int, list[int]] = defaultdict(list)
-    for x, own in enumerate(pdf["segments"]):
-        for key in own:
-            holders[key].append(x)
-    found, tried = [], set()
-    for y, (own, probes) in enumerate(zip(pdf["segments"], pdf["probes"])):
-        for key in (*own, *probes):
-            for x in holders.get(key, ()):
-                pair = (x, y) if x < y else (y, x)
-                if x == y or (apart and block[x] == block[y]) or top(x) == top(y) or pair in tried:
-                    continue
-                tried.add(pair)
-                least = min(len(texts[x]), len(texts[y]))
-                if within(texts[x], texts[y], allowed(least, edits, chars_per_edit)):
+    for y, (at, text, own, linked) in enumerate(run):
+        for x in range(y):
+            other, before, mine, known = run[x]
+            if at != other and (own or mine) and not (linked and known) and top(x) != top(y):
+                if _near(before, text, edits, chars_per_edit):
                     parent[top(y)] = top(x)
-                    found.append((ats[x], ats[y]))
-    return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
+                    found.append((other, at))
+    return found
+
+
+def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    columns = zip(*found) if found else ([], [])
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
 
 
 def _line_batches(batches, edits: int, chars_per_edit: int):
