@@ -53,16 +53,17 @@ def near_lines(
     """
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text_or_empty(text_col).alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"at long, doc_id {kind}, line int, node binary, text string, segments array<long>, probes array<long>"
-    lines = written(rows.mapInArrow(lambda b: _line_batches(b, edits, chars_per_edit), schema), "lines")
+    lines = written(rows.mapInArrow(_line_batches, f"at long, doc_id {kind}, line int, node binary, text string"), "lines")
     order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "line", "at")
-    nodes = written(lines.groupBy("node").agg(F.min(order).alias("first")), "line-nodes")
-
-    ones = lines.select("at", "text", "segments", "probes").join(nodes.select(F.col("first.at").alias("at")), "at")
-    links = _all_links(written(ones, "line-ones"), edits, chars_per_edit)
+    ones = lines.groupBy("node").agg(F.min(order).alias("first"), F.any_value("text").alias("text"))
+    ones = ones.select("node", "first", F.col("first.at").alias("at"), "text")
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ones.schema)
+    schema = f"{columns}, segments array<long>, probes array<long>"
+    nodes = written(ones.mapInArrow(lambda b: _with_keys(b, edits, chars_per_edit), schema), "line-nodes")
+    links = _all_links(nodes, edits, chars_per_edit)
     linked = components(links, "line-links").withColumnRenamed("node", "at")
 
-    reached = written(nodes.select("node", "first", F.col("first.at").alias("at")).join(linked, "at", "left"), "line-reached")
+    reached = written(nodes.select("node", "first", "at").join(linked, "at", "left"), "line-reached")
     # Lines without links have no root; they stay out of the join, where they would all meet in one task.
     grouped = reached.where("root is not null")
     classes = written(grouped.groupBy("root").agg(F.min("first").alias("class")), "line-roots")
@@ -215,7 +216,11 @@ def _all_links(ones: DataFrame, edits: int, chars_per_edit: int) -> DataFrame:
     texts = ones.select("at", "text")
     entries = F.concat(F.transform("segments", lambda k: _entry(k, True)), F.transform("probes", lambda k: _entry(k, False)))
     keyed = ones.select("at", F.explode(F.array_distinct(entries)).alias("e")).select("at", "e.*", F.lit(False).alias("last"))
-    keyed = written(keyed.where(bloom.repeated_in(keyed.select("key"))("key")), "line-keys")
+    # Most keys that two lines probe for are no line's own segment.
+    owned = bloom.contained_in(ones.select(F.explode("segments").alias("key")))
+    keyed = keyed.where(F.col("own") | owned("key"))
+    again = bloom.repeated_in(keyed.select("key"))
+    keyed = written(keyed.where(again("key")), "line-keys")
     found: list[DataFrame] = []
     shared: DataFrame | None = None
     depth = 0
@@ -356,54 +361,42 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
 
 
-def _line_batches(batches, edits: int, chars_per_edit: int):
+def _line_batches(batches):
     from hashlib import md5
 
     number = TaskContext.get().partitionId() << 33
     for batch in batches:
-        rows = _Rows()
+        rows = []
         for row, text in enumerate(batch.column(1)):
             for line, part in enumerate(text.as_py().split("\n")):
                 if part and not part.isspace():
-                    rows.add(number, row, line, md5(part.encode()).digest(), part, *keys(part, edits, chars_per_edit))
+                    rows.append((number, row, line, md5(part.encode()).digest(), part))
                     number += 1
-            if len(rows.at) >= _FLUSH:
-                yield rows.batch(batch.column(0))
-                rows = _Rows()
-        if rows.at:
-            yield rows.batch(batch.column(0))
-
-
-class _Rows:
-    """Columns of a batch of lines."""
-
-    def __init__(self):
-        self.at, self.row, self.line, self.node, self.text = [], [], [], [], []
-        self.segments, self.probes = ([], [0]), ([], [0])
-
-    def add(self, at: int, row: int, line: int, node: bytes, text: str, own: list[int], probes: list[int]) -> None:
-        self.at.append(at)
-        self.row.append(row)
-        self.line.append(line)
-        self.node.append(node)
-        self.text.append(text)
-        for (values, ends), new in ((self.segments, own), (self.probes, probes)):
-            values.extend(new)
-            ends.append(len(values))
-
-    def batch(self, ids: pa.Array) -> pa.RecordBatch:
-        lists = [
-            pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int64()))
-            for values, ends in (self.segments, self.probes)
-        ]
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(self.at, pa.int64()),
-                ids.take(pa.array(self.row, pa.int64())),
-                pa.array(self.line, pa.int32()),
-                pa.array(self.node, pa.binary()),
-                pa.array(self.text, pa.string()),
-                *lists,
-            ],
-            ["at", "doc_id", "line", "node", "text", "segments", "probes"],
-        )
+            if len(rows) >= _FLUSH:
+                yield _lines(rows, batch.column(0))
+                rows = []
+        if rows:
+            yield _lines(rows, batch.column(0))
+
+
+def _lines(rows: list[tuple], ids: pa.Array) -> pa.RecordBatch:
+    at, row, line, node, text = zip(*rows)
+    columns = [
+        pa.array(at, pa.int64()),
+        ids.take(pa.array(row, pa.int64())),
+        pa.array(line, pa.int32()),
+        pa.array(node, pa.binary()),
+        pa.array(text, pa.string()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["at", "doc_id", "line", "node", "text"])
+
+
+def _with_keys(batches, edits: int, chars_per_edit: int):
+    for batch in batches:
+        both = ([], [0]), ([], [0])
+        for text in batch.column(3).to_pylist():
+            for (values, ends), new in zip(both, keys(text, edits, chars_per_edit)):
+                values.extend(new)
+                ends.append(len(values))
+        lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int64())) for values, ends in both]
+        yield pa.RecordBatch.from_arrays([*batch.columns, *lists], [*batch.schema.names, "segments", "probes"])
