@@ -304,17 +304,57 @@ def test_short_passages_are_found_whole(make_docs):
         assert r.first_doc_id == i // 2 * 2 and r.kept == (i % 2 == 0)
 
 
-@settings(max_examples=100, deadline=None)
-@given(st.binary(max_size=40), st.binary(min_size=33, max_size=200), st.binary(max_size=40), st.integers(1, 33))
-def test_every_passage_of_the_least_length_has_a_seed(before, passage, behind, least):
+@settings(max_examples=300, deadline=None)
+@given(st.binary(max_size=40), st.binary(min_size=70, max_size=300), st.binary(max_size=40), st.integers(1, 70))
+def test_every_passage_of_the_least_length_has_a_chunk(before, passage, behind, least):
+    """In any surroundings, and the same one."""
+
     def found(data):
-        places, size = substring_dedup.seeds(data, least)
-        return {data[at : at + size] for at in places.tolist()}
+        return {data[a:b] for a, b in zip(*substring_dedup.chunks(data, least))}
 
+    # Bytes that begin no character are no boundaries, and these are any bytes.
+    passage = bytes(c & 0x7F for c in passage)
     assert found(passage) <= found(before + passage + behind)
     assert all(found(passage[at : at + least]) for at in range(len(passage) - least + 1))
 
 
+def test_chunks_vary_in_length():
+    rng = random.Random(8)
+    data = " ".join("".join(rng.choices("abcdefgé", k=rng.randint(2, 9))) for _ in range(3000)).encode()
+    starts, ends = substring_dedup.chunks(data, 160)
+    sizes = ends - starts
+    assert sizes.min() >= 33 and sizes.max() <= 33 + 60 and len(set(sizes.tolist())) > 40
+    assert 24 < len(data) / len(starts) < 40
+    assert set(ends.tolist()) <= set(substring_dedup.boundaries(data).tolist())
+
+
+def test_all_common_stretches_are_found(make_docs):
+    """Against brute force: every byte that lies in 160 bytes which another row holds too, and no other."""
+    rng = random.Random(9)
+    vocabulary = ["".join(rng.choices("abcdefghij", k=rng.randint(1, 8))) for _ in range(2000)]
+    words = lambda n: " ".join(rng.choices(vocabulary, k=n))
+    texts = [words(rng.randint(30, 200)) for _ in range(60)]
+    for _ in range(150):  # stretches of 100 to 400 bytes from one text into another, at any place
+        source, target, size = rng.choice(texts), rng.randrange(60), rng.randint(100, 400)
+        at, into = rng.randrange(max(1, len(source) - size)), rng.randrange(len(texts[target]))
+        texts[target] = texts[target][:into] + source[at : at + size] + texts[target][into:]
+    holders = defaultdict(set)
+    for i, text in enumerate(texts):
+        for at in range(len(text) - 159):
+            holders[text[at : at + 160]].add(i)
+    expected = set()
+    for i, text in enumerate(texts):
+        for at in range(len(text) - 159):
+            if len(holders[text[at : at + 160]]) > 1:
+                expected.update((i, at + j) for j in range(160))
+    found = set()
+    for r in substring_dedup.shared_passages(make_docs([(i, text, "s") for i, text in enumerate(texts)])).collect():
+        found.update((r.doc_id, r.start + j) for j in range(r.length))
+    assert len(expected) > 10_000
+    assert found <= expected
+    assert len(found) >= 0.99 * len(expected)
+
+
 def test_keys_stay_complete_however_many_segments_are_shared():
     """Lines within two edits share a key at every depth, until nothing is left to cut."""
     rnd = random.Random(5)

@@ -1,10 +1,10 @@
-"""Passages that documents share, by seeds at content-defined places that are extended to the whole match.
+"""Passages that documents share, by content-defined chunks that are extended to the whole match.
 
-1. A gear hash rolls over a text's bytes, and of every window of hashes the place of the least is marked (winnowing, after
-   Schleimer et al. 2003). Places depend on the bytes of the window alone, so every passage of the least length has one that
-   is marked in each text that holds it, with all the bytes of its seed.
-2. Seeds are compared by digest. Each is tied to the first place that holds it: a star, not all pairs.
-3. The two texts of such a tie are compared byte by byte from the seed to both sides. The least length applies to the
+1. A gear hash rolls over a text's bytes. Of every window of places the one with the least hash is a boundary, so
+   boundaries depend on the bytes around them alone, move with them when something is inserted before, and are never far
+   apart. A chunk goes from each boundary to the one of the window that begins ``least`` bytes on.
+2. Chunks are compared by digest. Each is tied to the first place that holds it: a star, not all pairs.
+3. The two texts of such a tie are compared byte by byte from the chunk to both sides. The least length applies to the
    extended match.
 """
 
@@ -19,12 +19,10 @@ from pyspark.sql import functions as F
 from topicstream.llm import bloom
 from topicstream.llm.common import text_or_empty, written
 
-BOUNDARY_BITS = 5  # a chunk is 2^5 bytes longer than the least length on average
-LEAST, MOST = 8, 256
 MIN_BYTES = 160
-WINDOW = 64  # of every so many places one is marked, one in 32 on average
-_HASHED = 16
-#: A value of 16 bits for every byte; the hash of a place depends on the 16 bytes up to it.
+MOST = 256  # more than boundaries are apart with the least length as it is
+_HASHED = 8
+#: A value of 16 bits for every byte; the hash of a place depends on the 8 bytes before it.
 _GEAR = np.random.default_rng(7).integers(0, 1 << 16, 256, np.uint16)
 _ROWS = 500
 
@@ -34,35 +32,37 @@ def shared_passages(
 ) -> DataFrame:
     """One row (doc_id, start, length, first_doc_id, kept, passage) for every passage of a row that other rows hold too.
 
-    Of the rows that hold a seed, the one with the smallest id (nulls last; rows that repeat an id in the order in which
-    they were read) is the first, and every other place of the seed is compared with the seed's first place there. What
+    Of the rows that hold a chunk, the one with the smallest id (nulls last; rows that repeat an id in the order in which
+    they were read) is the first, and every other place of the chunk is compared with the chunk's first place there. What
     is equal around both, at least ``min_bytes`` bytes of UTF-8 in whole characters, is a match: a later occurrence in
     the one row, the first in the other. A passage is a longest stretch of matches that overlap or touch. Where it turns
     from first to later occurrences it is divided, so that ``kept`` holds for all of it; what is both is a later one.
-    ``start`` and ``length`` count code points; ``first_doc_id`` is the id of the row its first match was compared with,
-    or its own if kept. Repeats within one row alone are not counted.
+    What is left of a first occurrence is left
+    out if it is shorter than a quarter of the least length. ``start`` and
+    ``length`` count code points; ``first_doc_id`` is the smallest id of rows that its matches were compared with, or its own
+    if kept. Repeats within one row alone are not counted.
 
     Null and empty texts have no passages. An empty table gives an empty result; other columns are ignored.
     """
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text_or_empty(text_col).alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"row long, doc_id {kind}, text string, digests array<long>, starts array<int>"
-    seeded = written(rows.mapInArrow(lambda b: _seed_batches(b, min_bytes), schema), "seeds")
-    # A seed that a row repeats counts once for the row.
-    digests = seeded.select(F.explode(F.array_distinct("digests")).alias("digest"))
+    chunked = written(rows.mapInArrow(lambda b: _chunk_batches(b, min_bytes), schema), "chunks")
+    # A chunk that a row repeats counts once for the row.
+    digests = chunked.select(F.explode(F.array_distinct("digests")).alias("digest"))
     again = bloom.repeated_in(digests)
-    occurrences = seeded.select("row", "doc_id", F.explode(F.arrays_zip("digests", "starts")).alias("seed")).select(
-        "row", "doc_id", F.col("seed.digests").alias("digest"), F.col("seed.starts").alias("start")
+    occurrences = chunked.select("row", "doc_id", F.explode(F.arrays_zip("digests", "starts")).alias("chunk")).select(
+        "row", "doc_id", F.col("chunk.digests").alias("digest"), F.col("chunk.starts").alias("start")
     )
-    occurrences = written(occurrences.where(again("digest")), "seed-repeats")
+    occurrences = written(occurrences.where(again("digest")), "chunk-repeats")
     order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "row", "start")
-    # Written, so that the join is between plain exchanges and adaptive execution can split a very common seed.
+    # Written, so that the join is between plain exchanges and adaptive execution can split a very common chunk.
     shared = written(
         occurrences.groupBy("digest")
         .agg(F.min(order).alias("first"), F.max("row").alias("last_row"), F.min("row").alias("first_row"))
         .where("first_row < last_row")
         .select("digest", F.col("first.row").alias("first_row"), F.col("first.start").alias("first_start")),
-        "seed-firsts",
+        "chunk-firsts",
     )
     ties = (
         occurrences.join(shared, "digest")
@@ -70,9 +70,9 @@ def shared_passages(
         .groupBy("row", "first_row")
         .agg(F.collect_list("start").alias("starts"), F.collect_list("first_start").alias("first_starts"))
     )
-    ties = written(ties, "seed-ties")
+    ties = written(ties, "chunk-ties")
     tied = bloom.contained_in(ties.select("row").union(ties.select("first_row")))
-    texts = seeded.select("row", "doc_id", "text").where(tied("row"))
+    texts = chunked.select("row", "doc_id", "text").where(tied("row"))
     firsts = texts.select(F.col("row").alias("first_row"), F.col("doc_id").alias("first_doc_id"), F.col("text").alias("first_text"))
     pairs = ties.join(texts.select("row", "text"), "row").join(firsts, "first_row")
     pairs = pairs.select("row", "text", "starts", "first_row", "first_doc_id", "first_text", "first_starts")
@@ -86,7 +86,7 @@ def shared_passages(
     parts = matches.groupBy(F.pmod(F.xxhash64("row"), F.lit(groups))).applyInArrow(lambda t: _parts(t, min_bytes), schema)
     parts = written(parts, "passages")
     holding = bloom.contained_in(parts.select("row"))
-    texts = seeded.select("row", "doc_id", F.encode("text", "utf-8").alias("bytes")).where(holding("row"))
+    texts = chunked.select("row", "doc_id", F.encode("text", "utf-8").alias("bytes")).where(holding("row"))
     text_of = lambda start, size: F.decode(F.substring(F.col("bytes"), start, size), "utf-8")
     return texts.join(parts, "row").select(
         "doc_id",
@@ -99,33 +99,60 @@ def shared_passages(
 
 
 def _hashes(raw: np.ndarray) -> np.ndarray:
-    """The gear hash of the 16 bytes up to each place."""
+    """The gear hash of the 8 bytes up to each place."""
     hashed = _GEAR[raw]
-    for step in (1, 2, 4, 8):  # hash of 1, 2, 4, 8 and then 16 bytes
+    for step in (1, 2, 4):  # hash of 1, 2, 4 and then 8 bytes
         shifted = hashed.copy()
         shifted[step:] += hashed[:-step] << np.uint16(step)
         hashed = shifted
     return hashed
 
 
-def seeds(data: bytes, min_bytes: int) -> tuple[np.ndarray, int]:
-    """Where the seeds of ``data`` begin, and their length: any ``min_bytes`` bytes in a row hold a whole seed, and which
-    ones they hold depends on them alone."""
-    window = min(WINDOW, 1 << (max(1, min_bytes // 2).bit_length() - 1)) if min_bytes >= 2 * _HASHED else 1
-    size = max(1, min_bytes) - window + 1
-    if len(data) < max(1, min_bytes):
-        return np.zeros(0, np.int64), size
-    places = np.arange(len(data) - size + 1)
-    if window == 1:
-        return places, size
-    hashed = _hashes(np.frombuffer(data, np.uint8))[_HASHED - 1 :][: len(places)]
-    least = hashed.astype(np.int64) << 32 | places
+def _sizes(min_bytes: int) -> tuple[int, int]:
+    """Places of a window, and the least length of a chunk: then ``min_bytes`` bytes hold a whole chunk wherever they begin.
+
+    The first boundary is at most the hashed bytes and a window from their beginning, the end of its chunk as much as the
+    least length and another window on.
+    """
+    room = min_bytes - _HASHED
+    window = max(1, room * 2 // 5)
+    return window, room + 1 - 2 * window
+
+
+def _least_places(data: bytes, window: int) -> np.ndarray:
+    """The boundary of the window that begins at each place: the beginning of a character, with the least hash before it."""
+    raw = np.frombuffer(data, np.uint8)
+    if len(raw) < _HASHED + window:
+        return np.zeros(0, np.int64)
+    hashed = _hashes(raw)[_HASHED - 1 : -1].astype(np.int64)
+    inside = (raw[_HASHED:] & 0xC0) == 0x80
+    least = (hashed + (inside.astype(np.int64) << 16)) << 32 | np.arange(_HASHED, len(raw))
     step = 1
-    while step < window:
+    while 2 * step <= window:
         least = np.minimum(least[:-step], least[step:])
         step *= 2
-    marked = least & 0xFFFFFFFF  # never decreases
-    return marked[np.r_[True, marked[1:] != marked[:-1]]], size
+    if step < window:  # two windows of a power of two that overlap
+        least = np.minimum(least[: step - window], least[window - step :])
+    return least & 0xFFFFFFFF  # never decreases
+
+
+def boundaries(data: bytes, min_bytes: int = MIN_BYTES) -> np.ndarray:
+    """Ends of the stretches between boundaries, the end of ``data`` being one."""
+    found = np.unique(_least_places(data, _sizes(min_bytes)[0]))
+    return np.r_[found, len(data)] if data else found
+
+
+def chunks(data: bytes, min_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the chunks of ``data`` begin and end: any ``min_bytes`` bytes in a row hold a whole one, and which
+    ones they hold depends on them alone, but for the bytes beside them that may add some."""
+    if min_bytes < 4 * _HASHED:  # too short for windows: a chunk begins at every place
+        starts = np.arange(max(0, len(data) - max(1, min_bytes) + 1))
+        return starts, starts + max(1, min_bytes)
+    window, least = _sizes(min_bytes)
+    places = _least_places(data, window)
+    starts = np.unique(places)
+    starts = starts[starts + least - _HASHED < len(places)]
+    return starts, places[starts + least - _HASHED]
 
 
 def matched(a: bytes, b: bytes, seeds: list[tuple[int, int]], min_bytes: int) -> list[tuple[int, int, int]]:
@@ -176,32 +203,7 @@ def _common_before(a: bytes, i: int, b: bytes, j: int) -> int:
     return n
 
 
-def boundaries(data: bytes) -> np.ndarray:
-    """Ends of the chunks of ``data``: where the gear hash's leading bits are zero, at least LEAST and at most MOST
-    bytes apart, and never inside a character."""
-    if not data:
-        return np.zeros(0, np.int64)
-    raw = np.frombuffer(data, np.uint8)
-    hashed = _hashes(raw)
-    follows = np.empty(len(raw), bool)  # whether a character begins behind the byte
-    follows[:-1], follows[-1] = (raw[1:] & 0xC0) != 0x80, True
-    natural = np.nonzero((hashed < (1 << (16 - BOUNDARY_BITS))) & follows)[0] + 1
-    ends, last = [], 0
-    for end in [*natural.tolist(), len(raw)]:
-        if end - last < LEAST and end < len(raw):
-            continue
-        while end - last > MOST:
-            last += MOST
-            while not follows[last - 1]:
-                last -= 1
-            ends.append(last)
-        if end > last:
-            ends.append(end)
-            last = end
-    return np.array(ends, np.int64)
-
-
-def _seed_batches(batches, min_bytes: int):
+def _chunk_batches(batches, min_bytes: int):
     from xxhash import xxh64_intdigest
 
     number = TaskContext.get().partitionId() << 33
@@ -209,10 +211,9 @@ def _seed_batches(batches, min_bytes: int):
         digests, starts, offsets = [], [], [0]
         for text in batch.column(1):
             data = text.as_py().encode()
-            places, size = seeds(data, min_bytes)
-            places = places.tolist()
-            digests.extend(xxh64_intdigest(data[at : at + size]) for at in places)
-            starts.extend(places)
+            begins, ends = (at.tolist() for at in chunks(data, min_bytes))
+            digests.extend(xxh64_intdigest(data[a:b]) for a, b in zip(begins, ends))
+            starts.extend(begins)
             offsets.append(len(digests))
         places = pa.array(offsets, pa.int32())
         lists = lambda values: pa.ListArray.from_arrays(places, values)  # noqa: B023, E731
@@ -251,11 +252,15 @@ def _match_batches(batches, min_bytes: int):
 
 def _parts(matches: pa.Table, min_bytes: int) -> pa.Table:
     """The passages of some rows from all their matches."""
+    ids = matches.column("first_doc_id").to_pylist()
+    # Numbers of matches in the order of the rows they were compared with: nulls last.
+    by_id = sorted(range(len(ids)), key=lambda n: (ids[n] is None, ids[n] if ids[n] is not None else 0))
+    matches = matches.take(by_id)
     columns = (matches.column(c).to_pylist() for c in ("row", "start", "end", "source", "kept"))
     of_row: dict[int, list[tuple]] = {}
     for n, (row, *match) in enumerate(zip(*columns)):
         of_row.setdefault(row, []).append((*match, n))
-    found = []
+    found, worth = [], max(1, min_bytes // 4)
     for row, of in of_row.items():
         firsts = _joined((start, end, n) for start, end, _, kept, n in of if kept)
         later = [(start, end, n) for start, end, source, kept, n in of if not kept and source < 0]
@@ -272,10 +277,10 @@ def _parts(matches: pa.Table, min_bytes: int) -> pa.Table:
         for start, end, n in firsts:
             for low, high, _ in later:
                 if low < end and high > start:
-                    if low > start:
+                    if low - start >= worth:
                         found.append((row, start, low - start, True, n))
                     start = max(start, high)
-            if start < end:
+            if end - start >= worth:
                 found.append((row, start, end - start, True, n))
     rows, starts, sizes, kept, of = list(zip(*found)) or [()] * 5
     return pa.table(
@@ -290,12 +295,12 @@ def _parts(matches: pa.Table, min_bytes: int) -> pa.Table:
 
 
 def _joined(ranges) -> list[tuple[int, int, int]]:
-    """Ranges (start, end, n) that overlap or touch as one, with the n of the first."""
+    """Ranges (start, end, n) that overlap or touch as one, with the least n."""
     joined: list[tuple[int, int, int]] = []
     for start, end, n in sorted(ranges):
         if joined and start <= joined[-1][1]:
             low, high, of = joined[-1]
-            joined[-1] = (low, max(high, end), of)
+            joined[-1] = (low, max(high, end), min(of, n))
         else:
             joined.append((start, end, n))
     return joined
