@@ -25,6 +25,7 @@ def spark(tmp_path_factory):
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("OFF")
+    session.sparkContext.environment["PYTHONPATH"] = str(Path(__file__).resolve().parents[1])
     yield session
     session.stop()
 

@@ -6,14 +6,14 @@ import datetime as dt
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from topicstream import storage
 from topicstream.functions.codec import quoted
 from topicstream.options import DEFAULT_PRODUCER
 from topicstream.operators.retention import utc_date
-from topicstream.schema import ARRIVAL_DATE, SHARD_ID
+from topicstream.schema import ARRIVAL_DATE, EVENT_TIME, SHARD_ID
 from topicstream.sources.topics import Topic, list_shards
 
 DEFAULT_COMPRESSION = "zstd"
@@ -40,6 +40,7 @@ def append_topic(
     compact: bool = True,
     max_records_per_file: int | None = None,
     compression: str = DEFAULT_COMPRESSION,
+    write_id: str | None = None,
 ) -> None:
     """Append prepared records (see :func:`topicstream.prepare_records`) in one bounded write.
 
@@ -51,26 +52,54 @@ def append_topic(
     Records that do not have exactly the topic's columns and types raise before anything is written, and a shard that
     is not the topic's fails the write. The producer's folder must not belong to a streaming writer, whose readers
     would not see these files.
+
+    A job that does not know whether an earlier try of its write came through gives both the same ``write_id``: the
+    records are there once, however often and wherever the tries were cut off. They are written aside first; a marker
+    then says that they are whole, and from there on any try only goes on moving the files to their places, under names that
+    follow from the id. What later tries hold is not looked at once the marker is there. Two tries must not run at a time.
     """
     path = topic.producer_path(producer)
     if storage.exists(records.sparkSession, topic.claim_path(producer)):
         raise ValueError(f"producer {producer!r} of topic {topic.name} is written by a stream; use another one")
     records = to_write(records, topic, compact)
     storage.need_microsecond_timestamps(records.sparkSession)
-    (
-        records.write.mode("append")
-        .option("maxRecordsPerFile", file_limit(topic, max_records_per_file))
+    writer = (
+        records.write.option("maxRecordsPerFile", file_limit(topic, max_records_per_file))
         .option("compression", compression)
         .partitionBy(ARRIVAL_DATE, SHARD_ID)
-        .parquet(path)
     )
+    if write_id is None:
+        writer.mode("append").parquet(path)
+    else:
+        _write_once(records.sparkSession, writer, topic, producer, write_id)
+
+
+def _write_once(spark: SparkSession, writer: DataFrameWriter, topic: Topic, producer: str, write_id: str) -> None:
+    if not write_id.strip() or write_id[0] in "_." or set(write_id) & set("/="):
+        raise ValueError(f"not usable as the id of a write: {write_id!r}")
+    aside = storage.join(topic.path, "writes", producer, write_id)
+    staged, whole, done = (storage.join(aside, name) for name in ("staged", "whole", "done"))
+    if storage.exists(spark, done):
+        return
+    if not storage.exists(spark, whole):
+        writer.mode("overwrite").parquet(staged)
+        storage.create_text(spark, whole, write_id)
+    target = topic.producer_path(producer)
+    for file in storage.list_files(spark, staged):
+        folder, _, name = file.rpartition("/")
+        if not name.startswith(("_", ".")):
+            # A file that a try moved is no longer there for the next one.
+            storage.move(spark, storage.join(staged, file), storage.join(target, folder, f"{write_id}-{name}"))
+    storage.create_text(spark, done, write_id)
+    storage.delete(spark, staged)
 
 
 def drop_expired(spark: SparkSession, topic: Topic, as_of: dt.datetime) -> list[str]:
     """Delete the days that ended before the topic's lifecycle up to ``as_of`` began, and return their folders.
 
-    Only of producers that bounded jobs write: a stream's commit log names its files, so it drops them itself
-    (``expire=`` of :func:`topicstream.write_topic`). No job may write or read those days meanwhile.
+    Only of producers that bounded jobs write: a stream's commit log names its files, so it drops them from there
+    (``expire=`` of :func:`topicstream.write_topic`), and :func:`vacuum_topic` deletes what it dropped. No job may write or
+    read those days meanwhile.
     """
     first_kept = utc_date(as_of) - dt.timedelta(days=topic.lifecycle_days)
     dropped = []
@@ -87,6 +116,7 @@ def drop_expired(spark: SparkSession, topic: Topic, as_of: dt.datetime) -> list[
 
 def to_write(records: DataFrame, topic: Topic, compact: bool) -> DataFrame:
     """Records as they are written: checked against the topic, and with ``compact`` the rows of a shard together."""
+    need_event_time(topic)
     if compact and records.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
         raise ValueError("evenly sized files need spark.sql.adaptive.enabled; turn it on or set compact=False")
     wanted = {f.name: f.dataType.simpleString() for f in topic.record_schema}
@@ -102,6 +132,12 @@ def to_write(records: DataFrame, topic: Topic, compact: bool) -> DataFrame:
     return records.hint("rebalance", ARRIVAL_DATE, SHARD_ID) if compact else records
 
 
+def need_event_time(topic: Topic) -> None:
+    """Raise for a topic that records cannot be written to, as it has no column for their own clock."""
+    if EVENT_TIME not in topic.schema.fieldNames():
+        raise ValueError(f"topic {topic.name} has no {EVENT_TIME} column")
+
+
 def file_limit(topic: Topic, max_records_per_file: int | None) -> int:
     if max_records_per_file is None:
         return topic.max_records_per_file
@@ -111,10 +147,13 @@ def file_limit(topic: Topic, max_records_per_file: int | None) -> int:
 
 
 def of_shards(df: DataFrame, topic: Topic, shards: Iterable[str] | None) -> DataFrame:
-    if shards is None:
-        return df
+    return df if shards is None else df.where(F.col(SHARD_ID).isin(wanted_shards(topic, shards)))
+
+
+def wanted_shards(topic: Topic, shards: Iterable[str]) -> list[str]:
+    """The given shards as text; one that the topic does not have raises."""
     wanted = [str(s) for s in shards]
     unknown = sorted(set(wanted) - set(list_shards(topic)))
     if unknown:
         raise ValueError(f"topic {topic.name} has no shards {unknown}")
-    return df.where(F.col(SHARD_ID).isin(wanted))
+    return wanted

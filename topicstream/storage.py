@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import SparkSession
 
@@ -49,10 +49,14 @@ def create_text(spark: SparkSession, path: str, text: str) -> None:
 
 def read_text(spark: SparkSession, path: str) -> str | None:
     """Content of a small file, or None where there is none."""
-    if not exists(spark, path):
+    fs, target = _resolve(spark, path)
+    if not fs.exists(target):
         return None
-    row = spark.read.text(path, wholetext=True).first()
-    return row.value if row else ""
+    stream = fs.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def list_names(spark: SparkSession, path: str) -> list[str]:
@@ -61,6 +65,32 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(entry.getPath().getName() for entry in fs.listStatus(target)) if fs.exists(target) else []
 
 
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Files at any depth below a folder, by their paths from there, in order; nothing for a missing one."""
+    return sorted(name for name, _ in file_times(spark, path))
+
+
+def file_times(spark: SparkSession, path: str) -> Iterator[tuple[str, int]]:
+    """Files at any depth below a folder, by their paths from there, each with the time of its last change in epoch ms."""
+    fs, target = _resolve(spark, path)
+    if not fs.exists(target):
+        return
+    top = fs.getFileStatus(target).getPath().toUri().getPath().rstrip("/") + "/"
+    files = fs.listFiles(target, True)
+    while files.hasNext():
+        status = files.next()
+        yield status.getPath().toUri().getPath().removeprefix(top), status.getModificationTime()
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file to a new path, whose folders are made. Fails where the target exists."""
+    fs, old = _resolve(spark, source)
+    _, new = _resolve(spark, target)
+    fs.mkdirs(new.getParent())
+    if fs.exists(new) or not fs.rename(old, new):
+        raise FileExistsError(f"cannot move {source} to {target}")
+
+
 def size_in_bytes(spark: SparkSession, paths: Iterable[str]) -> int:
     """Bytes that the files hold together."""
     total = 0
