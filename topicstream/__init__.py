@@ -36,11 +36,17 @@ from topicstream.sources.records import prepare_records
 from topicstream.sources.topics import (
     Topic,
     add_producer,
+    alter_topic,
     create_topic,
     describe_topic,
     list_shards,
     open_topic,
     shards_frame,
+    topic_versions,
 )
+from topicstream.streaming.batches import number_batches
+from topicstream.streaming.gauges import read_gauges, start_gauges
+from topicstream.streaming.records import drain, read_topic_records
 from topicstream.streaming.sink import write_topic
 from topicstream.streaming.source import read_topic
+from topicstream.streaming.vacuum import vacuum_topic

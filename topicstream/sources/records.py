@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from topicstream.functions.codec import attributes_or_none, encode_payload, field_aliases, quoted
 from topicstream.operators.routing import Selector, place
 from topicstream.operators.retention import utc_day
-from topicstream.schema import ARRIVAL_DATE, EVENT_TIME, SHARD_ID, SYSTEM_TIME, TopicDef
+from topicstream.schema import ARRIVAL_DATE, SHARD_ID, SYSTEM_TIME, TopicDef
+from topicstream.sources.bounded import need_event_time
 from topicstream.sources.topics import Topic, list_shards
 
 
@@ -34,8 +35,7 @@ def prepare_records(
     All of it is one narrow projection. The day of the arrival, in UTC, is a folder level of the topic; a record
     without an arrival time has none.
     """
-    if EVENT_TIME not in topic.schema.fieldNames():
-        raise ValueError(f"topic {topic.name} has no {EVENT_TIME} column")
+    need_event_time(topic)
     names = [c for c in df.columns if c not in set(carry)]
     alias = {c: c for c in names} if definition is None else field_aliases(names, definition)
     columns = {alias[c]: F.col(quoted(c)) for c in names}

@@ -3,7 +3,8 @@
 Layout under the root, on any file system Spark can reach::
 
     <root>/<project>/<topic>/descriptor/                          one JSON row
-    <root>/<project>/<topic>/producers/<n>-<producer>             one that was added later
+    <root>/<project>/<topic>/producers/<n>                        names one that was added later
+    <root>/<project>/<topic>/versions/<n>                         columns since a change, see alter_topic
     <root>/<project>/<topic>/data/<producer>/arrival_date=<day>/shard_id=<k>/*.parquet
     <root>/<project>/<topic>/streams/<producer>                   checkpoint of the stream that writes it, if one does
     <root>/_subscriptions/<project>/<topic>/<subscription>/       streaming checkpoint
@@ -31,6 +32,7 @@ from topicstream.schema import (
     ARRIVAL_DATE,
     ATTRIBUTES,
     DEFAULT_LIFECYCLE_DAYS,
+    EVENT_TIME,
     SHARD_ID,
     SYSTEM_TIME,
     TopicDef,
@@ -167,7 +169,10 @@ def open_topic(spark: SparkSession, root: str, project: str, name: str) -> Topic
     if not storage.exists(spark, descriptor):
         raise ValueError(f"topic {project}/{name} does not exist under {root}")
     row = spark.read.schema(_DESCRIPTOR).json(descriptor).first()
-    added = storage.list_names(spark, storage.join(topic_path(root, project, name), "producers"))
+    added = _numbered(spark, storage.join(topic_path(root, project, name), "producers"))
+    # Before there were plain numbers, the file's name held the producer's.
+    added = [number.partition("-")[2] or content for number, content in added]
+    versions = _numbered(spark, storage.join(topic_path(root, project, name), "versions"))
     return Topic(
         root=root,
         project=project,
@@ -175,8 +180,8 @@ def open_topic(spark: SparkSession, root: str, project: str, name: str) -> Topic
         shard_num=row.shard_num,
         lifecycle_days=row.lifecycle_days,
         comment=row.comment,
-        schema=T.StructType.fromJson(json.loads(row.schema)),
-        producers=(*row.producers, *(entry.partition("-")[2] for entry in added)),
+        schema=T.StructType.fromJson(json.loads(versions[-1][1] if versions else row.schema)),
+        producers=(*row.producers, *added),
         max_records_per_file=row.max_records_per_file,
     )
 
@@ -188,12 +193,52 @@ def add_producer(spark: SparkSession, topic: Topic, producer: str) -> Topic:
         raise ValueError(f"topic {topic.name} has a producer {producer!r} already")
     _check_names([producer])
     storage.make_dir(spark, storage.join(now.path, "data", producer))
-    # The number keeps the order. Of two jobs that add one at the same time, the second finds its file taken and fails.
-    taken = len(storage.list_names(spark, storage.join(now.path, "producers")))
-    storage.create_text(spark, storage.join(now.path, "producers", f"{taken:06d}-{producer}"), producer)
+    _add_numbered(spark, storage.join(now.path, "producers"), producer)
     return open_topic(spark, topic.root, topic.project, topic.name)
 
 
+def alter_topic(spark: SparkSession, topic: Topic, definition: TopicDef) -> Topic:
+    """Give a topic the columns of a new declaration from now on, and return it as it is then.
+
+    Every record keeps the columns it was written with. Who reads the topic as it is now gets them by name: null where a
+    record is older than the column, and without those that are gone. A column keeps its type for good, also one that
+    was gone and comes back, so no file ever disagrees with a reader. Jobs that have the topic open go on with
+    the columns they know. Shards, name and the event time stay.
+    """
+    if (definition.name, definition.shard_num) != (topic.name, topic.shard_num):
+        raise ValueError(f"topic {topic.name} keeps its name and its {topic.shard_num} shards")
+    now = open_topic(spark, topic.root, topic.project, topic.name)
+    schema = definition.to_struct(EVENT_TIME in now.schema.fieldNames())
+    clash = sorted(_RESERVED & set(schema.fieldNames()))
+    if clash:
+        raise ValueError(f"topic {definition.name} declares reserved columns {clash}")
+    known = {f.name: f.dataType for version in topic_versions(spark, now) for f in version}
+    other = [f"{f.name} {type_name(known[f.name])}" for f in schema if known.get(f.name, f.dataType) != f.dataType]
+    if other:
+        raise ValueError(f"columns of topic {topic.name} keep their types: {other}")
+    _add_numbered(spark, storage.join(now.path, "versions"), schema.json())
+    return open_topic(spark, topic.root, topic.project, topic.name)
+
+
+def topic_versions(spark: SparkSession, topic: Topic) -> list[T.StructType]:
+    """The columns a topic has had, from its creation to now."""
+    row = spark.read.schema(_DESCRIPTOR).json(storage.join(topic.path, "descriptor")).first()
+    later = [content for _, content in _numbered(spark, storage.join(topic.path, "versions"))]
+    return [T.StructType.fromJson(json.loads(text)) for text in (row.schema, *later)]
+
+
+def _numbered(spark: SparkSession, folder: str) -> list[tuple[str, str]]:
+    """Small files named by numbers, in their order, with what they hold."""
+    names = storage.list_names(spark, folder)
+    return [(name, storage.read_text(spark, storage.join(folder, name)) or "") for name in names]
+
+
+def _add_numbered(spark: SparkSession, folder: str, text: str) -> None:
+    # The number alone is the name: of two jobs that add at the same time, the second finds it taken and fails.
+    taken = len(storage.list_names(spark, folder))
+    storage.create_text(spark, storage.join(folder, f"{taken:06d}"), text)
+
+
 def _check_names(names: Sequence[str]) -> None:
     bad = [n for n in names if not n.strip() or n[0] in "_." or set(n) & set("/=")]
     if bad:

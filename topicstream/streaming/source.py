@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from topicstream import storage
 from topicstream.options import COMMIT_INTERVAL_SECONDS
-from topicstream.sources.bounded import of_shards
+from topicstream.schema import ARRIVAL_DATE, SHARD_ID
+from topicstream.sources.bounded import of_shards, wanted_shards
 from topicstream.sources.topics import Topic
 
 # Spark ignores files this much older than the newest one it has seen, by default a week. No file of a topic is too old:
@@ -44,6 +45,7 @@ def read_topic(
     many task slots to reckon with, by default those the session has now; set it where executors come and go.
     """
     limits: dict[str, int] = {}
+    wanted = None if shards is None else wanted_shards(topic, shards)
     if rate is not None:
         limits = bytes_per_trigger(spark, topic, records_per_trigger(spark, rate, interval_seconds, slots))
     parts = []
@@ -52,7 +54,13 @@ def read_topic(
         reader = spark.readStream.schema(topic.record_schema).option("maxFileAge", _MAX_FILE_AGE)
         if limits:
             reader = reader.option("maxBytesPerTrigger", limits[producer])
-        parts.append(reader.parquet(topic.producer_path(producer)))
+        path = topic.producer_path(producer)
+        # Only folders of the wanted shards are listed, admitted and remembered. A streamed producer's files are known from
+        # its commit log, which is of all shards.
+        if wanted and not storage.exists(spark, topic.claim_path(producer)):
+            reader = reader.option("basePath", path)
+            path = storage.join(path, f"{ARRIVAL_DATE}=*", f"{SHARD_ID}={{{','.join(wanted)}}}")
+        parts.append(reader.parquet(path))
     return of_shards(reduce(DataFrame.unionByName, parts), topic, shards)
 
 
