@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -34,7 +35,10 @@ from topicstream.plans.staging import BY_NAME, EVENT_IN, checked_transfer, event
 from topicstream.schema import BIGINT, DOUBLE, EVENT_TIME, SHARD_ID, STRING, SYSTEM_TIME, FieldDef, TopicDef
 from topicstream.sources.bounded import append_topic, read_topic_batch
 from topicstream.sources.records import prepare_records
-from topicstream.sources.topics import Topic, create_topic, describe_topic, list_shards, shards_frame
+from topicstream.sources.topics import Topic, alter_topic, create_topic, describe_topic, list_shards, shards_frame
+from topicstream.streaming.batches import number_batches
+from topicstream.streaming.gauges import read_gauges, start_gauges
+from topicstream.streaming.records import drain, read_topic_records
 from topicstream.streaming.sink import write_topic
 from topicstream.streaming.source import read_topic, records_per_trigger
 
@@ -163,7 +167,27 @@ def shard_subset_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_EVENTS} SELECT seq, name, money FROM e")
 def rate_limited_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A drain in which no trigger reads more than its share, set here to about a quarter of the table."""
+    """A stream of which no trigger reads more records than its share, about a quarter of the table: files are cut."""
+    source = staged_events(spark, sf_dir)
+    slots = spark.sparkContext.defaultParallelism
+    rate = read_topic_batch(spark, source).count() // (4 * slots) + 1
+    limit = records_per_trigger(spark, rate, 1)
+    subscription = f"limited-{uuid.uuid4().hex}"
+    columns = ["seq", "name", "money"]
+    stream = read_topic_records(spark, source, subscription, rate=rate, interval_seconds=1, columns=columns)
+    out = storage.join(storage.scratch_dir(spark, "drain"), "out")
+    writer = stream.writeStream.format("parquet").option("path", out)
+    running = writer.option("checkpointLocation", source.subscription_path(subscription)).start()
+    drain(running)
+    for progress in running.recentProgress:
+        if progress["numInputRows"] > limit:
+            raise AssertionError(f"a trigger read {progress['numInputRows']} records, allowed are {limit}")
+    return spark.read.schema(stream.schema).parquet(out)
+
+
+@query(f"WITH {_EVENTS} SELECT seq, name, money FROM e")
+def rate_by_bytes_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with whole files, admitted by their bytes."""
     rows = event_rows(spark, sf_dir)
     total = rows.count()
     slots = spark.sparkContext.defaultParallelism
@@ -174,7 +198,6 @@ def rate_limited_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = storage.scratch_dir(spark, "drain")
     out = storage.join(scratch, "out")
     stream = read_topic(spark, source, rate=rate, interval_seconds=1).select("seq", "name", "money")
-    # Whole files are admitted, by their bytes.
     _drain(stream, out, storage.join(scratch, "checkpoint"), limit + source.max_records_per_file)
     return spark.read.schema(stream.schema).parquet(out)
 
@@ -247,6 +270,22 @@ def read_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("seq", attribute(BIZ_KEY).alias("biz_key"), attribute("absent").alias("absent"))
 
 
+@query(f"""WITH {_EVENTS} SELECT seq, name, CASE WHEN event_type = 'error' THEN k END AS k FROM e""")
+def decode_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of two versions of a topic, read as one: error events were written after it got a column."""
+    fields = (FieldDef("seq", BIGINT), FieldDef("name", STRING))
+    first = TopicDef("versions", 4, "events", fields)
+    second = TopicDef("versions", 4, "events", (*fields, FieldDef("k", BIGINT, "since the second version")))
+    created = create_topic(spark, storage.scratch_dir(spark, "topics"), staging.PROJECT, first)
+    rows = event_rows(spark, sf_dir)
+    late = F.col("event_type") == "error"
+    append_topic(prepare_records(rows.where(~late).select("seq", "name"), created, BY_NAME), created)
+    altered = alter_topic(spark, created, second)
+    k = decode_json(F.col("payload"), "k bigint")["k"].alias("k")
+    append_topic(prepare_records(rows.where(late).select("seq", "name", k), altered, BY_NAME), altered)
+    return _drained(spark, decode_record(read_topic(spark, altered), second))
+
+
 # --- user map and the whole job ---
 
 
@@ -273,6 +312,14 @@ def map_rows_python(spark: SparkSession, sf_dir: str) -> DataFrame:
     return map_rows(rows, change, "seq bigint, name string, money double, create_time bigint")
 
 
+@query(f"WITH {_EVENTS} SELECT seq, money * 3 AS money FROM e")
+def map_rows_resource(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row map with something that each task opens once."""
+    rows = event_rows(spark, sf_dir).select("seq", "money")
+    triple = lambda rates, batch: batch.assign(money=batch["money"] * rates["money"])
+    return map_rows(rows, triple, "seq bigint, money double", open=lambda: {"money": 3}, close=dict.clear)
+
+
 _REPORT_SQL = f"""WITH {_EVENTS}
     SELECT shard, count(*) AS n, max(create_ms) * 1000 AS max_event_us, CAST(sum(k) AS BIGINT) AS sum_k
     FROM e WHERE event_type <> 'error' GROUP BY shard"""
@@ -497,17 +544,29 @@ def batch_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("""SELECT l_orderkey, l_linenumber,
-        (row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) - 1) // 2 AS batch_no
-    FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)""")
-def batch_chunks_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sends of two order lines, with every order a shard in which the line numbers start over.
+@query("""SELECT o_custkey, o_orderkey,
+        (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // 2 AS batch_no
+    FROM orders""")
+def batch_chunks_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sends of two orders, with every customer a shard and the orders' own numbers as their arrival."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey")
+    sharded = orders.withColumn(SHARD_ID, F.col("o_custkey").cast("string"))
+    return assign_batches(sharded, 2, order_by="o_orderkey").drop(SHARD_ID)
 
-    Some lines of the table repeat an order's number; a number that repeats gives no order, so each is sent once.
-    """
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber").distinct()
-    sharded = lines.withColumn(SHARD_ID, F.col("l_orderkey").cast("string"))
-    return assign_batches(sharded, 2, order_by="l_linenumber").drop(SHARD_ID)
+
+@query(f"""WITH {_EVENTS} SELECT shard, seq, (row_number() OVER (PARTITION BY shard ORDER BY seq) - 1) // 128 AS batch_no FROM e""")
+def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sends of a stream: events arrive in three parts, each numbered by a run of its own that goes on from the last."""
+    source = staging.new_input_topic(spark)
+    rows = event_rows(spark, sf_dir)
+    cuts = rows.agg(F.percentile_approx("seq", [1 / 3, 2 / 3])).first()[0] or [0, 0]
+    late = (F.col("seq") > cuts[0]).cast("int") + (F.col("seq") > cuts[1]).cast("int")
+    out, checkpoint = storage.join(source.root, "numbered"), storage.join(source.root, "_numbering")
+    for part in range(3):
+        append_topic(staging.input_records(rows.where(late == part), source), source)
+        _drain(number_batches(read_topic(spark, source).select("seq", SHARD_ID), 128), out, checkpoint)
+    numbered = spark.read.schema(f"seq bigint, {SHARD_ID} string, batch_no bigint").parquet(out)
+    return numbered.select(_shard(), "seq", "batch_no")
 
 
 @query("""SELECT l_orderkey, l_linenumber,
@@ -605,6 +664,24 @@ def delay_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delay_by_shard(records, as_of, "seq").select(_shard(), "delay")
 
 
+@query(f"""WITH {_EVENTS} SELECT shard, count(*) AS records,
+        epoch_ms(TIMESTAMP '2024-01-31 00:00:00') - max_by(system_us // 1000, seq) AS delay
+    FROM e GROUP BY shard""")
+def stream_metrics_by_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counter and lag of each shard as a running query keeps them, over three runs of several triggers."""
+    source = staging.new_input_topic(spark)
+    rows = event_rows(spark, sf_dir)
+    path, checkpoint = storage.join(source.root, "gauges"), storage.join(source.root, "_gauges")
+    for kinds in (["click"], ["view", "purchase"], None):
+        seen = F.col("event_type").isin("click", "view", "purchase")
+        part = rows.where(F.col("event_type").isin(kinds) if kinds else ~seen)
+        append_topic(staging.input_records(part, source), source)
+        stream = read_topic(spark, source)
+        start_gauges(stream, path, checkpoint=checkpoint, order_by="seq", available_now=True).awaitTermination()
+    as_of = F.timestamp_millis(F.lit(int(AS_OF.timestamp() * 1000)))
+    return read_gauges(spark, path, as_of).select(_shard(), "records", "delay")
+
+
 @query(f"""WITH {_EVENTS} SELECT count(*) AS records_in, max(system_us // 1000) AS last_system_ms,
     count(*) FILTER (event_type <> 'error') AS records_out FROM e""")
 def transfer_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:

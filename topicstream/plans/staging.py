@@ -61,7 +61,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def in_utc(zoneless: Column) -> Column:
     """The instant of a zone-less timestamp of the tables, which are meant as UTC, whatever the session's zone is."""
-    return F.to_timestamp_ltz(F.concat(zoneless.cast("string"), F.lit("+00:00")))
+    minutes = F.unix_date(zoneless.cast("date")).cast("bigint") * 1440 + F.hour(zoneless) * 60 + F.minute(zoneless)
+    seconds = F.extract(F.lit("SECOND"), zoneless)
+    return F.timestamp_micros(minutes * 60_000_000 + (seconds * 1_000_000).cast("bigint"))
 
 
 def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

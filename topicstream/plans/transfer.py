@@ -16,6 +16,7 @@ from topicstream.schema import SYSTEM_TIME, TopicDef
 from topicstream.sources.bounded import append_topic, read_topic_batch
 from topicstream.sources.records import prepare_records
 from topicstream.sources.topics import Topic, open_topic
+from topicstream.streaming.records import read_topic_records
 from topicstream.streaming.sink import write_topic
 from topicstream.streaming.source import read_topic, shortest_interval
 
@@ -68,12 +69,14 @@ def start_transfer(
     interval_seconds: float = COMMIT_INTERVAL_SECONDS,
     slots: int | None = None,
     available_now: bool = False,
+    exact_rate: bool = False,
     **writing,
 ) -> StreamingQuery:
     """Start the job as a stream under the source's subscription, with metrics, and return the running query.
 
     With ``sink.batchEnable`` it commits every ``interval_seconds``, without it as often as the rate lets it read a
-    file. ``writing`` is passed on to :func:`topicstream.write_topic`.
+    file. The rate is kept by the bytes of whole files, or with ``exact_rate`` by records
+    (see :func:`topicstream.read_topic_records`). ``writing`` is passed on to :func:`topicstream.write_topic`.
     """
     source, sink = source_options(props), sink_options(props)
     source_topic = open_topic(spark, source.root, source.project, source.topic)
@@ -82,7 +85,11 @@ def start_transfer(
     rate = min(source.rate, sink.rate or source.rate)
     if not sink.batch_enable:
         interval_seconds = shortest_interval(spark, source_topic, rate, slots)
-    stream = read_topic(spark, source_topic, rate=rate, interval_seconds=interval_seconds, slots=slots)
+    reading = {"rate": rate, "interval_seconds": interval_seconds, "slots": slots}
+    if exact_rate:
+        stream = read_topic_records(spark, source_topic, source.subscription, **reading)
+    else:
+        stream = read_topic(spark, source_topic, **reading)
     records = transfer.records(with_source_metrics(stream), sink_topic)
     return write_topic(
         with_sink_metrics(records),
