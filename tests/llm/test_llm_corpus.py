@@ -408,6 +408,60 @@ def test_url_query(spark):
         assert row.verdict == verdict if rule else row.verdict in ("allow", "block")
 
 
+def test_equal_base_rates_are_reached_by_newton_steps(make_docs, monkeypatch):
+    """The dual is solved from multipliers of 0; the closed form of equal base rates is only what it must come to."""
+    steps = []
+    real = mixing.written
+    monkeypatch.setattr(mixing, "written", lambda df, name: (steps.append(name), real(df, name))[1])
+    docs = make_docs([(i, "x", "ab"[i % 5 == 0]) for i in range(500)]).withColumn("size", F.col("doc_id") % 37)
+    rates = {r.source: (r.rate, r.target / r.source_size) for r in mixing.mix(docs).collect()}
+    assert steps.count("mix-dual") > 3
+    for rate, wanted in rates.values():
+        assert rate == pytest.approx(wanted, rel=1e-9)
+
+
+def test_url_rules_are_those_of_brute_force(spark):
+    """All sets of tokens with enough bad pages and confidence, of which no part is one, on pages with odd URLs among them."""
+    rng = random.Random(12)
+    words = ["win", "bets", "news", "shop", "blog", "a"]
+    rows = [(None, True), ("", False), ("no scheme", True), ("http://", False), ("x://y/" + "long/" * 5000, True)]
+    for _ in range(260):
+        url = f"http://{rng.choice(words)}.example.com/{rng.choice(words)}/{rng.choice(words)}?q={rng.randrange(9)}"
+        rows += [(url, rng.random() < (0.9 if "win" in url else 0.3))] * rng.choice([1, 1, 2])
+    frame = spark.createDataFrame([(*r, "x") for r in rows], "url string, bad boolean, tokens string")
+    mined = url_filters.mine(frame, min_confidence=0.6, min_pages=12)
+    given = [(frozenset(r.t), r.bad) for r in frame.select(url_filters.tokens_of(F.col("url")).alias("t"), "bad").collect()]
+    bad = [tokens for tokens, is_bad in given if is_bad]
+    # Of tokens that the same bad pages hold the rarest stands for all.
+    by_pages = defaultdict(list)
+    for token in set().union(*bad):
+        by_pages[tuple(i for i, t in enumerate(bad) if token in t)].append(token)
+    rarest = lambda tokens: min(tokens, key=lambda x: (sum(x in t for t, _ in given), x))
+    units = {frozenset([rarest(tokens)]) for pages, tokens in by_pages.items() if len(pages) >= 12}
+    sets, front = set(), set(units)
+    while front:
+        sets |= front
+        front = {a | b for a in front for b in units if sum((a | b) <= t for t in bad) >= 12} - sets
+    passed = {s for s in sets if sum(s <= t for t in bad) >= 0.6 * sum(s <= t for t, _ in given)}
+    expected = {s for s in passed if not any(other < s for other in passed)}
+    assert expected and {frozenset(s) for s in mined.sets} == expected
+
+
+def test_url_rules_of_deep_paths(spark):
+    """Tokens that always come together do not double the combinations."""
+    deep = "/".join(f"part{chr(97 + i)}" for i in range(14))
+    rows = [(f"http://casino.example.com/{deep}/{i}", True) for i in range(60)]
+    rows += [(f"http://news.example.com/{deep[:20]}/{i}", False) for i in range(60)]
+    mined = url_filters.mine(spark.createDataFrame(rows, "url string, bad boolean"))
+    assert mined.sets == (("host=casino",),)
+    # Twenty bad pages make a rule in a table of any size.
+    many = spark.createDataFrame(rows[:20], "url string, bad boolean").union(
+        spark.range(30_000).selectExpr("concat('http://ok', id % 50, '.example.com/', id)", "false")
+    )
+    assert url_filters.mine(many).sets == (("host=casino",),)
+
+
+
 # Fingerprints
 
 

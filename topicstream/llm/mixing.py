@@ -134,13 +134,13 @@ def _targets(cells: DataFrame, weights: tuple, share: float) -> DataFrame:
 
 
 def _multipliers(cells: DataFrame, targets: DataFrame) -> DataFrame:
-    """Newton steps on the dual, all sources at once; starts at the solution for equal base rates."""
+    """Newton steps on the dual, all sources at once, from multipliers of 0: every document at its base rate."""
     part = F.col("target") / F.nullif(MOST * F.col("source_size"), F.lit(0))
     start = (
         F.when(F.col("source_size") == 0, F.lit(0.0))
         .when(part >= 1 - 1e-12, F.lit(float("inf")))
         .when(part <= 0, F.lit(-700.0))
-        .otherwise(F.log(part / (1 - part)))
+        .otherwise(F.lit(0.0))
     )
     state = written(targets.withColumn("multiplier", start), "mix-dual")
     for _ in range(60):
