@@ -28,7 +28,30 @@ def contained_in(keys: DataFrame, max_bytes: int = MAX_BYTES):
     return _test(keys, "once", max_bytes)
 
 
+def tester(keys: DataFrame, max_bytes: int = MAX_BYTES):
+    """What :func:`contained_in` tells of a column, for an array of keys inside a task."""
+    shared, size = _shared_bits(keys, "once", max_bytes)
+
+    def passes(keys: np.ndarray) -> np.ndarray:
+        places, bits = _places(keys, size), shared.value
+        return ((bits[places >> 3] >> (places & 7)) & 1).all(axis=0).astype(bool)
+
+    return passes
+
+
 def _test(keys: DataFrame, which: str, max_bytes: int):
+    shared, size = _shared_bits(keys, which, max_bytes)
+
+    @F.pandas_udf("boolean")
+    def passes(keys: pd.Series) -> pd.Series:
+        places, bits = _places(keys.to_numpy(np.int64), size), shared.value
+        return pd.Series(((bits[places >> 3] >> (places & 7)) & 1).all(axis=0).astype(bool))
+
+    return passes
+
+
+def _shared_bits(keys: DataFrame, which: str, max_bytes: int):
+    """The filter's bits, broadcast, and how many bytes they are."""
     spark = keys.sparkSession
     n = max(1, keys.count())
     # A power of two bytes with 16 bits a key, up to the bound. Past the bound more keys pass than need to.
@@ -40,14 +63,7 @@ def _test(keys: DataFrame, which: str, max_bytes: int):
     bits = np.zeros(size, np.uint8)
     for row in merged.collect():  # as many bytes as the filter
         bits[row.block * _BLOCK : (row.block + 1) * _BLOCK] = np.frombuffer(row.bits, np.uint8)
-    shared = spark.sparkContext.broadcast(bits)
-
-    @F.pandas_udf("boolean")
-    def passes(keys: pd.Series) -> pd.Series:
-        places, bits = _places(keys.to_numpy(np.int64), size), shared.value
-        return pd.Series(((bits[places >> 3] >> (places & 7)) & 1).all(axis=0).astype(bool))
-
-    return passes
+    return spark.sparkContext.broadcast(bits), size
 
 
 def _places(keys: np.ndarray, size: int) -> np.ndarray:

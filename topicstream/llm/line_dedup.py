@@ -4,7 +4,8 @@ Two lines within t edits share one of any t + 1 segments of the shorter one, mov
 indexed by its segments, each under the line's length and the segment's number, and every line probes for the segments
 that shorter or equally long lines would have, at the few places where edits may have moved them (after Li et al. 2012).
 
-1. Equal lines are one from here on. Keys that only one line has drop out by a Bloom filter before anything is shuffled.
+1. Equal lines are one from here on. Keys that only one line has, or that lines probe for and none owns, drop out by Bloom
+   filters before anything is shuffled.
 2. Lines with a key in common, one of which has it as its own segment, are verified by a banded bit-parallel edit distance.
    No two lines are tied before that, so what is tied is linked.
 3. A key that more than ``BLOCK`` lines have is worked off without comparing all of them: with the first line of the key
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -53,14 +55,12 @@ def near_lines(
     """
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text_or_empty(text_col).alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
-    lines = written(rows.mapInArrow(_line_batches, f"at long, doc_id {kind}, line int, node binary, text string"), "lines")
+    schema = f"at long, doc_id {kind}, line int, node binary, text string, segments array<long>"
+    lines = written(rows.mapInArrow(lambda b: _line_batches(b, edits, chars_per_edit), schema), "lines")
     order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "line", "at")
-    ones = lines.groupBy("node").agg(F.min(order).alias("first"), F.any_value("text").alias("text"))
-    ones = ones.select("node", "first", F.col("first.at").alias("at"), "text")
-    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ones.schema)
-    schema = f"{columns}, segments array<long>, probes array<long>"
-    nodes = written(ones.mapInArrow(lambda b: _with_keys(b, edits, chars_per_edit), schema), "line-nodes")
-    links = _all_links(nodes, edits, chars_per_edit)
+    nodes = lines.groupBy("node").agg(F.min(order).alias("first"))
+    nodes = written(nodes.select("node", "first", F.col("first.at").alias("at")), "line-nodes")
+    links = _all_links(lines, nodes.select("at"), edits, chars_per_edit)
     linked = components(links, "line-links").withColumnRenamed("node", "at")
 
     reached = written(nodes.select("node", "first", "at").join(linked, "at", "left"), "line-reached")
@@ -129,6 +129,14 @@ def keys(text: str, edits: int, chars_per_edit: int) -> tuple[list[int], list[in
     return own, probes
 
 
+def own_keys(text: str, edits: int, chars_per_edit: int) -> list[int]:
+    """Keys of the line's own segments alone."""
+    t, seed = allowed(len(text), edits, chars_per_edit), len(text) * 64
+    if not t:
+        return []
+    return [_key(text[at : at + size], seed + i) for i, (at, size) in enumerate(segments(len(text), t + 1))]
+
+
 def finer_keys(
     text: str, edits: int, chars_per_edit: int, shared: set[int], depth: int
 ) -> tuple[list[int], list[int], list[int]]:
@@ -211,16 +219,25 @@ def within(a: str, b: str, edits: int) -> bool:
     return bool(states[edits] >> (len(a) - len(b) + edits) & 1)
 
 
-def _all_links(ones: DataFrame, edits: int, chars_per_edit: int) -> DataFrame:
-    """Links (a, b) that connect what pairwise comparison of all lines would connect."""
-    texts = ones.select("at", "text")
-    entries = F.concat(F.transform("segments", lambda k: _entry(k, True)), F.transform("probes", lambda k: _entry(k, False)))
-    keyed = ones.select("at", F.explode(F.array_distinct(entries)).alias("e")).select("at", "e.*", F.lit(False).alias("last"))
-    # Most keys that two lines probe for are no line's own segment.
-    owned = bloom.contained_in(ones.select(F.explode("segments").alias("key")))
-    keyed = keyed.where(F.col("own") | owned("key"))
-    again = bloom.repeated_in(keyed.select("key"))
-    keyed = written(keyed.where(again("key")), "line-keys")
+def _all_links(lines: DataFrame, ones: DataFrame, edits: int, chars_per_edit: int) -> DataFrame:
+    """Links (a, b) that connect what pairwise comparison of the lines ``ones`` (at) would connect.
+
+    Texts are shuffled only of lines that share a key with another.
+    """
+    one = bloom.contained_in(ones)  # a few other lines pass; they drop out when keys are joined
+    first_ones = lines.where(one("at"))
+    own = first_ones.select("at", F.explode("segments").alias("key"))
+    owned = bloom.tester(own.select("key"))
+    probes = first_ones.select("at", "text").mapInArrow(
+        lambda b: _probes(b, edits, chars_per_edit, owned), "at long, key long"
+    )
+    probes = written(probes, "line-probes")
+    probed, again = bloom.contained_in(probes.select("key")), bloom.repeated_in(own.select("key"))
+    own = own.where(again("key") | probed("key")).select("at", "key", F.lit(True).alias("own"))
+    keyed = own.union(probes.select("at", "key", F.lit(False).alias("own"))).distinct().join(ones, "at")
+    keyed = written(keyed.select("at", "key", "own", F.lit(False).alias("last")), "line-keys")
+    wanted = bloom.contained_in(keyed.select("at"))
+    texts = written(lines.where(wanted("at")).select("at", "text"), "line-texts")
     found: list[DataFrame] = []
     shared: DataFrame | None = None
     depth = 0
@@ -256,10 +273,6 @@ def _all_links(ones: DataFrame, edits: int, chars_per_edit: int) -> DataFrame:
     return links
 
 
-def _entry(key, own: bool):
-    return F.struct(key.alias("key"), F.lit(own).alias("own"))
-
-
 def _around_first(rows: DataFrame, texts: DataFrame, edits: int, chars_per_edit: int, found: list[DataFrame]) -> DataFrame:
     """Compare the lines of large groups with the first of their group, and add the links to ``found``.
 
@@ -361,7 +374,7 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
 
 
-def _line_batches(batches):
+def _line_batches(batches, edits: int, chars_per_edit: int):
     from hashlib import md5
 
     number = TaskContext.get().partitionId() << 33
@@ -370,7 +383,8 @@ def _line_batches(batches):
         for row, text in enumerate(batch.column(1)):
             for line, part in enumerate(text.as_py().split("\n")):
                 if part and not part.isspace():
-                    rows.append((number, row, line, md5(part.encode()).digest(), part))
+                    own = own_keys(part, edits, chars_per_edit)
+                    rows.append((number, row, line, md5(part.encode()).digest(), part, own))
                     number += 1
             if len(rows) >= _FLUSH:
                 yield _lines(rows, batch.column(0))
@@ -380,23 +394,28 @@ def _line_batches(batches):
 
 
 def _lines(rows: list[tuple], ids: pa.Array) -> pa.RecordBatch:
-    at, row, line, node, text = zip(*rows)
+    at, row, line, node, text, own = zip(*rows)
     columns = [
         pa.array(at, pa.int64()),
         ids.take(pa.array(row, pa.int64())),
         pa.array(line, pa.int32()),
         pa.array(node, pa.binary()),
         pa.array(text, pa.string()),
+        pa.array(own, pa.list_(pa.int64())),
     ]
-    return pa.RecordBatch.from_arrays(columns, ["at", "doc_id", "line", "node", "text"])
+    return pa.RecordBatch.from_arrays(columns, ["at", "doc_id", "line", "node", "text", "segments"])
 
 
-def _with_keys(batches, edits: int, chars_per_edit: int):
+def _probes(batches, edits: int, chars_per_edit: int, owned):
+    """The probing keys of lines that some line has as its own."""
     for batch in batches:
-        both = ([], [0]), ([], [0])
-        for text in batch.column(3).to_pylist():
-            for (values, ends), new in zip(both, keys(text, edits, chars_per_edit)):
-                values.extend(new)
-                ends.append(len(values))
-        lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int64())) for values, ends in both]
-        yield pa.RecordBatch.from_arrays([*batch.columns, *lists], [*batch.schema.names, "segments", "probes"])
+        found: list[int] = []
+        counts = []
+        for text in batch.column(1).to_pylist():
+            probes = keys(text, edits, chars_per_edit)[1]
+            found += probes
+            counts.append(len(probes))
+        values = np.array(found, np.int64)
+        kept = owned(values)
+        ats = np.repeat(batch.column(0).to_numpy(), counts)
+        yield pa.RecordBatch.from_arrays([pa.array(ats[kept]), pa.array(values[kept])], ["at", "key"])
