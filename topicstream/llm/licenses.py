@@ -1,12 +1,14 @@
 """Licence scans by a positional index of rare words.
 
-The index holds, for every word that few licence notices share, where it stands in which notice. The rare words of a text
-vote for (notice, shift) pairs; pairs with enough votes at one shift are notices that may stand there, and are verified
-by the key phrases that the notice must have in place. All of it happens within the row, so nothing is shuffled.
+The templates are notices and whole licence texts. A word's inverse document frequency is that over the templates; the
+index holds, for every word with a high one, where it stands in which template. Those of them that a text holds
+vote for (template, shift) pairs; pairs with enough votes at one shift are templates that may stand there, and are verified
+by the key phrases that the template must have in place. All of it happens within the row, so nothing is shuffled.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -46,8 +48,101 @@ NOTICES = (
     ("unlicense", "this is free and unencumbered software released into the public domain", ("unencumbered software",)),
     ("proprietary", "all rights reserved", ("all rights reserved",)),
 )
-RARE = 2  # words that at most so many notices share are indexed
-VOTES = 2  # rare words that must agree on a shift; fewer if the notice's key phrases hold fewer
+#: Texts of public licences, from the sentence on that all copies have, with label and key phrases.
+TEXTS = (
+    (
+        "mit",
+        """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+        documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
+        rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
+        persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice
+        and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS
+        PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+        MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT
+        HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE,
+        ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+        ("to deal in the software without restriction", "merge publish distribute sublicense and or sell copies"),
+    ),
+    (
+        "isc",
+        """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
+        granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS
+        PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES
+        OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR
+        CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF
+        CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS
+        SOFTWARE.""",
+        ("for any purpose with or without fee", "permission notice appear in all copies"),
+    ),
+    (
+        "bsd",
+        """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+        following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of
+        conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice,
+        this list of conditions and the following disclaimer in the documentation and/or other materials provided with the
+        distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED
+        WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR
+        PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT,
+        INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE
+        GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF
+        LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT
+        OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+        ("redistributions of source code must retain", "redistributions in binary form must reproduce"),
+    ),
+    (
+        "zlib",
+        """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held
+        liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for
+        any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following
+        restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original
+        software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated
+        but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being
+        the original software. 3. This notice may not be removed or altered from any source distribution.""",
+        ("must not be misrepresented you must not claim", "altered source versions must be plainly marked"),
+    ),
+    (
+        "apache",
+        """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with
+        the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by
+        applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS,
+        WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language
+        governing permissions and limitations under the License.""",
+        ("required by applicable law or agreed to in writing", "specific language governing permissions and limitations"),
+    ),
+    (
+        "gpl",
+        """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public
+        License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later
+        version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the
+        implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more
+        details. You should have received a copy of the GNU General Public License along with this program.""",
+        ("published by the free software foundation either version", "in the hope that it will be useful"),
+    ),
+    (
+        "mpl",
+        """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
+        distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+        ("source code form is subject to the terms", "copy of the mpl was not distributed with this file"),
+    ),
+    (
+        "unlicense",
+        """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use,
+        compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose,
+        commercial or non-commercial, and by any means.""",
+        ("free and unencumbered software", "source code form or as a compiled binary"),
+    ),
+    (
+        "boost",
+        """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and
+        accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute,
+        and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the
+        Software is furnished to do so.""",
+        ("accompanying documentation covered by this license", "prepare derivative works of the software"),
+    ),
+)
+NOTICES = (*NOTICES, *((label, text.lower(), phrases) for label, text, phrases in TEXTS))
+RARE = 3  # words whose inverse document frequency is at least that of one in so many templates are indexed
+VOTES = 2  # such words that must agree on a shift; fewer if the template's key phrases hold fewer
 
 
 def words_of(text: str) -> list[str]:
@@ -58,10 +153,11 @@ def index() -> tuple[dict[str, list[tuple[int, int]]], list[int]]:
     """Postings (notice, place) of each rare word, and the votes each notice needs."""
     split = [words_of(text) for _, text, _ in NOTICES]
     shared = Counter(word for words in split for word in set(words))
+    frequency = {word: math.log(len(NOTICES) / n) for word, n in shared.items()}
     postings: dict[str, list[tuple[int, int]]] = defaultdict(list)
     for notice, words in enumerate(split):
         for at, word in enumerate(words):
-            if shared[word] <= RARE:
+            if frequency[word] >= math.log(len(NOTICES) / RARE):
                 postings[word].append((notice, at))
     # Key phrases are looked at anyway, so where they stand their rare words must do; without any, one of the notice's must.
     held = [sum(word in postings for _, words in keys for word in words) for keys in key_phrases()]
@@ -178,10 +274,11 @@ def _in_place(number: int, label: str, notice: list[str], keys: list[tuple[int,
             held = held & _stands(words, c["shift"] + at)
         return held
 
+    words = F.split(F.lit(" ".join(notice)), " ")
+
     def described(c: Column) -> Column:
-        same = F.lit(0)
-        for i, word in enumerate(notice):
-            same = same + F.coalesce(F.get("w", c["shift"] + i) == word, F.lit(False)).cast("int")
-        return F.struct(F.lit(label).alias("label"), c["shift"].alias("start"), (same / len(notice)).alias("share"))
+        # Of a shift before the text's beginning the places below 0 hold no words.
+        pairs = F.filter(F.sequence(F.lit(0), F.lit(len(notice) - 1)), lambda i: F.get("w", c["shift"] + i) == F.get(words, i))
+        return F.struct(F.lit(label).alias("label"), c["shift"].alias("start"), (F.size(pairs) / len(notice)).alias("share"))
 
     return F.transform(F.filter("candidates", holds), described)
