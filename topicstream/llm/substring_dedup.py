@@ -10,6 +10,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -46,7 +48,8 @@ def shared_passages(
     """
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text_or_empty(text_col).alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"row long, doc_id {kind}, text string, digests array<long>, starts array<int>"
+    # Texts are shuffled up to three times, so they travel compressed.
+    schema = f"row long, doc_id {kind}, text binary, digests array<long>, starts array<int>"
     chunked = written(rows.mapInArrow(lambda b: _chunk_batches(b, min_bytes), schema), "chunks")
     # A chunk that a row repeats counts once for the row.
     digests = chunked.select(F.explode(F.array_distinct("digests")).alias("digest"))
@@ -84,18 +87,39 @@ def shared_passages(
     groups = max(1, matches.count() // _ROWS)
     schema = f"row long, start int, size int, kept boolean, first_doc_id {kind}"
     parts = matches.groupBy(F.pmod(F.xxhash64("row"), F.lit(groups))).applyInArrow(lambda t: _parts(t, min_bytes), schema)
-    parts = written(parts, "passages")
+    part = F.struct("start", "size", "kept", "first_doc_id")
+    parts = written(parts.groupBy("row").agg(F.sort_array(F.collect_list(part)).alias("parts")), "passages")
     holding = bloom.contained_in(parts.select("row"))
-    texts = chunked.select("row", "doc_id", F.encode("text", "utf-8").alias("bytes")).where(holding("row"))
-    text_of = lambda start, size: F.decode(F.substring(F.col("bytes"), start, size), "utf-8")
-    return texts.join(parts, "row").select(
-        "doc_id",
-        F.length(text_of(F.lit(1), F.col("start"))).cast("long").alias("start"),
-        F.length(text_of(F.col("start") + 1, F.col("size"))).cast("long").alias("length"),
-        "first_doc_id",
-        "kept",
-        text_of(F.col("start") + 1, F.col("size")).alias("passage"),
-    )
+    texts = chunked.select("row", "doc_id", "text").where(holding("row")).join(parts, "row")
+    texts = texts.select("doc_id", "text", "parts.start", "parts.size", "parts.kept", "parts.first_doc_id")
+    schema = f"doc_id {kind}, start long, length long, first_doc_id {kind}, kept boolean, passage string"
+    return texts.mapInArrow(_passages, schema)
+
+
+def _passages(batches):
+    names = ["doc_id", "start", "length", "first_doc_id", "kept", "passage"]
+    for batch in batches:
+        ids, texts, starts, sizes, kept, firsts = batch.columns
+        of, begins, lengths, found = [], [], [], []
+        for n in range(batch.num_rows):
+            data = zlib.decompress(texts[n].as_py())
+            seen = chars = 0
+            for start, size in zip(starts[n].as_py(), sizes[n].as_py()):  # in the order of their starts
+                chars += len(data[seen:start].decode())
+                seen = start
+                found.append(data[start : start + size].decode())
+                begins.append(chars)
+                lengths.append(len(found[-1]))
+                of.append(n)
+        columns = [
+            ids.take(pa.array(of, pa.int64())),
+            pa.array(begins, pa.int64()),
+            pa.array(lengths, pa.int64()),
+            firsts.flatten(),
+            kept.flatten(),
+            pa.array(found, pa.string()),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, names)
 
 
 def _hashes(raw: np.ndarray) -> np.ndarray:
@@ -208,9 +232,10 @@ def _chunk_batches(batches, min_bytes: int):
 
     number = TaskContext.get().partitionId() << 33
     for batch in batches:
-        digests, starts, offsets = [], [], [0]
+        digests, starts, offsets, packed = [], [], [0], []
         for text in batch.column(1):
             data = text.as_py().encode()
+            packed.append(zlib.compress(data, 1))
             begins, ends = (at.tolist() for at in chunks(data, min_bytes))
             digests.extend(xxh64_intdigest(data[a:b]) for a, b in zip(begins, ends))
             starts.extend(begins)
@@ -222,7 +247,7 @@ def _chunk_batches(batches, min_bytes: int):
             [
                 rows,
                 batch.column(0),
-                batch.column(1),
+                pa.array(packed, pa.binary()),
                 lists(pa.array(np.array(digests, np.uint64).view(np.int64))),
                 lists(pa.array(starts, pa.int32())),
             ],
@@ -238,7 +263,7 @@ def _match_batches(batches, min_bytes: int):
         rows, texts, starts, first_rows, ids, first_texts, first_starts = batch.columns
         for n in range(batch.num_rows):
             row, first = rows[n].as_py(), first_rows[n].as_py()
-            a, b = texts[n].as_py().encode(), first_texts[n].as_py().encode()
+            a, b = zlib.decompress(texts[n].as_py()), zlib.decompress(first_texts[n].as_py())
             for i, j, size in matched(a, b, list(zip(starts[n].as_py(), first_starts[n].as_py())), min_bytes):
                 found.append((row, i, i + size, j if row == first else -1, False))
                 if row != first:
