@@ -194,3 +194,15 @@ def test_map_rows_in_python_must_be_one_to_one(spark):
     assert sorted(r.id for r in mapped.collect()) == list(range(1, 11))
     with pytest.raises(QUERY_FAILS, match="row map returned"):
         map_rows(df, lambda pdf: pdf.head(0), "id bigint").collect()
+
+
+def test_json_that_fits_and_json_that_does_not_give_the_same_values(spark):
+    """Values of the wanted type and quoted ones in one column, also where the schema uses the helper's own name."""
+    rows = ['{"k": 5, "_misfit": "a"}', '{"k": "6", "_misfit": "b"}', '{"k": ""}', '{"_misfit": null, "x": [1]}', "{}", None]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, v string").orderBy("i")
+    found = df.select(decode_json(F.col("v"), "k int, _misfit string").alias("d")).select("d", "d.*").collect()
+    assert [(r.d is None, r.k, r["_misfit"]) for r in found] == [
+        (False, 5, "a"), (False, 6, "b"), (False, None, None), (False, None, None), (False, None, None), (True, None, None),
+    ]
+    nested = decode_json(F.lit('{"a": [{"b": 1}, {"b": "2"}], "c": {"d": 3}}'), "a array<struct<b: int>>, c struct<d: bigint>")
+    assert spark.range(1).select(nested.alias("n")).first().n.asDict(True) == {"a": [{"b": 1}, {"b": 2}], "c": {"d": 3}}

@@ -49,7 +49,26 @@ def decode_json(payload: Column, schema: T.DataType | str) -> Column:
     text = payload.cast("string")
     blank = F.raise_error(F.lit("blank text is not JSON")).cast("string")
     checked = F.when(F.trim(text) == "", blank).otherwise(text)
-    return _from_text(F.from_json(checked, _as_text(schema), {"mode": "FAILFAST"}), schema, strict_cast())
+    strict = _from_text(F.from_json(checked, _as_text(schema), {"mode": "FAILFAST"}), schema, strict_cast())
+    if not isinstance(schema, T.StructType) or not _plain(schema):
+        return strict
+    # Most values have the type that is asked for and are parsed as it; only where one has not is all of it read as text.
+    misfit = "_misfit"
+    while misfit in schema.fieldNames():
+        misfit = f"_{misfit}"
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": misfit}
+    typed = F.from_json(checked, T.StructType([*schema.fields, T.StructField(misfit, T.StringType())]), options)
+    fits = typed.isNotNull() & typed[misfit].isNull()
+    return F.when(fits, F.struct(*(typed[f.name].alias(f.name) for f in schema.fields))).otherwise(strict)
+
+
+def _plain(schema: T.DataType) -> bool:
+    """True where the parser's own rules for a value that fits are those of its text."""
+    if isinstance(schema, T.StructType):
+        return all(_plain(f.dataType) for f in schema.fields)
+    if isinstance(schema, T.ArrayType):
+        return _plain(schema.elementType)
+    return isinstance(schema, (T.StringType, T.IntegerType, T.LongType))
 
 
 def _as_text(schema: T.DataType) -> T.DataType:
