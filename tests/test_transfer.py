@@ -146,3 +146,14 @@ def test_flagship_stays_one_narrow_pass(spark):
     plan = catalog.transfer_report(spark, TESTDATA)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
     assert "value" not in plan.split("ReadSchema:")[1]
+
+
+def test_a_table_that_changed_is_staged_again(spark, tmp_path):
+    path = f"{tmp_path}/events.parquet"
+    events = spark.read.parquet(f"{TESTDATA}/events.parquet").orderBy("event_id")
+    events.limit(20).write.parquet(path)
+    first = staging.staged_events(spark, str(tmp_path))
+    assert staging.staged_events(spark, str(tmp_path)) is first
+    events.limit(30).write.mode("overwrite").parquet(path)
+    second = staging.staged_events(spark, str(tmp_path))
+    assert (read_topic_batch(spark, first).count(), read_topic_batch(spark, second).count()) == (20, 30)

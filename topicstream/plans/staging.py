@@ -98,12 +98,14 @@ def new_input_topic(spark: SparkSession, **settings) -> Topic:
     return create_topic(spark, storage.scratch_dir(spark, "topics"), PROJECT, EVENT_IN, **settings)
 
 
-_staged: dict[tuple[str, str], Topic] = {}
+_staged: dict[tuple, Topic] = {}
 
 
 def staged_events(spark: SparkSession, sf_dir: str) -> Topic:
-    """All of ``events`` in a topic of two producers, written once per application and shared by the queries."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """All of ``events`` in a topic of two producers, written once per application for the table's files as they are now,
+    and shared by the queries."""
+    files = sorted(storage.file_times(spark, f"{sf_dir}/events.parquet"))
+    key = (spark.sparkContext.applicationId, sf_dir, *files)
     if key not in _staged:
         _staged[key] = stage_events(spark, sf_dir)
     return _staged[key]

@@ -82,6 +82,26 @@ def file_times(spark: SparkSession, path: str) -> Iterator[tuple[str, int]]:
         yield status.getPath().toUri().getPath().removeprefix(top), status.getModificationTime()
 
 
+def first_files(spark: SparkSession, path: str, most: int, ending: str) -> list[str]:
+    """Up to ``most`` files with that ending below a folder, in the order in which they are listed; no more are listed than
+    it takes."""
+    fs, target = _resolve(spark, path)
+    found: list[str] = []
+    if fs.exists(target):
+        files = fs.listFiles(target, True)
+        while len(found) < most and files.hasNext():
+            name = files.next().getPath().toString()
+            if name.endswith(ending):
+                found.append(name)
+    return found
+
+
+def bytes_below(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder, as the file system adds them up; 0 for a missing one."""
+    fs, target = _resolve(spark, path)
+    return fs.getContentSummary(target).getLength() if fs.exists(target) else 0
+
+
 def move(spark: SparkSession, source: str, target: str) -> None:
     """Rename a file to a new path, whose folders are made. Fails where the target exists."""
     fs, old = _resolve(spark, source)

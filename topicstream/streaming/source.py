@@ -17,8 +17,9 @@ from topicstream.sources.topics import Topic
 # Spark ignores files this much older than the newest one it has seen, by default a week. No file of a topic is too old:
 # one may arrive with the time of the place it was copied from.
 _MAX_FILE_AGE = "36500d"
-# How many of a producer's files are looked at for the size of a record.
+# How many of a producer's files, of how many of its days, are looked at for the size of a record.
 _MEASURED_FILES = 32
+_MEASURED_DAYS = 8
 _BYTES_PER_COLUMN = 16
 
 
@@ -73,13 +74,17 @@ def bytes_per_trigger(spark: SparkSession, topic: Topic, records: int) -> dict[s
     """By producer, the bytes that ``records`` records take in a trigger, shared by the bytes the producers hold."""
     sizes, measured_bytes, measured_records = {}, 0, 0
     for producer in topic.producers:
-        held = spark.read.schema(topic.record_schema).parquet(topic.producer_path(producer))
-        files = held.inputFiles()
-        sample = files[:: max(1, len(files) // _MEASURED_FILES)]
-        sampled = storage.size_in_bytes(spark, sample)
-        sizes[producer] = sampled * len(files) // max(1, len(sample))
+        path = topic.producer_path(producer)
+        sizes[producer] = storage.bytes_below(spark, path)
+        days = [name for name in storage.list_names(spark, path) if name.startswith(f"{ARRIVAL_DATE}=")]
+        days = days[:: max(1, len(days) // _MEASURED_DAYS)][:_MEASURED_DAYS]
+        sample = [
+            file
+            for day in days
+            for file in storage.first_files(spark, storage.join(path, day), _MEASURED_FILES // _MEASURED_DAYS, ".parquet")
+        ]
         if sample:
-            measured_bytes += sampled
+            measured_bytes += storage.size_in_bytes(spark, sample)
             measured_records += spark.read.parquet(*sample).count()  # from the footers
     # A topic without records gives no measure; a guess by its columns stands in until the next start.
     of_record = measured_bytes / measured_records if measured_records else _BYTES_PER_COLUMN * len(topic.record_schema)
