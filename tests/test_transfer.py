@@ -10,6 +10,7 @@ from topicstream import (
     Totals,
     Transfer,
     create_topic,
+    drain,
     event_time_from_millis,
     read_topic_batch,
     run_transfer,
@@ -157,3 +158,15 @@ def test_a_table_that_changed_is_staged_again(spark, tmp_path):
     events.limit(30).write.mode("overwrite").parquet(path)
     second = staging.staged_events(spark, str(tmp_path))
     assert (read_topic_batch(spark, first).count(), read_topic_batch(spark, second).count()) == (20, 30)
+
+
+def test_a_job_can_keep_its_rate_to_the_record(spark, job):
+    source, sink, props = job
+    expected = staging.checked_transfer().records(read_topic_batch(spark, source), sink).count()
+    running = start_transfer(
+        spark, {**props, "source.rate": "400"}, staging.checked_transfer(), slots=1, interval_seconds=1, exact_rate=True
+    )
+    drain(running)
+    read = [p["numInputRows"] for p in running.recentProgress if p["numInputRows"]]
+    assert sum(read) == read_topic_batch(spark, source).count() and max(read) == 400
+    assert read_topic_batch(spark, sink).count() == expected
