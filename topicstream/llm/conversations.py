@@ -77,13 +77,29 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
     return _whole(written(parts, "trie-parts"))
 
 
-def _cuts(placed: DataFrame) -> dict[int, tuple[bytes | None, bytes | None]]:
-    """By range, the last key before it and the first one after it: two keys for each range go through the driver."""
-    ends = placed.groupBy("task").agg(F.min("key").alias("first"), F.max("key").alias("last")).collect()
-    ends = sorted(ends, key=lambda row: row.task)
-    before = [None, *(bytes(row.last) for row in ends[:-1])]
-    after = [*(bytes(row.first) for row in ends[1:]), None]
-    return {row.task: (a, b) for row, a, b in zip(ends, before, after)}
+def _cuts(placed: DataFrame) -> dict[int, tuple[int, int]]:
+    """By range, how many prefixes of whole turns its first key shares with the last one before the range, and its last key
+    with the first one after it; the empty prefix counts. Two numbers for each range go through the driver."""
+    ends = placed.groupBy("task").agg(F.min("key").alias("first"), F.max("key").alias("last"))
+    order = W.orderBy("task")  # a row for each range
+    ends = ends.select(
+        "task", "first", "last", F.lag("last").over(order).alias("before"), F.lead("first").over(order).alias("after")
+    )
+
+    def count(batches):
+        for pdf in batches:
+            before = [_shared(key, other) for key, other in zip(pdf["first"], pdf["before"])]
+            after = [_shared(key, other) for key, other in zip(pdf["last"], pdf["after"])]
+            yield pd.DataFrame({"task": pdf["task"], "before": before, "after": after})
+
+    return {r.task: (r.before, r.after) for r in ends.mapInPandas(count, "task int, before int, after int").collect()}
+
+
+def _shared(key: bytes, other: bytes | None) -> int:
+    if other is None:
+        return 0
+    turns = range(0, min(len(key), len(other)), TURN)
+    return 1 + next((i for i, at in enumerate(turns) if key[at : at + TURN] != other[at : at + TURN]), len(turns))
 
 
 def _whole(parts: DataFrame) -> DataFrame:
@@ -127,8 +143,8 @@ class _Below:
         self.keys = other.keys if self.keys is None else (self.keys[0], other.keys[1])
 
 
-def _part(pdf: pd.DataFrame, before: bytes | None, after: bytes | None) -> pd.DataFrame:
-    """Nodes of the keys of one range, in the columns of ``_PART``."""
+def _part(pdf: pd.DataFrame, before: int, after: int) -> pd.DataFrame:
+    """Nodes of the keys of one range, in the columns of ``_PART``; see :func:`_cuts`."""
     pdf = pdf.sort_values("nth")
     keys, words, members = [], [], []
     for key, counts, conv in zip(pdf["key"], pdf["words"], pdf["conv_id"]):
@@ -140,7 +156,7 @@ def _part(pdf: pd.DataFrame, before: bytes | None, after: bytes | None) -> pd.Da
     tree = RadixTree()
     for number, key in enumerate(keys):
         tree.insert(key, number)
-    split_before, split_after = _prefixes(keys[0], before), _prefixes(keys[-1], after)
+    split_before, split_after = _names(keys[0], before), _names(keys[-1], after)
     task, rows = int(pdf["task"].iloc[0]), []
 
     def emit(below: _Below, depth: int, own: list[int] | None) -> None:
@@ -148,7 +164,8 @@ def _part(pdf: pd.DataFrame, before: bytes | None, after: bytes | None) -> pd.Da
         first, last = below.keys
         began = first == 0 and depth < len(split_before)
         goes_on = last == len(keys) - 1 and depth < len(split_after)
-        if not below.waiting and not (after is not None and after.startswith(keys[first][: TURN * depth])):
+        # The first key after the range may be the same one or go on from it: then who holds the last one says.
+        if not below.waiting and not goes_on:
             below.leaves += 1
         said = int(words[first][depth - 1]) if depth else 0
         below.saved += said * (below.n - (not began))
@@ -178,16 +195,11 @@ def _part(pdf: pd.DataFrame, before: bytes | None, after: bytes | None) -> pd.Da
     return pd.DataFrame(rows, columns=[c.split()[0] for c in _PART.split(", ")]).astype({"parent_conv_id": "Int64"})
 
 
-def _prefixes(key: bytes, neighbour: bytes | None) -> list[bytes]:
-    """Names of the turn-aligned prefixes that a key shares with its neighbour's key, by depth."""
-    if neighbour is None:
-        return []
+def _names(key: bytes, prefixes: int) -> list[bytes]:
+    """Names of the first so many turn-aligned prefixes of a key, by depth."""
     state, names = hashlib.blake2b(digest_size=TURN), []
-    for end in range(0, min(len(key), len(neighbour)) + 1, TURN):
-        turn = slice(max(0, end - TURN), end)
-        if key[turn] != neighbour[turn]:
-            break
-        state.update(key[turn])
+    for depth in range(prefixes):
+        state.update(key[TURN * max(0, depth - 1) : TURN * depth])
         names.append(state.digest())
     return names
 
