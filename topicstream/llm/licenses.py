@@ -140,7 +140,7 @@ TEXTS = (
         ("accompanying documentation covered by this license", "prepare derivative works of the software"),
     ),
 )
-NOTICES = (*NOTICES, *((label, text.lower(), phrases) for label, text, phrases in TEXTS))
+NOTICES = (*NOTICES, *((label, " ".join(re.findall(WORD, text.lower())), phrases) for label, text, phrases in TEXTS))
 RARE = 3  # words whose inverse document frequency is at least that of one in so many templates are indexed
 VOTES = 2  # such words that must agree on a shift; fewer if the template's key phrases hold fewer
 
