@@ -8,6 +8,7 @@ by the key phrases that the template must have in place. All of it happens withi
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from collections import Counter, defaultdict
@@ -211,10 +212,9 @@ def _places(words: Column) -> Column:
 
 def _stands(phrase: list[str], at: Column) -> Column:
     """True where the words of the phrase stand from ``at`` on."""
-    found = F.get("w", at) == phrase[0]
-    for i, word in enumerate(phrase[1:], 1):
-        found = found & (F.get("w", at + i) == word)
-    return F.coalesce(found, F.lit(False))
+    # The first word alone decides at most places.
+    stretch = F.slice("w", F.greatest(at, F.lit(0)) + 1, len(phrase))
+    return F.coalesce((F.get("w", at) == phrase[0]) & (stretch == F.split(F.lit(" ".join(phrase)), " ")), F.lit(False))
 
 
 def _base() -> Column:
@@ -231,14 +231,11 @@ def _base_places(phrase: list[str], label: str) -> Column:
 def _candidates() -> Column:
     """Distinct (notice, shift) pairs on which enough rare words agree."""
     postings, votes = index()
-    of_word = F.create_map(
-        *[
-            x
-            for word, places in postings.items()
-            for x in (F.lit(word), F.array(*[F.struct(F.lit(n).alias("n"), F.lit(p).alias("p")) for n, p in places]))
-        ]
-    )
-    places = F.filter(_places(F.col("w")), lambda i: F.get("w", i).isin(*postings))
+    listed = {word: [{"n": n, "p": p} for n, p in places] for word, places in postings.items()}
+    of_word = F.from_json(F.lit(json.dumps(listed)), "map<string, array<struct<n: int, p: int>>>")
+    # As SQL text: a list of so many literals takes seconds to build one by one.
+    words = ", ".join(f"'{word}'" for word in postings)
+    places = F.expr(f"filter(if(size(w) > 0, sequence(0, size(w) - 1), array()), i -> get(w, i) IN ({words}))")
     votes_of = F.array(*[F.lit(v) for v in votes])
     pairs = F.flatten(
         F.transform(
