@@ -1,5 +1,7 @@
 """Every registered query against its SQL in DuckDB."""
 
+import shutil
+import subprocess
 import sys
 from pathlib import Path
 
@@ -49,3 +51,18 @@ def test_query_matches_sql(spark, duck, name):
 
 def test_entry(spark):
     assert entry_points.entry(spark).count() == 4
+
+
+@pytest.mark.parametrize("pipeline", [True, False])
+def test_queries_without_the_corpus_operators(tmp_path, pipeline):
+    """The subpackage may be taken away, with or without the pipeline beside it."""
+    here = Path(entry_points.__file__).resolve().parent
+    shutil.copytree(here / "topicstream", tmp_path / "topicstream", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    for name in ["__spark_entry__.py", *(["corpus_pipeline.py"] if pipeline else [])]:
+        if (here / name).exists():
+            shutil.copy(here / name, tmp_path)
+    program = "import __spark_entry__ as e, topicstream; print(topicstream.__file__, *e.queries()); e.oracle_sql()"
+    run = subprocess.run([sys.executable, "-c", program], cwd=tmp_path, capture_output=True, text=True, timeout=120)
+    assert run.returncode == 0, run.stderr
+    origin, *names = run.stdout.split()
+    assert origin.startswith(str(tmp_path)) and set(names) == set(catalog.QUERIES)
