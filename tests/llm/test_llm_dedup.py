@@ -8,6 +8,7 @@ import re
 import time
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from llm_samples import (  # noqa: F401
     LONG,
@@ -396,3 +397,74 @@ def test_many_lines_with_one_front_and_no_links(make_docs):
     found = line_dedup.near_lines(make_docs(rows)).where("not kept").collect()
     assert [(r.doc_id, r.class_doc_id, r.class_line) for r in found] == [(1000, 7, 0)]
     assert time.perf_counter() - start < 120
+
+
+@pytest.mark.parametrize("group", [line_dedup.GROUP, 4])
+def test_a_key_of_many_lines_is_worked_off_in_one_task(make_docs, monkeypatch, group):
+    """Only keys of more than ``GROUP`` lines are shuffled again by finer keys; the links are the same."""
+    monkeypatch.setattr(line_dedup, "BLOCK", 8)
+    monkeypatch.setattr(line_dedup, "GROUP", group)
+    rounds, around = [], line_dedup._around_first
+    monkeypatch.setattr(line_dedup, "_around_first", lambda *args: rounds.append(1) or around(*args))
+    rnd = random.Random(8)
+    front, back = "this is the beginning they share ", " and this is their end, always the same"
+    lines = []
+    for _ in range(40):
+        lines.append(front + "".join(rnd.choices("0123456789", k=12)) + back)
+        for _ in range(3):
+            line = list(rnd.choice(lines))
+            for _ in range(rnd.randint(1, 3)):
+                at = rnd.randrange(len(line))
+                line[at : at + rnd.randint(0, 1)] = rnd.choice(["", "x", "7"])
+            lines.append("".join(line))
+    rows = [(i, "\n".join(lines[i::20]), "s") for i in range(20)]
+    got = line_dedup.near_lines(make_docs(rows)).collect()
+    assert sorted(((r.doc_id, r.line, r.class_doc_id, r.class_line) for r in got), key=repr) == expected_lines(rows)
+    assert bool(rounds) == (group < len(lines))
+
+
+def test_links_of_a_run_are_those_of_all_pairs():
+    """Also where many pairs are no links, some rows have the key from a shift alone, and finer keys are asked for."""
+    rnd = random.Random(9)
+    front = "0,0,0,0,0,0,0,0,0,0,0,0,0,0,0,0,0,0,0,0,"
+    run = [(at, front + ",".join(rnd.choices("01", k=15)), rnd.random() < 0.5, False) for at in range(400)]
+    (shared, *_), _ = line_dedup.keys(run[0][1], 2, 16)
+    asked = []
+
+    def finer(at, text, under):
+        asked.append(at)
+        return line_dedup.finer_keys(text, 2, 16, {shared, *under}, 1 + len(under))
+
+    links = [
+        (x, y)
+        for y, b, other, _ in run
+        for x, a, own, _ in run[:y]
+        if (own or other) and line_dedup.within(a, b, 2)
+    ]
+    assert 100 < len(links) and len(set(grouped(400, links))) > 50
+    plain = line_dedup._connect(run, 2, 16)
+    assert set(plain) <= set(links) and grouped(400, plain) == grouped(400, links) and not asked
+    every = [(at, text, True, False) for at, text, _, _ in run]
+    by_keys = line_dedup._connect(every, 2, 16, finer)
+    assert grouped(400, by_keys) == grouped(400, line_dedup._connect(every, 2, 16)) and asked
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text("ab😀", max_size=300), st.lists(st.tuples(st.integers(0, 300), st.sampled_from("abx")), max_size=2), st.booleans())
+def test_an_edit_changes_few_counts(a, changes, insert):
+    b = list(a)
+    for at, c in changes:
+        b[min(at, len(b)) : min(at, len(b)) + (not insert)] = c
+    one, other = line_dedup._counts([a, "".join(b)])
+    apart = one - other
+    assert np.minimum(apart, -apart).sum() <= 4 * len(changes)
+
+
+def test_two_filters_of_one_pass(spark):
+    keys = spark.range(3000).selectExpr("xxhash64(id % 2000) as key")
+    there, again = bloom.tester_and_repeated_in(keys)
+    assert sorted(r.key for r in keys.where(again("key")).collect()) == sorted(
+        r.key for r in keys.where(bloom.repeated_in(keys)("key")).collect()
+    )
+    held = keys.toPandas()["key"].to_numpy()
+    assert there(held).all() and (there(held + 1) == bloom.tester(keys)(held + 1)).all()

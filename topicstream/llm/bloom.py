@@ -30,8 +30,22 @@ def contained_in(keys: DataFrame, max_bytes: int = MAX_BYTES):
 
 def tester(keys: DataFrame, max_bytes: int = MAX_BYTES):
     """What :func:`contained_in` tells of a column, for an array of keys inside a task."""
-    shared, size = _shared_bits(keys, "once", max_bytes)
+    (shared,), size = _shared_bits(keys, ("once",), max_bytes)
+    return _array_test(shared, size)
 
+
+def tester_and_repeated_in(keys: DataFrame, max_bytes: int = MAX_BYTES):
+    """:func:`tester` and :func:`repeated_in` of the same keys, which are read once."""
+    (once, more), size = _shared_bits(keys, ("once", "more"), max_bytes)
+    return _array_test(once, size), _column_test(more, size)
+
+
+def _test(keys: DataFrame, which: str, max_bytes: int):
+    (shared,), size = _shared_bits(keys, (which,), max_bytes)
+    return _column_test(shared, size)
+
+
+def _array_test(shared, size: int):
     def passes(keys: np.ndarray) -> np.ndarray:
         places, bits = _places(keys, size), shared.value
         return ((bits[places >> 3] >> (places & 7)) & 1).all(axis=0).astype(bool)
@@ -39,9 +53,7 @@ def tester(keys: DataFrame, max_bytes: int = MAX_BYTES):
     return passes
 
 
-def _test(keys: DataFrame, which: str, max_bytes: int):
-    shared, size = _shared_bits(keys, which, max_bytes)
-
+def _column_test(shared, size: int):
     @F.pandas_udf("boolean")
     def passes(keys: pd.Series) -> pd.Series:
         places, bits = _places(keys.to_numpy(np.int64), size), shared.value
@@ -50,8 +62,8 @@ def _test(keys: DataFrame, which: str, max_bytes: int):
     return passes
 
 
-def _shared_bits(keys: DataFrame, which: str, max_bytes: int):
-    """The filter's bits, broadcast, and how many bytes they are."""
+def _shared_bits(keys: DataFrame, which: tuple[str, ...], max_bytes: int):
+    """The bits of each filter asked for, broadcast, and how many bytes they are."""
     spark = keys.sparkSession
     n = max(1, keys.count())
     # A power of two bytes with 16 bits a key, up to the bound. Past the bound more keys pass than need to.
@@ -59,11 +71,13 @@ def _shared_bits(keys: DataFrame, which: str, max_bytes: int):
     # Every task emits its filters, so there are few: as many as run at once, or one for each four million keys.
     tasks = max(n // 4_000_000, spark.sparkContext.defaultParallelism)
     blocks = keys.coalesce(tasks).mapInArrow(lambda b: _filters(b, size), "block int, once binary, more binary")
-    merged = blocks.groupBy("block").applyInPandas(lambda pdf: _merge(pdf, which), "block int, bits binary")
-    bits = np.zeros(size, np.uint8)
-    for row in merged.collect():  # as many bytes as the filter
-        bits[row.block * _BLOCK : (row.block + 1) * _BLOCK] = np.frombuffer(row.bits, np.uint8)
-    return spark.sparkContext.broadcast(bits), size
+    schema = ", ".join(["block int", *(f"{name} binary" for name in which)])
+    merged = blocks.groupBy("block").applyInPandas(lambda pdf: _merge(pdf, which), schema)
+    bits = {name: np.zeros(size, np.uint8) for name in which}
+    for row in merged.collect():  # as many bytes as the filters
+        for name in which:
+            bits[name][row.block * _BLOCK : (row.block + 1) * _BLOCK] = np.frombuffer(row[name], np.uint8)
+    return [spark.sparkContext.broadcast(bits[name]) for name in which], size
 
 
 def _places(keys: np.ndarray, size: int) -> np.ndarray:
@@ -93,11 +107,11 @@ def _filters(batches, size: int):
             )
 
 
-def _merge(blocks: pd.DataFrame, which: str) -> pd.DataFrame:
+def _merge(blocks: pd.DataFrame, which: tuple[str, ...]) -> pd.DataFrame:
     once, more = np.zeros(_BLOCK, np.uint8), np.zeros(_BLOCK, np.uint8)
     for a, b in zip(blocks["once"], blocks["more"]):
         a, b = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
         more |= b | (once & a)
         once |= a
-    bits = {"once": once, "more": more}[which]
-    return pd.DataFrame({"block": [blocks["block"].iloc[0]], "bits": [bits.tobytes()]})
+    bits = {"once": once, "more": more}
+    return pd.DataFrame({"block": [blocks["block"].iloc[0]], **{name: [bits[name].tobytes()] for name in which}})

@@ -8,16 +8,21 @@ that shorter or equally long lines would have, at the few places where edits may
    filters before anything is shuffled.
 2. Lines with a key in common, one of which has it as its own segment, are verified by a banded bit-parallel edit distance.
    No two lines are tied before that, so what is tied is linked.
-3. A key that more than ``BLOCK`` lines have is worked off without comparing all of them: with the first line of the key
-   first; then, if few lines are not linked with it, those with all others, block by block; else the lines get finer keys.
+   An edit changes at most two pairs of neighbouring characters, so lines whose counts of such pairs differ by more are
+   not tried, nor are lines that links connect already. Where too many pairs are left, the lines get finer keys.
    The parts beside the shared segment are again within t edits, so they share one of t + 1 segments of those parts,
    and so on until keys are rare or nothing is left beside the shared segments.
+3. All that is done in one task for a key that at most ``GROUP`` lines have. A key of more lines is worked off by several:
+   with the first line of the key first; then, if few lines are not linked with it, those with all others, block by block;
+   else the lines are shuffled by their finer keys.
 4. The components of the links are the classes.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +37,14 @@ from topicstream.llm.common import components, text_or_empty, written
 EDITS = 2
 CHARS_PER_EDIT = 16
 BLOCK = 128
+GROUP = 4096
 _FLUSH = 20_000
+#: Lines that are tried without counts, pairs of lines whose counts are compared at once, kinds of counts, and misses a line
+#: may have before it gets finer keys.
+_FEW = 8
+_AT_ONCE = 1 << 16
+_KINDS = 64
+_MISSES = 32
 
 
 def near_lines(
@@ -111,30 +123,33 @@ def cut(lengths: list[int], parts: int) -> list[tuple[int, int, int]]:
     return [(i, *at) for i, k in enumerate(shares) if k for at in segments(lengths[i], k)]
 
 
-def keys(text: str, edits: int, chars_per_edit: int) -> tuple[list[int], list[int]]:
-    """Keys of the line's own segments, and of the places where the segments of a shorter line may stand in it."""
-    n = len(text)
+@lru_cache(maxsize=1 << 11)
+def _windows(n: int, edits: int, chars_per_edit: int) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+    """(start, end, seed) of the own segments of lines of ``n`` characters, and of the places where those of a shorter line
+    may stand."""
     own, probes = [], []
     for length in range(max(0, n - edits), n + 1):
         t, longer = allowed(length, edits, chars_per_edit), n - length
         if not t or longer > t:
             continue
         for i, (start, size) in enumerate(segments(length, t + 1)):
-            seed = length * 64 + i
             # Of i edits before the segment and t - i behind it, at least one side's bound holds.
             low = max(0, start - i, start + longer - (t - i))
             high = min(n - size, start + i, start + longer + (t - i))
             for at in range(low, high + 1):
-                (own if not longer and at == start else probes).append(_key(text[at : at + size], seed))
+                (own if not longer and at == start else probes).append((at, at + size, length * 64 + i))
     return own, probes
 
 
-def own_keys(text: str, edits: int, chars_per_edit: int) -> list[int]:
-    """Keys of the line's own segments alone."""
-    t, seed = allowed(len(text), edits, chars_per_edit), len(text) * 64
-    if not t:
-        return []
-    return [_key(text[at : at + size], seed + i) for i, (at, size) in enumerate(segments(len(text), t + 1))]
+def keys(text: str, edits: int, chars_per_edit: int) -> tuple[list[int], list[int]]:
+    """Keys of the line's own segments, and of the places where the segments of a shorter line may stand in it."""
+    own, probes = _windows(len(text), edits, chars_per_edit)
+    return [_key(text[a:b], seed) for a, b, seed in own], [_key(text[a:b], seed) for a, b, seed in probes]
+
+
+def _signed(digests: list[int]) -> np.ndarray:
+    """The keys that :func:`_key` makes of these digests."""
+    return (np.array(digests, np.uint64) ^ np.uint64(1 << 63)).view(np.int64)
 
 
 def finer_keys(
@@ -227,34 +242,37 @@ def _all_links(lines: DataFrame, ones: DataFrame, edits: int, chars_per_edit: in
     one = bloom.contained_in(ones)  # a few other lines pass; they drop out when keys are joined
     first_ones = lines.where(one("at"))
     own = first_ones.select("at", F.explode("segments").alias("key"))
-    owned = bloom.tester(own.select("key"))
+    owned, again = bloom.tester_and_repeated_in(own.select("key"))
     probes = first_ones.select("at", "text").mapInArrow(
         lambda b: _probes(b, edits, chars_per_edit, owned), "at long, key long"
     )
     probes = written(probes, "line-probes")
-    probed, again = bloom.contained_in(probes.select("key")), bloom.repeated_in(own.select("key"))
+    probed = bloom.contained_in(probes.select("key"))
     own = own.where(again("key") | probed("key")).select("at", "key", F.lit(True).alias("own"))
     keyed = own.union(probes.select("at", "key", F.lit(False).alias("own"))).distinct().join(ones, "at")
-    keyed = written(keyed.select("at", "key", "own", F.lit(False).alias("last")), "line-keys")
+    shared_yet = F.array().cast("array<long>").alias("shared")
+    keyed = written(keyed.select("at", "key", "own", F.lit(False).alias("last"), shared_yet), "line-keys")
     wanted = bloom.contained_in(keyed.select("at"))
     texts = written(lines.where(wanted("at")).select("at", "text"), "line-texts")
     found: list[DataFrame] = []
     shared: DataFrame | None = None
     depth = 0
     while True:
-        many = F.col("n") > BLOCK
+        many = F.col("n") > GROUP
         groups = keyed.groupBy("key").agg(
             F.count("*").alias("n"), F.min(F.when(F.col("own"), F.col("at"))).alias("first"), F.max("last").alias("last")
         )
         groups = written(groups.where("n > 1 and first is not null"), "line-groups")
-        few = keyed.join(groups.where(~many).select("key"), "key").join(texts, "at").select("key", "own", "at", "text")
-        few = few.repartition("key").sortWithinPartitions("key", "at")
-        linked = few.mapInArrow(lambda b: _links_of_runs(b, edits, chars_per_edit), "a long, b long")
+        few = keyed.drop("last").join(groups.where(~many).select("key", "last"), "key").join(texts, "at")
+        few = few.select("key", "own", "at", "text", "last", "shared").repartition("key").sortWithinPartitions("key", "at")
+        linked = few.mapInArrow(
+            lambda b, depth=depth, block=BLOCK: _links_of_keys(b, edits, chars_per_edit, depth, block), "a long, b long"
+        )
         found.append(written(linked, "line-links"))
         hot = written(groups.where(many), "line-hot")
         if hot.isEmpty():
             break
-        hot = _around_first(keyed.drop("last").join(hot, "key"), texts, edits, chars_per_edit, found)
+        hot = _around_first(keyed.drop("last", "shared").join(hot, "key"), texts, edits, chars_per_edit, found)
         if hot.isEmpty():
             break
         # The lines of what is left get finer keys, which lie under all the hot ones they had so far.
@@ -264,7 +282,8 @@ def _all_links(lines: DataFrame, ones: DataFrame, edits: int, chars_per_edit: in
         depth += 1
         finer = again.join(texts, "at").select("at", "text", "shared")
         finer = finer.mapInArrow(
-            lambda b, depth=depth: _finer(b, edits, chars_per_edit, depth), "at long, key long, own boolean, last boolean"
+            lambda b, depth=depth: _finer(b, edits, chars_per_edit, depth),
+            "at long, key long, own boolean, last boolean, shared array<long>",
         )
         keyed = written(finer, "line-finer")
     links = found[0]
@@ -294,8 +313,8 @@ def _around_first(rows: DataFrame, texts: DataFrame, edits: int, chars_per_edit:
         F.explode(F.when(F.col("linked"), F.array(own_block)).otherwise(F.sequence(F.lit(0), blocks - 1))).alias("block"),
     )
     placed = placed.join(texts, "at").repartition("key", "block").sortWithinPartitions("key", "block", "linked", "at")
-    placed = placed.select("key", "own", "at", "text", "linked", "block")
-    found.append(written(placed.mapInArrow(lambda b: _links_of_runs(b, edits, chars_per_edit), "a long, b long"), "line-links"))
+    placed = placed.select("key", "block", "own", "at", "text", "linked")
+    found.append(written(placed.mapInArrow(lambda b: _links_of_blocks(b, edits, chars_per_edit), "a long, b long"), "line-links"))
     more = tried.where("not last").join(left.where(F.col("left") > BLOCK).select("key"), "key")
     return written(more.select("key", "at"), "line-more")
 
@@ -320,38 +339,71 @@ def _finer(batches, edits: int, chars_per_edit: int, depth: int):
         for at, text, shared in zip(*(c.to_pylist() for c in batch.columns)):
             own, probes, last = finer_keys(text, edits, chars_per_edit, set(shared), depth)
             ends, mine = set(last), set(own)
-            rows += [(at, key, key in mine, key in ends) for key in mine | set(probes)]
+            rows += [(at, key, key in mine, key in ends, shared) for key in mine | set(probes)]
         if rows:
+            kinds = pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.bool_(), pa.bool_()))],
-                ["at", "key", "own", "last"],
+                [pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["at", "key", "own", "last", "shared"]
             )
 
 
-def _links_of_runs(batches, edits: int, chars_per_edit: int):
-    """Links within every run of rows of one key (and block); of two lines one must have the key as its own.
+def _links_of_keys(batches, edits: int, chars_per_edit: int, depth: int, block: int):
+    """Links within every run of rows (key, own, at, text, last, shared) of one key; of two lines one must have the key as its
+    own."""
 
-    Columns are key, own, at, text and, where lines were compared with one already, linked and block: then one of two
-    lines must not be linked with it.
-    """
+    def links(run: list[tuple]) -> list[tuple[int, int]]:
+        shared = {row[2]: row[5] for row in run}
+        key, last = run[0][0], run[0][4]
+
+        def finer(at: int, text: str, under: tuple[int, ...]):
+            return finer_keys(text, edits, chars_per_edit, {*shared[at], key, *under}, depth + 1 + len(under))
+
+        lines = [(at, text, own, False) for _, own, at, text, _, _ in run]
+        return _connect(lines, edits, chars_per_edit, finer if len(run) > block and not last else None)
+
+    return _links_of_runs(batches, 1, links)
+
+
+def _links_of_blocks(batches, edits: int, chars_per_edit: int):
+    """Links within every run of rows (key, block, own, at, text, linked) of one key and block; one of two lines must have the
+    key as its own, and one must not be linked with the key's first line."""
+
+    def links(run: list[tuple]) -> list[tuple[int, int]]:
+        return _connect([(at, text, own, linked) for _, _, own, at, text, linked in run], edits, chars_per_edit)
+
+    return _links_of_runs(batches, 2, links)
+
+
+def _links_of_runs(batches, width: int, links: Callable[[list[tuple]], list[tuple[int, int]]]):
+    """``links`` of every run of rows whose first ``width`` columns are the same."""
     group, run = None, []
     for batch in batches:
         found: list[tuple[int, int]] = []
-        columns = [c.to_pylist() for c in batch.columns]
-        blocks = columns[5] if len(columns) > 5 else [0] * batch.num_rows
-        known = columns[4] if len(columns) > 4 else [False] * batch.num_rows
-        for key, own, at, text, linked, block in zip(*columns[:4], known, blocks):
-            if (key, block) != group:
-                found += _connect(run, edits, chars_per_edit)
-                group, run = (key, block), []
-            run.append((at, text, own, linked))
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if row[:width] != group:
+                found += links(run) if len(run) > 1 else []
+                group, run = row[:width], []
+            run.append(row)
         yield _pairs(found)
-    yield _pairs(_connect(run, edits, chars_per_edit))
+    yield _pairs(links(run) if len(run) > 1 else [])
+
 
+def _connect(
+    run: list[tuple[int, str, bool, bool]], edits: int, chars_per_edit: int, finer: Callable | None = None
+) -> list[tuple[int, int]]:
+    """Links that connect the rows (at, text, own, linked) of a run as all its links would.
 
-def _connect(run: list[tuple[int, str, bool, bool]], edits: int, chars_per_edit: int) -> list[tuple[int, int]]:
-    """Links that connect the rows of a run as all its links would."""
-    found, parent = [], list(range(len(run)))
+    Rows that are linked already are so with one another. ``finer`` gives the finer keys of a line (at, text) under some keys.
+    With it, pairs of lines without a finer key in common are left out where too many are not near.
+    """
+    lines: dict[int, tuple[str, bool, bool]] = {}
+    for at, text, own, linked in run:
+        lines[at] = text, own or at in lines and lines[at][1], linked
+    ats, texts = list(lines), [text for text, _, _ in lines.values()]
+    first = next((i for i, (_, _, linked) in enumerate(lines.values()) if linked), 0)
+    parent = [first if linked else i for i, (_, _, linked) in enumerate(lines.values())]
+    found: list[tuple[int, int]] = []
+    counts = _counts(texts) if len(texts) > _FEW else None
 
     def top(x: int) -> int:
         while parent[x] != x:
@@ -359,13 +411,68 @@ def _connect(run: list[tuple[int, str, bool, bool]], edits: int, chars_per_edit:
             x = parent[x]
         return x
 
-    for y, (at, text, own, linked) in enumerate(run):
-        for x in range(y):
-            other, before, mine, known = run[x]
-            if at != other and (own or mine) and not (linked and known) and top(x) != top(y):
-                if _near(before, text, edits, chars_per_edit):
-                    parent[top(y)] = top(x)
-                    found.append((other, at))
+    def tried(rows: list[int], own: np.ndarray, misses: float) -> bool:
+        """Link near lines of ``rows``; false if more pairs than ``misses`` were not near, and the rest was left out."""
+        for x, y in _candidates(rows, own, counts, 4 * edits, top):
+            a, b = top(x), top(y)
+            if a != b:
+                if _near(texts[x], texts[y], edits, chars_per_edit):
+                    parent[b] = a
+                    found.append((ats[x], ats[y]))
+                else:
+                    misses -= 1
+                    if misses < 0:
+                        return False
+        return True
+
+    stack = [({i: own for i, (_, own, _) in enumerate(lines.values())}, (), finer is None)]
+    while stack:
+        members, under, last = stack.pop()
+        rows, own = list(members), np.array(list(members.values()), bool)
+        if tried(rows, own, float("inf") if last else _MISSES * len(rows)):
+            continue
+        groups: dict[int, dict[int, bool]] = defaultdict(dict)
+        ends = set()
+        for i in rows:
+            mine, probes, last_ones = finer(ats[i], texts[i], under)
+            ends.update(last_ones)
+            for key in probes:
+                groups[key][i] = False
+            for key in mine:
+                groups[key][i] = True
+        stack += [(g, (*under, key), key in ends) for key, g in groups.items() if len(g) > 1 and any(g.values())]
+    return found
+
+
+def _candidates(
+    rows: list[int], own: np.ndarray, counts: np.ndarray | None, most: int, top: Callable[[int], int]
+) -> Iterator[tuple[int, int]]:
+    """Pairs of ``rows`` of which one has the key as its own, that are not connected yet and whose counts differ by ``most``."""
+    n = len(rows)
+    if n <= _FEW:
+        yield from ((rows[x], rows[y]) for y in range(n) for x in range(y) if own[x] or own[y])
+        return
+    of, places = counts[rows], np.arange(n)
+    step = max(1, _AT_ONCE // n)
+    for start in range(0, n, step):
+        end = min(n, start + step)
+        tops = np.array([top(i) for i in rows[:end]])
+        may = (tops[start:, None] != tops) & (own[start:end, None] | own[:end]) & (places[start:end, None] > places[:end])
+        if may.any():
+            apart = of[start:end, None] - of[:end]
+            # Counts are kept modulo 256, which only brings them closer.
+            may &= np.minimum(apart, -apart).sum(2, dtype=np.uint32) <= most
+        for y, x in zip(*(side.tolist() for side in np.nonzero(may))):
+            yield rows[x], rows[start + y]
+
+
+def _counts(texts: list[str]) -> np.ndarray:
+    """How many pairs of neighbouring characters of each kind a text has, modulo 256; an edit changes at most two pairs."""
+    found = np.zeros((len(texts), _KINDS), np.uint8)
+    for i, text in enumerate(texts):
+        codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        kinds = (codes[:-1] * np.uint32(0x9E3779B1) + codes[1:]) * np.uint32(0x85EBCA6B) >> np.uint32(16)
+        found[i] = np.bincount(kinds % _KINDS, minlength=_KINDS)
     return found
 
 
@@ -379,29 +486,33 @@ def _line_batches(batches, edits: int, chars_per_edit: int):
 
     number = TaskContext.get().partitionId() << 33
     for batch in batches:
-        rows = []
-        for row, text in enumerate(batch.column(1)):
-            for line, part in enumerate(text.as_py().split("\n")):
+        rows: list[tuple[int, int, bytes, str, int]] = []
+        segments: list[int] = []
+        for row, text in enumerate(batch.column(1).to_pylist()):
+            for line, part in enumerate(text.split("\n")):
                 if part and not part.isspace():
-                    own = own_keys(part, edits, chars_per_edit)
-                    rows.append((number, row, line, md5(part.encode()).digest(), part, own))
-                    number += 1
+                    own = _windows(len(part), edits, chars_per_edit)[0]
+                    segments += [xxh64_intdigest(part[a:b], seed) for a, b, seed in own]
+                    rows.append((row, line, md5(part.encode()).digest(), part, len(own)))
             if len(rows) >= _FLUSH:
-                yield _lines(rows, batch.column(0))
-                rows = []
+                yield _lines(number, rows, segments, batch.column(0))
+                number += len(rows)
+                rows, segments = [], []
         if rows:
-            yield _lines(rows, batch.column(0))
+            yield _lines(number, rows, segments, batch.column(0))
+            number += len(rows)
 
 
-def _lines(rows: list[tuple], ids: pa.Array) -> pa.RecordBatch:
-    at, row, line, node, text, own = zip(*rows)
+def _lines(number: int, rows: list[tuple], segments: list[int], ids: pa.Array) -> pa.RecordBatch:
+    row, line, node, text, sizes = zip(*rows)
+    ends = np.cumsum([0, *sizes], dtype=np.int32)
     columns = [
-        pa.array(at, pa.int64()),
+        pa.array(np.arange(number, number + len(rows))),
         ids.take(pa.array(row, pa.int64())),
         pa.array(line, pa.int32()),
         pa.array(node, pa.binary()),
         pa.array(text, pa.string()),
-        pa.array(own, pa.list_(pa.int64())),
+        pa.ListArray.from_arrays(pa.array(ends), pa.array(_signed(segments))),
     ]
     return pa.RecordBatch.from_arrays(columns, ["at", "doc_id", "line", "node", "text", "segments"])
 
@@ -412,10 +523,10 @@ def _probes(batches, edits: int, chars_per_edit: int, owned):
         found: list[int] = []
         counts = []
         for text in batch.column(1).to_pylist():
-            probes = keys(text, edits, chars_per_edit)[1]
-            found += probes
+            probes = _windows(len(text), edits, chars_per_edit)[1]
+            found += [xxh64_intdigest(text[a:b], seed) for a, b, seed in probes]
             counts.append(len(probes))
-        values = np.array(found, np.int64)
+        values = _signed(found)
         kept = owned(values)
         ats = np.repeat(batch.column(0).to_numpy(), counts)
         yield pa.RecordBatch.from_arrays([pa.array(ats[kept]), pa.array(values[kept])], ["at", "key"])
